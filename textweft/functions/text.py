@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textweft.functions.arrays import let
+
 # The short stop word list, and the pattern of a line that is rejected.
 STOPWORDS = ("for", "a", "of", "the", "and", "to", "in")
 BAD_LINE = r"\||[&=][a-zA-Z]"
@@ -44,10 +46,14 @@ def tokenize_review(text: Column) -> Column:
 
 def tokenize_cjk(text: Column) -> Column:
     """Overlapping character pairs of the text without white space."""
-    dense = F.regexp_replace(text, SPACE + "+", "")
-    n = F.length(dense)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(dense, i, F.lit(2)))
-    return F.when(n >= 2, pairs).when(n == 1, F.array(dense)).otherwise(F.array().cast("array<string>"))
+    return let(F.regexp_replace(text, SPACE + "+", ""), _character_pairs)
+
+
+def _character_pairs(text: Column) -> Column:
+    n = F.length(text)
+    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(text, i, F.lit(2)))
+    none = F.array().cast("array<string>")
+    return F.when(n >= 2, pairs).when(n == 1, F.array(text)).otherwise(none)
 
 
 def remove_stopwords(words: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
@@ -87,18 +93,26 @@ def strip_mail(
     """
     lines = F.split(text, LINE_BREAK)
     if headers:
-        first_gap = F.array_position(F.transform(lines, is_blank), True).cast("int")
-        opens = F.get(lines, F.lit(0)).rlike(HEADER_LINE) & (first_gap > 0)
-        lines = F.when(opens, F.slice(lines, first_gap + 1, F.size(lines))).otherwise(lines)
+        lines = let(lines, _drop_header)
     if quotes:
         lines = F.filter(lines, lambda line: ~line.rlike(QUOTED_LINE))
+    body = F.array_join(lines, "\n")
     if footers:
-        body = F.regexp_replace(F.array_join(lines, "\n"), rf"\A{SPACE}+|{SPACE}+\z", "")
-        lines = F.split(body, "\n")
-        gaps = F.transform(lines, lambda line, i: F.when(line.rlike(GAP_LINE), i).otherwise(0))
-        last_gap = F.array_max(gaps)
-        lines = F.when(last_gap > 0, F.slice(lines, F.lit(1), last_gap)).otherwise(lines)
-    return F.array_join(lines, "\n")
+        body = F.regexp_replace(body, rf"\A{SPACE}+|{SPACE}+\z", "")
+        body = F.array_join(let(F.split(body, "\n"), _drop_footer), "\n")
+    return body
+
+
+def _drop_header(lines: Column) -> Column:
+    first_gap = F.array_position(F.transform(lines, is_blank), True).cast("int")
+    opens = F.get(lines, F.lit(0)).rlike(HEADER_LINE) & (first_gap > 0)
+    return F.when(opens, F.slice(lines, first_gap + 1, F.size(lines))).otherwise(lines)
+
+
+def _drop_footer(lines: Column) -> Column:
+    gaps = F.transform(lines, lambda line, i: F.when(line.rlike(GAP_LINE), i).otherwise(0))
+    last_gap = F.array_max(gaps)
+    return F.when(last_gap > 0, F.slice(lines, F.lit(1), last_gap)).otherwise(lines)
 
 
 def truncate_tokens(words: Column, n: int) -> Column:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from textweft.functions.vectors import dot, doubles, l2_normalize
 from textweft.lookup import fits_broadcast
+from textweft.ordered import number_rows
+from textweft.scratch import materialize
 
 DIGITS = 6
 BLOCK_ROWS = 1024
@@ -114,8 +116,6 @@ def best_k(scores: DataFrame, k: int, item: str = "doc_id", query: str = "query_
 def _full_rank(scores: DataFrame, item: str, query: str) -> DataFrame:
     """Complete ranking. A query's scores are spread over many tasks: rows are laid in
     (query, score) order and a row's rank is its place minus the place of the query's first."""
-    from textweft.ordered import number_rows
-
     placed = number_rows(scores, [query, F.desc("score"), item], name="_place", label="ranking")
     firsts = placed.groupBy(query).agg(F.min("_place").alias("_first"))
     return (
@@ -274,7 +274,8 @@ def similarity_join(index: DataFrame, queries: DataFrame, k: int, skip_same: boo
     term is left out, however frequent: common terms become dense columns inside a
     pair of blocks, and pairs of documents never leave it. Only positive scores count.
     """
-    items, asked = _as_rows(index, "doc_id"), _as_rows(queries, "query_id")
+    items = materialize(_as_rows(index, "doc_id"), "items")
+    asked = materialize(_as_rows(queries, "query_id"), "queries")
     n_items, item_bytes = _measure(items, F.size("ids") * 16)
     n_asked, asked_bytes = _measure(asked, F.size("ids") * 16)
     return _block_top_k(

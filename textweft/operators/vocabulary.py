@@ -7,6 +7,7 @@ are plain aggregates, so frequent words are summed up before the shuffle.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textweft.functions.arrays import let
 from textweft.lookup import lookup_join
 from textweft.ordered import number_rows
 from textweft.sources.vectors import PAD, PADDING, UNKNOWN, UNKNOWN_CAPITAL
@@ -39,16 +40,15 @@ def word_statistics(tokens: DataFrame) -> DataFrame:
     Sorting a document's words puts repeats side by side, so the first of each run
     counts the document once without a distinct.
     """
-    ordered = F.array_sort("words")
-    marked = F.transform(
-        "sorted",
-        lambda w, i: F.struct(
-            w.alias("word"), ((i == 0) | (w != F.get("sorted", i - 1))).alias("first")
+    marked = let(
+        F.array_sort("words"),
+        lambda ordered: F.transform(
+            ordered,
+            lambda w, i: F.struct(w.alias("word"), ((i == 0) | (w != F.get(ordered, i - 1))).alias("first")),
         ),
     )
     rows = (
-        tokens.select("doc_id", ordered.alias("sorted"))
-        .select("doc_id", F.explode_outer(marked).alias("t"))
+        tokens.select("doc_id", F.explode_outer(marked).alias("t"))
         .select("doc_id", "t.word", "t.first")
         .filter(F.col("word").isNotNull())
     )
