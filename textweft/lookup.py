@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1000  # a key is hot when it holds more than 1/HOT_SHARE of the facts
+HOT_SHARE = 20_000  # a key is hot when it holds more than 1/HOT_SHARE of the facts
 
 
 def row_bytes(df: DataFrame) -> Column:

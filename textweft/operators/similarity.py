@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from textweft.functions.vectors import dot, doubles, l2_normalize
 from textweft.lookup import fits_broadcast
 from textweft.ordered import number_rows
-from textweft.scratch import materialize
+from textweft.scratch import materialize, spread_groups
 
 DIGITS = 6
 BLOCK_ROWS = 1024
@@ -229,6 +229,8 @@ def _block_top_k(queries, items, score, k, query_blocks, item_blocks, skip_same,
     left = left.withColumn("ib", copies(item_blocks))
     right = items.withColumn("ib", F.pmod(F.xxhash64("doc_id"), F.lit(item_blocks)).cast("int"))
     right = right.withColumn("qb", copies(query_blocks))
+    pairs = query_blocks * item_blocks
+    left, right = (spread_groups(side, pairs, "qb", "ib") for side in (left, right))
     found = (
         left.groupBy("qb", "ib")
         .cogroup(right.groupBy("qb", "ib"))

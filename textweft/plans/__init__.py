@@ -1 +1,9 @@
+"""Named queries that put the operators to work on the given tables."""
 
+
+def load_queries():
+    """All registered queries and the SQL for those that SQL can check."""
+    from textweft.plans import text_queries  # noqa: F401
+    from textweft.plans.registry import ORACLES, QUERIES
+
+    return dict(QUERIES), dict(ORACLES)

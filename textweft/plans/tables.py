@@ -4,7 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweft.functions import text as tx
-from textweft.operators.bags import by_document
+from textweft.lookup import lookup_join
+from textweft.operators.bags import by_document, doc2bow
+from textweft.operators.vocabulary import build_dictionary, min_count_vocabulary
+from textweft.operators.weighting import tfidf_transform
+from textweft.scratch import materialize
+from textweft.sources.vectors import vectors_from_matrix
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -36,3 +41,66 @@ def benchmark_words(spark: SparkSession, sf: str) -> DataFrame:
     """The benchmark texts as ``(doc_id, words)``."""
     texts = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return word_tokens(by_document(texts))
+
+
+def dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """``(word, id, df, cf)`` of words that occur at least twice."""
+    return build_dictionary(document_words(spark, sf), min_cf=2)
+
+
+def bow(spark: SparkSession, sf: str, vocab: DataFrame | None = None) -> DataFrame:
+    return doc2bow(document_words(spark, sf, True), vocab if vocab is not None else dictionary(spark, sf))
+
+
+def with_size(vocab: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary as a TF-IDF model: ``(…, id, df, n_docs)``."""
+    return vocab.withColumn("n_docs", F.lit(table(spark, sf, "documents").count()))
+
+
+def weights(spark: SparkSession, sf: str, vocab: DataFrame | None = None) -> DataFrame:
+    """TF-IDF ``(doc_id, id, w)`` of the documents."""
+    vocab = vocab if vocab is not None else dictionary(spark, sf)
+    return tfidf_transform(bow(spark, sf, vocab), with_size(vocab, spark, sf))
+
+
+def query_weights(spark: SparkSession, sf: str, vocab: DataFrame) -> DataFrame:
+    """TF-IDF ``(query_id, id, w)`` of the benchmark texts in the documents' model."""
+    asked = doc2bow(benchmark_words(spark, sf), vocab)
+    return tfidf_transform(asked, with_size(vocab, spark, sf)).withColumnRenamed("doc_id", "query_id")
+
+
+def embedding_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The embeddings as word vectors ``(id, word, vec)``."""
+    rows = table(spark, sf, "embeddings").withColumn("word", F.concat(F.lit("w"), F.col("vec_id")))
+    return vectors_from_matrix(rows, "vec_id", "embedding", "word")
+
+
+def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """``(word, id, cf)`` of words with five or more occurrences."""
+    return min_count_vocabulary(document_words(spark, sf), 5)
+
+
+def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None, size: int = 8) -> DataFrame:
+    """``(id, word, cf, vec)``: embeddings dealt out in turn to the vocabulary."""
+    vocab = vocab if vocab is not None else vocabulary(spark, sf)
+    given = table(spark, sf, "embeddings")
+    n = given.count()
+    rows = given.select(
+        F.col("vec_id").alias("turn"), F.slice("embedding", 1, size).cast("array<double>").alias("vec")
+    )
+    dealt = vocab.withColumn("turn", F.pmod("id", F.lit(n)))
+    return materialize(lookup_join(dealt, rows, "turn").select("id", "word", "cf", "vec"), "word-vectors")
+
+
+def encoded_documents(spark: SparkSession, sf: str, vocab: DataFrame) -> DataFrame:
+    """``(doc_id, ids)``; words outside the vocabulary are null."""
+    rows = document_words(spark, sf, True).select("doc_id", F.posexplode_outer("words").alias("pos", "word"))
+    known = lookup_join(rows, vocab.select("word", "id", "cf"), "word", "left", weight="cf")
+    cells = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "id"))))
+    return known.groupBy("doc_id").agg(cells["id"].alias("ids"))
+
+
+def document_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, line_no, lang, line)``."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    return docs.select("doc_id", "lang", F.posexplode(F.split("text", tx.LINE_BREAK)).alias("line_no", "line"))

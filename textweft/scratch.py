@@ -38,3 +38,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_groups(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Partition by ``keys`` for work that is heavy per group though its rows are few.
+
+    The number of partitions is fixed, as adaptive coalescing would put the groups of a
+    small table into one task.
+    """
+    spark = df.sparkSession
+    most = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(min(groups, most), *keys)
