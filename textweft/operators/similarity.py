@@ -116,12 +116,12 @@ def best_k(scores: DataFrame, k: int, item: str = "doc_id", query: str = "query_
 def _full_rank(scores: DataFrame, item: str, query: str) -> DataFrame:
     """Complete ranking. A query's scores are spread over many tasks: rows are laid in
     (query, score) order and a row's rank is its place minus the place of the query's first."""
-    placed = number_rows(scores, [query, F.desc("score"), item], name="_place", label="ranking")
-    firsts = placed.groupBy(query).agg(F.min("_place").alias("_first"))
+    placed = number_rows(scores, [query, F.desc("score"), item], name="_position", label="ranking")
+    firsts = placed.groupBy(query).agg(F.min("_position").alias("_first"))
     return (
         placed.join(firsts, query)
-        .withColumn("rank", (F.col("_place") - F.col("_first") + 1).cast("int"))
-        .drop("_place", "_first")
+        .withColumn("rank", (F.col("_position") - F.col("_first") + 1).cast("int"))
+        .drop("_position", "_first")
     )
 
 
