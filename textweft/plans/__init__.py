@@ -3,7 +3,13 @@
 
 def load_queries():
     """All registered queries and the SQL for those that SQL can check."""
-    from textweft.plans import embedding_queries, text_queries, vocabulary_queries  # noqa: F401
+    from textweft.plans import (  # noqa: F401
+        classifier_queries,
+        embedding_queries,
+        source_queries,
+        text_queries,
+        vocabulary_queries,
+    )
     from textweft.plans.registry import ORACLES, QUERIES
 
     return dict(QUERIES), dict(ORACLES)
