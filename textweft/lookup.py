@@ -41,15 +41,16 @@ def lookup_join(
     how: str = "inner",
     weight: str | None = None,
     limit: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """``facts.join(table, key, how)`` for ``how`` in inner, left, left_semi, left_anti.
 
     ``weight`` names the column of ``table`` holding how often a key occurs in the
     facts. At most ``HOT_SHARE`` keys can hold more than ``1/HOT_SHARE`` of the
     total each, so the hot part always fits a broadcast. Rows without a key never
-    reach a shuffle.
+    reach a shuffle. ``small`` hands on the outcome of an earlier measurement.
     """
-    if fits_broadcast(table, limit):
+    if fits_broadcast(table, limit) if small is None else small:
         return facts.join(F.broadcast(table), key, how)
     if weight is None or how == "left_anti":
         return facts.join(table, key, how)

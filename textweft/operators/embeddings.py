@@ -10,7 +10,7 @@ from textweft.functions.vectors import cosine, doubles, hash_uniform, l2_normali
 from textweft.lookup import lookup_join
 from textweft.operators.similarity import best_k, nearest
 from textweft.operators.vocabulary import map_oov, restrict_vocabulary, token_counts
-from textweft.sources.vectors import UNKNOWN
+from textweft.scratch import materialize
 
 DRIVER_FLOATS = 200_000_000
 
@@ -148,6 +148,7 @@ def most_similar(questions: DataFrame, vectors: DataFrame, topn: int = 10, item:
     unknown = F.raise_error(F.concat(F.lit("unknown item "), F.col(item).cast("string"))).cast("array<double>")
     value = F.coalesce(raw, F.col("_unit"), F.when(F.col("_id").isNull(), unknown))
     inputs = inputs.withColumn("_value", F.transform(value, lambda x: x * F.col("weight")))
+    inputs = materialize(inputs.select("question_id", "_id", "_value"), "question-inputs")
     means = inputs.groupBy("question_id").agg(mean_vector(F.col("_value")).alias("vec"))
     widest = inputs.groupBy("question_id").agg(F.count("_id").alias("n")).agg(F.max("n")).first()[0] or 0
     index = keyed.select(F.col("id").alias("doc_id"), "vec")
@@ -187,6 +188,7 @@ def analogy_accuracy(questions: DataFrame, vectors: DataFrame, restrict_vocab: i
             F.col("word").alias(role), F.col("doc_id").alias(f"{role}_id"), F.col("vec").alias(f"{role}_vec")
         )
         asked = lookup_join(asked, names.drop("expected_vec"), role)
+    asked = materialize(asked, "questions")
     mix = F.transform(
         F.arrays_zip(F.col("b_vec").alias("b"), F.col("c_vec").alias("c"), F.col("a_vec").alias("a")),
         lambda x: (x["b"] + x["c"] - x["a"]) / 3,

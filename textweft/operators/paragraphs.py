@@ -21,7 +21,8 @@ from textweft.operators.embeddings import most_similar
 from textweft.operators.vocabulary import (
     add_oov,
     add_padding_word,
-    min_count_vocabulary,
+    number_by_count,
+    paragraph_ids,
     paragraph_vocabulary,
     token_counts,
 )
@@ -134,10 +135,11 @@ def code_paths(coded: DataFrame) -> DataFrame:
 
 def training_vocabulary(tokens: DataFrame, min_count: int = 5) -> DataFrame:
     """``(word, id, cf, leaf)`` with the unknown markers and the padding word."""
-    counts = token_counts(tokens)
-    kept = min_count_vocabulary(tokens, min_count)
-    rare = max(counts.count() - kept.count(), 1)
-    return materialize(code_table(add_padding_word(add_oov(kept, rare))), "training-vocabulary")
+    counts = materialize(token_counts(tokens), "counts")
+    kept = number_by_count(counts.filter(F.col("n") >= min_count))
+    rare = max(counts.filter(F.col("n") < min_count).count(), 1)
+    whole = materialize(add_padding_word(add_oov(kept, rare)), "words")
+    return materialize(code_table(whole), "training-vocabulary")
 
 
 def _encode(
@@ -158,7 +160,7 @@ def _encode(
     cell = F.struct("pos", "id", "leaf")
     cells = known.groupBy("doc_id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
     keyed = tokens.select("doc_id", F.array_join("words", " ").alias("text"))
-    owners = keyed.join(texts, "text").select("doc_id", "para_id")
+    owners = paragraph_ids(keyed, texts, limit)
     encoded = materialize(
         cells.join(owners, "doc_id").select(
             "doc_id", "para_id", F.col("cells.id").alias("ids"), F.col("cells.leaf").alias("leaves")

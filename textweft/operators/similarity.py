@@ -40,10 +40,13 @@ def sparse_cosine(
     if not fits_broadcast(queries, limit):
         raise ValueError("too many queries for a full report; use similarity_join")
     hits = positive_scores(index, queries)
+    found = hits.groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("found")
+    )
     ids = queries.agg(F.collect_set("query_id")).scalar()
-    every = docs.repartition("doc_id").select("doc_id", F.explode(ids).alias("query_id"))
-    return every.join(hits, ["doc_id", "query_id"], "left").select(
-        "query_id", "doc_id", F.coalesce("score", F.lit(0.0)).alias("score")
+    every = docs.join(found, "doc_id", "left").select("doc_id", "found", F.explode(ids).alias("query_id"))
+    return every.select(
+        "query_id", "doc_id", F.coalesce(F.try_element_at("found", F.col("query_id")), F.lit(0.0)).alias("score")
     )
 
 

@@ -106,17 +106,28 @@ def filter_extremes(
     Of these the ``keep_n`` most frequent stay; ids close up in their old order.
     """
     kept = vocab.filter((F.col("df") >= no_below) & (F.col("df") <= no_above * n_docs))
-    top = kept.orderBy(F.desc("df"), "id").limit(keep_n).withColumnRenamed("id", "old_id")
+    top = most_frequent(kept, [F.desc("df"), "id"], keep_n).withColumnRenamed("id", "old_id")
     return number_rows(top, ["old_id"], label="filtered").drop("old_id")
 
 
+def most_frequent(vocab: DataFrame, order: list, n: int) -> DataFrame:
+    """The first ``n`` rows in order. For large ``n`` no task has to hold them all."""
+    ranked = number_rows(vocab, order, name="_rank", label="ranked")
+    return ranked.filter(F.col("_rank") < n).drop("_rank")
+
+
 def min_count_vocabulary(tokens: DataFrame, min_count: int = 5) -> DataFrame:
     """``(word, id, cf)`` of words with at least ``min_count`` occurrences.
 
     Ids go by falling count, then by word.
     """
-    counts = token_counts(tokens).withColumnRenamed("n", "cf").filter(F.col("cf") >= min_count)
-    return number_rows(counts, [F.desc("cf"), "word"], label="vocabulary").select("word", "id", "cf")
+    return number_by_count(token_counts(tokens).filter(F.col("n") >= min_count))
+
+
+def number_by_count(counts: DataFrame) -> DataFrame:
+    """``counts(word, n)`` to ``(word, id, cf)``."""
+    renamed = counts.withColumnRenamed("n", "cf")
+    return number_rows(renamed, [F.desc("cf"), "word"], label="vocabulary").select("word", "id", "cf")
 
 
 def extend_vocabulary(vocab: DataFrame, tokens: DataFrame, min_count: int = 5) -> DataFrame:
@@ -157,7 +168,7 @@ def add_padding_word(vocab: DataFrame, count: int = 1_000_000) -> DataFrame:
 
 def restrict_vocabulary(vocab: DataFrame, top_n: int = 30_000) -> DataFrame:
     """The ``top_n`` most frequent words."""
-    return vocab.orderBy(F.desc("cf"), "word").limit(top_n)
+    return most_frequent(vocab, [F.desc("cf"), "word"], top_n)
 
 
 def map_oov(words: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
@@ -185,12 +196,25 @@ def insertion_dictionary(tokens: DataFrame) -> DataFrame:
 
 
 def paragraph_vocabulary(paragraphs: DataFrame) -> DataFrame:
-    """``(text, para_id)`` of the distinct texts in order of first appearance.
+    """``(text, para_id, copies)`` of the distinct texts in order of first appearance.
 
     Copies of a text are merged before the shuffle, so a text with many copies is cheap.
     """
-    firsts = paragraphs.groupBy("text").agg(F.min("doc_id").alias("first_doc"))
-    return number_rows(firsts, ["first_doc"], name="para_id", label="paragraphs").select("text", "para_id")
+    firsts = paragraphs.groupBy("text").agg(
+        F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies")
+    )
+    numbered = number_rows(firsts, ["first_doc"], name="para_id", label="paragraphs")
+    return numbered.select("text", "para_id", "copies")
+
+
+def paragraph_ids(paragraphs: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
+    """``(doc_id, para_id)`` of ``paragraphs(doc_id, text)``; unknown texts are dropped.
+
+    Texts meet by their digest, so the join moves no text.
+    """
+    keyed = paragraphs.select("doc_id", F.sha2("text", 256).alias("digest"))
+    known = vocab.select(F.sha2("text", 256).alias("digest"), "para_id", "copies")
+    return lookup_join(keyed, known, "digest", weight="copies", limit=limit).select("doc_id", "para_id")
 
 
 def corpus_statistics(tokens: DataFrame) -> DataFrame:

@@ -1,13 +1,17 @@
 """Word vectors, paragraph vectors and windows over the whole tables."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import norm
 from textweft.operators import classify, embeddings, paragraphs, vocabulary, windows
+from textweft.ordered import number_rows
 from textweft.plans import sql as q
 from textweft.plans import tables as t
 from textweft.plans.registry import query
 from textweft.plans.vocabulary_queries import _ARRIVING, _CENTROIDS, _OOV, _centroids
+from textweft.scratch import materialize
 from textweft.sources.lines import word_stream
 from textweft.sources.vectors import UNKNOWN
 
@@ -145,19 +149,24 @@ questions AS (SELECT * FROM asked WHERE expected IS NOT NULL)"""
 
 
 def analogy_questions(spark, sf):
-    from pyspark.sql import Window
-
+    """Rows find the next ones of their label by place in a global order, so that a label
+    with very many rows is not one task's work."""
     rows = t.embedding_words(spark, sf).join(
         t.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "label"), "id"
     )
-    place = Window.partitionBy("label").orderBy("id")
-    asked = rows.select(
-        F.concat(F.lit("label "), "label").alias("section"),
-        F.col("id").alias("line_no"),
-        F.col("word").alias("a"),
-        *[F.lead("word", k).over(place).alias(n) for k, n in ((1, "b"), (2, "c"), (3, "expected"))],
+    placed = number_rows(rows.select("label", "id", "word"), ["label", "id"], name="place")
+    role = F.posexplode(F.array(*[F.col("place") - k for k in range(4)]))
+    asked = (
+        placed.select("label", "id", "word", role.alias("role", "question"))
+        .groupBy("label", "question")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("id").alias("line_no"),
+            *[F.max(F.when(F.col("role") == k, F.col("word"))).alias(name) for k, name in enumerate(("a", "b", "c", "expected"))],
+        )
     )
-    return asked.filter(F.col("expected").isNotNull())
+    section = F.concat(F.lit("label "), "label").alias("section")
+    return asked.filter(F.col("n") == 4).select(section, "line_no", "a", "b", "c", "expected")
 
 
 @query(f"""WITH {ANALOGIES},
@@ -248,8 +257,6 @@ _SMALL = paragraphs.Settings(size=16, paragraph_size=16, window=3, mode="mean")
 
 
 def _changed(**settings):
-    from dataclasses import replace
-
     return replace(_SMALL, **settings)
 
 
@@ -488,8 +495,6 @@ def flatten_window(spark, sf):
 @query()
 def compress_windows(spark, sf):
     """Ten-word windows of 80 numbers to codes of eight, with the error of going back."""
-    from textweft.scratch import materialize
-
     found = windows.vectorize_windows(windows.fixed_windows(_stream(spark, sf), 10), t.word_vectors(spark, sf))
     rows = materialize(found.select("win_id", "x"), "windows")
     codes = classify.compress_windows(classify.compress_fit(rows, 8), rows)

@@ -121,11 +121,19 @@ def insertion_dictionary(spark, sf):
     return vocabulary.insertion_dictionary(t.document_words(spark, sf))
 
 
-@query("""SELECT md5(text) AS text_md5, row_number() OVER (ORDER BY min(doc_id)) - 1 AS para_id
+@query("""SELECT md5(text) AS text_md5, row_number() OVER (ORDER BY min(doc_id)) - 1 AS para_id, count(*) AS copies
 FROM documents GROUP BY text""")
 def paragraph_vocabulary(spark, sf):
     found = vocabulary.paragraph_vocabulary(t.documents(spark, sf))
-    return found.select(F.md5("text").alias("text_md5"), "para_id")
+    return found.select(F.md5("text").alias("text_md5"), "para_id", "copies")
+
+
+@query("""SELECT doc_id, para_id FROM documents JOIN (
+  SELECT text, row_number() OVER (ORDER BY min(doc_id)) - 1 AS para_id FROM documents GROUP BY text
+) USING (text)""")
+def paragraph_ids(spark, sf):
+    docs = t.documents(spark, sf)
+    return vocabulary.paragraph_ids(docs, vocabulary.paragraph_vocabulary(docs))
 
 
 @query(f"""WITH {q.TOK}

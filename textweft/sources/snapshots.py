@@ -3,6 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import LDAModel, LocalLDAModel
+from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,19 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_model(model: MLWritable, path: str) -> None:
+    """Save a fitted MLlib model (LDA, a classifier, a window code)."""
+    model.write().save(path)
+
+
+def load_lda(path: str) -> LDAModel:
+    return LocalLDAModel.load(path)
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def _read_if_saved(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from textweft.operators.bags import term_counts
+from textweft.lookup import fits_broadcast
+from textweft.operators.bags import doc2bow
 from textweft.operators.similarity import best_k, positive_scores, similarity_join
 from textweft.operators.weighting import tfidf_transform
-from textweft.lookup import fits_broadcast
 from textweft.scratch import materialize
 
 
@@ -20,9 +20,8 @@ def stream_score(
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        weights = tfidf_transform(term_counts(batch), model, "word")
-        named = weights.join(model.select("word", "id"), "word").select("doc_id", "id", "w")
-        queries = materialize(named.withColumnRenamed("doc_id", "query_id"), "arrived")
+        weights = tfidf_transform(doc2bow(batch, model), model)
+        queries = materialize(weights.withColumnRenamed("doc_id", "query_id"), "arrived")
         if fits_broadcast(queries):
             found = best_k(positive_scores(index, queries), k)
         else:
