@@ -2,9 +2,11 @@
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textweft.functions.arrays import let
+
 
 def doubles(vec: Column) -> Column:
     return vec.cast("array<double>")
@@ -24,29 +26,48 @@ def norm(a: Column) -> Column:
     )
 
 
-def scale(vec: Column, factor: Column) -> Column:
-    return F.transform(vec, lambda x: x.cast("double") * factor)
-
-
 def l2_normalize(vec: Column) -> Column:
     """The unit vector; null for a zero vector."""
-    length = norm(vec)
-    return F.when(length > 0, F.transform(vec, lambda x: x.cast("double") / length))
+    return let(norm(vec), lambda n: F.when(n > 0, F.transform(vec, lambda x: x.cast("double") / n)))
 
 
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
 
 
-def mean_vector(vec: Column, weight: Column | None = None) -> Column:
-    """Aggregate: element-wise (weighted) mean, with map-side partial results."""
+MAX_COLUMNS = 128  # vectors up to this width are aggregated as plain columns
+
+
+def vector_width(df: DataFrame, vec: str = "vec") -> int | None:
+    """The length of the vectors in ``df``; None if it has no rows."""
+    row = df.select(F.size(vec).alias("n")).first()
+    return row["n"] if row else None
+
+
+def mean_vector(vec: Column, weight: Column | None = None, width: int | None = None) -> Column:
+    """Aggregate: element-wise (weighted) mean, with map-side partial results.
+
+    With a known ``width`` the elements are averaged as columns, which stays inside a
+    compiled hash aggregate; shorter vectors keep their own length. Other vectors go
+    through MLlib's summarizer.
+    """
+    if width is not None and width <= MAX_COLUMNS:
+        places = [F.get(vec, F.lit(i)).cast("double") for i in range(width)]
+        if weight is None:
+            means = F.array(*[F.avg(x) for x in places])
+        else:
+            total = F.sum(weight)
+            means = F.array(*[F.sum(x * weight) / total for x in places])
+        return F.filter(means, lambda x: x.isNotNull())
     value = array_to_vector(doubles(vec))
     mean = Summarizer.mean(value) if weight is None else Summarizer.mean(value, weight)
     return vector_to_array(mean)
 
 
-def max_vector(vec: Column) -> Column:
+def max_vector(vec: Column, width: int | None = None) -> Column:
     """Aggregate: element-wise maximum, with map-side partial results."""
+    if width is not None and width <= MAX_COLUMNS:
+        return F.array(*[F.max(F.get(vec, F.lit(i)).cast("double")) for i in range(width)])
     return vector_to_array(Summarizer.max(array_to_vector(doubles(vec))))
 
 

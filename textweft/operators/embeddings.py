@@ -6,8 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textweft.functions.arrays import let
-from textweft.functions.vectors import cosine, doubles, hash_uniform, l2_normalize, mean_vector, random_vector
-from textweft.lookup import lookup_join
+from textweft.functions.vectors import (
+    cosine,
+    doubles,
+    hash_uniform,
+    l2_normalize,
+    mean_vector,
+    random_vector,
+    vector_width,
+)
+from textweft.lookup import fits_broadcast, lookup_join
 from textweft.operators.similarity import best_k, nearest
 from textweft.operators.vocabulary import map_oov, restrict_vocabulary, token_counts
 from textweft.scratch import materialize
@@ -131,7 +139,8 @@ def cbow_context(encoded: DataFrame, vectors: DataFrame, window: int = 5, limit:
     columns = ["id", "vec"] + ([weight] if weight else [])
     table = vectors.select(*columns).withColumnRenamed("id", "context")
     rows = lookup_join(pairs, table, "context", weight=weight, limit=limit)
-    return rows.groupBy("doc_id", "pos", "center").agg(mean_vector(F.col("vec")).alias("vec"))
+    mean = mean_vector(F.col("vec"), width=vector_width(vectors))
+    return rows.groupBy("doc_id", "pos", "center").agg(mean.alias("vec"))
 
 
 def most_similar(questions: DataFrame, vectors: DataFrame, topn: int = 10, item: str = "word") -> DataFrame:
@@ -149,7 +158,8 @@ def most_similar(questions: DataFrame, vectors: DataFrame, topn: int = 10, item:
     value = F.coalesce(raw, F.col("_unit"), F.when(F.col("_id").isNull(), unknown))
     inputs = inputs.withColumn("_value", F.transform(value, lambda x: x * F.col("weight")))
     inputs = materialize(inputs.select("question_id", "_id", "_value"), "question-inputs")
-    means = inputs.groupBy("question_id").agg(mean_vector(F.col("_value")).alias("vec"))
+    mean = mean_vector(F.col("_value"), width=vector_width(vectors))
+    means = inputs.groupBy("question_id").agg(mean.alias("vec"))
     widest = inputs.groupBy("question_id").agg(F.count("_id").alias("n")).agg(F.max("n")).first()[0] or 0
     index = keyed.select(F.col("id").alias("doc_id"), "vec")
     found = nearest(index, means.withColumnRenamed("question_id", "query_id"), topn + widest)
@@ -181,13 +191,15 @@ def analogy_accuracy(questions: DataFrame, vectors: DataFrame, restrict_vocab: i
     """
     frequent = restrict_vocabulary(vectors, restrict_vocab)
     frequent = frequent.select("word", F.col("id").alias("doc_id"), l2_normalize(F.col("vec")).alias("vec"))
+    frequent = materialize(frequent, "frequent")
+    small = fits_broadcast(frequent)
     asked = questions.withColumn("query_id", F.xxhash64("section", "a", "b", "c", "expected"))
     asked = asked.select("query_id", "section", "a", "b", "c", "expected")
     for role in ("a", "b", "c", "expected"):
         names = frequent.select(
             F.col("word").alias(role), F.col("doc_id").alias(f"{role}_id"), F.col("vec").alias(f"{role}_vec")
         )
-        asked = lookup_join(asked, names.drop("expected_vec"), role)
+        asked = lookup_join(asked, names.drop("expected_vec"), role, small=small)
     asked = materialize(asked, "questions")
     mix = F.transform(
         F.arrays_zip(F.col("b_vec").alias("b"), F.col("c_vec").alias("c"), F.col("a_vec").alias("a")),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import l2_normalize, mean_vector, random_vector
+from textweft.functions.vectors import l2_normalize, mean_vector, random_vector, vector_width
 from textweft.lookup import lookup_join
 from textweft.operators.embeddings import most_similar
 from textweft.operators.vocabulary import (
@@ -31,7 +31,7 @@ from textweft.scratch import materialize, spread_groups
 from textweft.sources.vectors import PADDING, UNKNOWN
 
 MAX_ACTIVATION = 6.0  # fixed value: beyond it a node is taken as learnt
-BLOCK_WORDS = 50_000
+BLOCK_WORDS = 100_000
 _WORD, _NODE, _PARAGRAPH = 0, 1, 2
 
 
@@ -357,10 +357,11 @@ def _epoch(
     )
     changed = materialize(changed, "changed")
     error = changed.agg(F.sum("error")).first()[0] or 0.0
+    width = max(s.size, s.input_size, s.paragraph_size)
     averaged = (
         changed.filter(F.col("key") >= 0)
         .groupBy("key")
-        .agg(mean_vector(F.col("vec"), F.col("n").cast("double")).alias("_new"))
+        .agg(mean_vector(F.col("vec"), F.col("n").cast("double"), width).alias("_new"))
     )
     merged = weights.join(averaged, "key", "full_outer").select("key", F.coalesce("_new", "vec").alias("vec"))
     return materialize(merged, "weights"), error
@@ -507,7 +508,7 @@ def pvdm_input(
         ordered = F.array_sort(F.collect_list(F.struct("slot", F.col("vec").cast("array<double>").alias("vec"))))
         window = F.flatten(ordered["vec"])
     elif mode == "mean":
-        window = mean_vector(F.col("vec"))
+        window = mean_vector(F.col("vec"), width=vector_width(word_vectors))
     else:
         raise ValueError("mode must be concat or mean")
     merged = found.groupBy("doc_id", "pos", "target").agg(window.alias("window"))

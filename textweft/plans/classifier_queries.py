@@ -52,14 +52,14 @@ def _cells(pooled):
   SELECT doc_id, tf, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM bag JOIN wv USING (id)
 ) SELECT doc_id, d, round(sum(v * tf) / sum(tf), 5) AS v FROM cells GROUP BY doc_id, d""")
 def pool_mean(spark, sf):
-    return _cells(pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf))))
+    return _cells(pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), 8))
 
 
 @query(f"""WITH {_BAG}, cells AS (
   SELECT doc_id, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM bag JOIN wv USING (id)
 ) SELECT doc_id, d, round(max(v), 5) AS v FROM cells GROUP BY doc_id, d""")
 def pool_max(spark, sf):
-    return _cells(pooling.pool_max(pooling.embed_bag(*_bag(spark, sf))))
+    return _cells(pooling.pool_max(pooling.embed_bag(*_bag(spark, sf)), 8))
 
 
 # Attention parameters from the embeddings: W1 has one row per unit, W2 one row per hop.
@@ -99,7 +99,7 @@ def _attended(spark, sf):
   SELECT doc_id, hop, tf * alpha AS a, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM att JOIN wv USING (id)
 ) SELECT doc_id, hop * 8 + d AS d, round(sum(a * v), 5) AS v FROM cells GROUP BY doc_id, hop, d""")
 def pool_attention(spark, sf):
-    return _cells(pooling.pool_attention(_attended(spark, sf), HOPS))
+    return _cells(pooling.pool_attention(_attended(spark, sf), HOPS, 8))
 
 
 @query(f"""WITH {_ATTENTION}, products AS (
@@ -118,7 +118,7 @@ def attention_redundancy(spark, sf):
 
 def _training_rows(spark, sf):
     """``(doc_id, vec, label)``: mean word vectors of the labelled documents."""
-    pooled = pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)))
+    pooled = pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), 8)
     labels = t.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     return materialize(classify.label_lookup(pooled, labels), "training-rows")
 

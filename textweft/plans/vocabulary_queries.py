@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textweft.functions.vectors import mean_vector, vector_width
 from textweft.operators import bags, similarity, topics, vocabulary, weighting
 from textweft.plans import sql as q
 from textweft.plans import tables as t
@@ -229,11 +230,9 @@ _CENTROIDS = """centroids AS (
 
 
 def _centroids(spark, sf):
-    from textweft.functions.vectors import mean_vector
-
     rows = t.table(spark, sf, "embeddings")
     return rows.groupBy(F.col("label").cast("long").alias("query_id")).agg(
-        mean_vector(F.col("embedding")).alias("vec")
+        mean_vector(F.col("embedding"), width=vector_width(rows, "embedding")).alias("vec")
     )
 
 
