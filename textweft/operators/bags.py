@@ -55,11 +55,12 @@ def batch_plan(rows: DataFrame, size: int, order: str = "doc_id") -> DataFrame:
     return numbered.withColumn("batch_id", F.floor(F.col("_row") / size)).drop("_row")
 
 
-def cursor_batches(rows: DataFrame, size: int, step: int, n_rows: int, order: str = "doc_id") -> DataFrame:
-    """The rows of batch number ``step`` of a cursor that starts over at the end."""
+def cursor_batches(rows: DataFrame, size: int, steps: DataFrame, n_rows: int, order: str = "doc_id") -> DataFrame:
+    """The rows each of ``steps(step)`` takes from a cursor over the full batches that
+    starts over at the end."""
     per_round = max(n_rows // size, 1)
-    planned = batch_plan(rows, size, order)
-    return planned.filter(F.col("batch_id") == step % per_round)
+    asked = steps.withColumn("batch_id", F.col("step") % per_round)
+    return batch_plan(rows, size, order).join(asked, "batch_id")
 
 
 def pad_batch(encoded: DataFrame, pad_id: int = 0, max_len: int = 500) -> DataFrame:

@@ -66,7 +66,7 @@ class Settings:
 class ParagraphModel:
     settings: Settings
     vocab: DataFrame  # (word, id, cf, leaf)
-    paragraphs: DataFrame  # (para_id, text)
+    paragraphs: DataFrame  # (para_id, digest, first_doc, copies)
     weights: DataFrame  # (key, vec)
     epochs: list[tuple[int, float, int, float]] = field(default_factory=list)
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import dot, doubles, l2_normalize
-from textweft.lookup import fits_broadcast
+from textweft.lookup import fits_broadcast, lookup_join
 from textweft.ordered import number_rows
 from textweft.scratch import materialize, spread_groups
 
@@ -122,7 +122,7 @@ def _full_rank(scores: DataFrame, item: str, query: str) -> DataFrame:
     placed = number_rows(scores, [query, F.desc("score"), item], name="_position", label="ranking")
     firsts = placed.groupBy(query).agg(F.min("_position").alias("_first"))
     return (
-        placed.join(firsts, query)
+        lookup_join(placed, firsts, query)
         .withColumn("rank", (F.col("_position") - F.col("_first") + 1).cast("int"))
         .drop("_position", "_first")
     )

@@ -195,25 +195,33 @@ def insertion_dictionary(tokens: DataFrame) -> DataFrame:
     return pad.unionByName(words)
 
 
+def _digest(text: str) -> Column:
+    return F.sha2(text, 256)
+
+
 def paragraph_vocabulary(paragraphs: DataFrame) -> DataFrame:
-    """``(text, para_id, copies)`` of the distinct texts in order of first appearance.
+    """``(para_id, digest, first_doc, copies)`` of the distinct texts in order of first appearance.
 
-    Copies of a text are merged before the shuffle, so a text with many copies is cheap.
+    Texts are told apart by their digest, so no text is shuffled, and copies are merged
+    before the shuffle. :func:`paragraph_texts` gives the texts.
     """
-    firsts = paragraphs.groupBy("text").agg(
+    firsts = paragraphs.groupBy(_digest("text").alias("digest")).agg(
         F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies")
     )
     numbered = number_rows(firsts, ["first_doc"], name="para_id", label="paragraphs")
-    return numbered.select("text", "para_id", "copies")
+    return numbered.select("para_id", "digest", "first_doc", "copies")
 
 
-def paragraph_ids(paragraphs: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
-    """``(doc_id, para_id)`` of ``paragraphs(doc_id, text)``; unknown texts are dropped.
+def paragraph_texts(vocab: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """``(para_id, text)`` from the documents where the texts first appeared."""
+    owners = vocab.select("para_id", F.col("first_doc").alias("doc_id"))
+    return owners.join(paragraphs.select("doc_id", "text"), "doc_id").select("para_id", "text")
 
-    Texts meet by their digest, so the join moves no text.
-    """
-    keyed = paragraphs.select("doc_id", F.sha2("text", 256).alias("digest"))
-    known = vocab.select(F.sha2("text", 256).alias("digest"), "para_id", "copies")
+
+def paragraph_ids(paragraphs: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
+    """``(doc_id, para_id)`` of ``paragraphs(doc_id, text)``; unknown texts are dropped."""
+    keyed = paragraphs.select("doc_id", _digest("text").alias("digest"))
+    known = vocab.select("digest", "para_id", "copies")
     return lookup_join(keyed, known, "digest", weight="copies", limit=limit).select("doc_id", "para_id")
 
 
@@ -223,7 +231,7 @@ def corpus_statistics(tokens: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_sentences"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n_words")
     )
     types = token_counts(tokens).agg(F.count(F.lit(1)).alias("n_word_types"))
-    keys = tokens.select(F.array_join("words", " ").alias("key"))
+    keys = tokens.select(F.array_join("words", " ").alias("key")).select(_digest("key").alias("digest"))
     paragraphs = keys.distinct().agg(F.count(F.lit(1)).alias("n_paragraph_types"))
     return sizes.select(
         "n_sentences",

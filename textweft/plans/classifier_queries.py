@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textweft.functions.vectors import mean_vector
 from textweft.operators import classify, pooling
 from textweft.operators.bags import doc2bow
 from textweft.operators.similarity import nearest
@@ -10,7 +11,7 @@ from textweft.plans import tables as t
 from textweft.plans.registry import query
 from textweft.scratch import materialize
 
-HOPS, UNITS = 2, 4
+HOPS, UNITS = 2, 10
 
 
 def _bag(spark, sf):
@@ -62,17 +63,20 @@ def pool_max(spark, sf):
     return _cells(pooling.pool_max(pooling.embed_bag(*_bag(spark, sf)), 8))
 
 
-# Attention parameters from the embeddings: W1 has one row per unit, W2 one row per hop.
+# Attention parameters from the embeddings: W1 has the mean vector of each label as a row,
+# W2 the mean vectors of even and of odd labels.
 _ATTENTION = f"""{_BAG},
-hidden AS (
-  SELECT wv.id, e.vec_id AS unit, tanh(list_dot_product(vec, e.w)) AS h
-  FROM wv, (SELECT vec_id, list_transform(embedding[1:8]::DOUBLE[], lambda x: x * 20) AS w
-            FROM embeddings WHERE vec_id < {UNITS}) e
+spread AS (
+  SELECT label, unnest(embedding[1:{8 + UNITS}]::DOUBLE[]) AS v,
+         generate_subscripts(embedding[1:{8 + UNITS}], 1) AS d FROM embeddings
 ),
+w1 AS (SELECT label AS unit, list(v ORDER BY d) AS w FROM (
+  SELECT label, d, avg(v) * 100 AS v FROM spread WHERE d <= 8 GROUP BY label, d) GROUP BY label),
+w2 AS (SELECT label % {HOPS} AS hop, d - 9 AS unit, avg(v) * 100 AS w FROM spread WHERE d > 8 GROUP BY 1, 2),
+hidden AS (SELECT wv.id, unit, tanh(list_dot_product(vec, w)) AS h FROM wv, w1),
 logits AS (
-  SELECT hidden.id, e.vec_id - {UNITS} AS hop,
-         sum(h * 20 * e.embedding[unit + 1]::DOUBLE) + CASE WHEN hidden.id = 0 THEN -10000.0 ELSE 0.0 END AS s
-  FROM hidden JOIN embeddings e ON e.vec_id BETWEEN {UNITS} AND {UNITS + HOPS - 1} GROUP BY hidden.id, e.vec_id
+  SELECT id, hop, sum(h * w) + CASE WHEN id = 0 THEN -10000.0 ELSE 0.0 END AS s
+  FROM hidden JOIN w2 USING (unit) GROUP BY id, hop
 ),
 powers AS (
   SELECT doc_id, hop, id, tf, exp(s - max(s) OVER (PARTITION BY doc_id, hop)) AS p FROM bag JOIN logits USING (id)
@@ -82,15 +86,16 @@ att AS (SELECT doc_id, hop, id, tf, p / sum(p * tf) OVER (PARTITION BY doc_id, h
 
 def _attended(spark, sf):
     bow, vectors = _bag(spark, sf)
-    given = t.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    given = t.table(spark, sf, "embeddings")
 
-    def rows(first, n, name, width):
-        # the parameter matrices are the rows `first`, …, `first + n - 1` of the table
-        vec = F.transform(F.slice("vec", 1, width), lambda x: x * 20)
-        picked = given.filter(F.col("vec_id").between(first, first + n - 1))
-        return picked.select((F.col("vec_id") - first).alias(name), vec.alias("vec"))
+    def means(row, name, first, width):
+        part = given.select(row.alias(name), F.slice("embedding", first, width).alias("vec"))
+        mean = part.groupBy(name).agg(mean_vector(F.col("vec"), width=width).alias("vec"))
+        return mean.withColumn("vec", F.transform("vec", lambda x: x * 100))
 
-    logits = pooling.attention_logits(vectors, rows(0, UNITS, "unit", 8), rows(UNITS, HOPS, "hop", UNITS))
+    w1 = means(F.col("label"), "unit", 1, 8)
+    w2 = means(F.col("label") % HOPS, "hop", 9, UNITS)
+    logits = pooling.attention_logits(vectors, w1, w2)
     logits = materialize(logits.select("id", "cf", "vec", "logits"), "logits")
     return pooling.attention_weights(pooling.embed_bag(bow, logits), HOPS)
 

@@ -81,7 +81,10 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None, size: int = 8) -> DataFrame:
-    """``(id, word, cf, vec)``: embeddings dealt out in turn to the vocabulary."""
+    """``(id, word, cf, vec)``: embeddings dealt out in turn to the vocabulary.
+
+    Every embedding serves equally many words, so the join has no hot key.
+    """
     vocab = vocab if vocab is not None else vocabulary(spark, sf)
     given = table(spark, sf, "embeddings")
     n = given.count()
@@ -89,7 +92,7 @@ def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None, s
         F.col("vec_id").alias("turn"), F.slice("embedding", 1, size).cast("array<double>").alias("vec")
     )
     dealt = vocab.withColumn("turn", F.pmod("id", F.lit(n)))
-    return materialize(lookup_join(dealt, rows, "turn").select("id", "word", "cf", "vec"), "word-vectors")
+    return materialize(dealt.join(rows, "turn").select("id", "word", "cf", "vec"), "word-vectors")
 
 
 def encoded_documents(spark: SparkSession, sf: str, vocab: DataFrame) -> DataFrame:

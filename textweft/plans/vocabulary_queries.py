@@ -125,8 +125,10 @@ def insertion_dictionary(spark, sf):
 @query("""SELECT md5(text) AS text_md5, row_number() OVER (ORDER BY min(doc_id)) - 1 AS para_id, count(*) AS copies
 FROM documents GROUP BY text""")
 def paragraph_vocabulary(spark, sf):
-    found = vocabulary.paragraph_vocabulary(t.documents(spark, sf))
-    return found.select(F.md5("text").alias("text_md5"), "para_id", "copies")
+    docs = t.documents(spark, sf)
+    found = vocabulary.paragraph_vocabulary(docs)
+    texts = vocabulary.paragraph_texts(found, docs)
+    return found.join(texts, "para_id").select(F.md5("text").alias("text_md5"), "para_id", "copies")
 
 
 @query("""SELECT doc_id, para_id FROM documents JOIN (
@@ -256,16 +258,16 @@ def lsi_fit(spark, sf):
 
 
 @query(f"""WITH {q.WEIGHTS}, loads AS (
-  SELECT vec_id AS id, unnest(range(0, 5)) AS topic, unnest(embedding[1:5]::DOUBLE[]) AS v FROM embeddings
+  SELECT id, unnest(range(0, 5)) AS topic, unnest(embedding[1:5]::DOUBLE[]) AS v
+  FROM dict JOIN embeddings ON vec_id = id % (SELECT count(*) FROM embeddings)
 )
 SELECT doc_id, topic, round(sum(w * v), 6) AS x FROM weights JOIN loads USING (id) GROUP BY doc_id, topic""")
 def lsi_transform(spark, sf):
-    """A given table of loadings: five numbers of the embeddings for the first word ids."""
-    rows = t.table(spark, sf, "embeddings")
-    loads = rows.select(
-        F.col("vec_id").alias("id"), F.posexplode(F.slice(F.col("embedding").cast("array<double>"), 1, 5)).alias("topic", "v")
-    )
-    placed = topics.lsi_transform(t.weights(spark, sf), loads)
+    """A given table of loadings: five numbers of the embeddings, dealt out in turn to the words."""
+    vocab = t.dictionary(spark, sf)
+    dealt = t.word_vectors(spark, sf, vocab, size=5)
+    loads = dealt.select("id", F.posexplode("vec").alias("topic", "v"))
+    placed = topics.lsi_transform(t.weights(spark, sf, vocab), loads)
     return placed.select("doc_id", F.posexplode("vec").alias("topic", "x")).withColumn("x", F.round("x", 6))
 
 
@@ -327,8 +329,12 @@ def batch_plan(spark, sf):
 
 @query("""WITH plan AS (
   SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch_id FROM documents
-) SELECT doc_id, batch_id FROM plan WHERE batch_id = 70 % greatest((SELECT count(*) FROM documents) // 32, 1)""")
+), size AS (SELECT greatest(count(*) // 32, 1) AS n FROM documents)
+SELECT step, count(*) AS n_docs, sum(doc_id)::BIGINT AS checksum
+FROM size, range(0, 2 * n) steps(step) JOIN plan ON batch_id = step % n GROUP BY step""")
 def cursor_batches(spark, sf):
-    """Batch 70 of a cursor that starts over at the end of the table."""
+    """A cursor that goes through all full batches of the table twice."""
     docs = t.documents(spark, sf).select("doc_id")
-    return bags.cursor_batches(docs, 32, 70, docs.count())
+    n_rows = docs.count()
+    taken = bags.cursor_batches(docs, 32, spark.range(2 * max(n_rows // 32, 1)).withColumnRenamed("id", "step"), n_rows)
+    return taken.groupBy("step").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("doc_id").alias("checksum"))
