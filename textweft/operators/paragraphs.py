@@ -211,6 +211,20 @@ def _positions(left: pd.DataFrame, s: Settings, epoch: int) -> np.ndarray:
     return np.arange(lengths.sum())
 
 
+def _paths(leaves: np.ndarray, nodes: np.ndarray):
+    """Per distinct leaf its way down from the root: node rows, code bits, and which are real;
+    and for each given leaf its place among the distinct ones."""
+    distinct, place = np.unique(leaves, return_inverse=True)
+    depth = np.frexp(distinct.astype(np.float64))[1] - 1
+    level = np.arange(depth.max(initial=0))
+    real = level < depth[:, None]
+    up = np.maximum(depth[:, None] - level, 1)
+    node = np.where(real, distinct[:, None] >> up, 1)
+    bits = (distinct[:, None] >> (up - 1)) & 1
+    rows = np.minimum(np.searchsorted(nodes, node * 4 + _NODE), max(len(nodes) - 1, 0))
+    return rows, bits, real & (len(nodes) > 0), place
+
+
 def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: int, paragraphs_only: bool):
     kind = right["key"].to_numpy() & 3
     tables, keys = [], []
@@ -227,7 +241,7 @@ def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: in
 
     lengths = left["ids"].str.len().to_numpy()
     ids = np.searchsorted(keys[_WORD], np.concatenate(left["ids"].to_numpy()) * 4 + _WORD)
-    leaves = np.concatenate(left["leaves"].to_numpy())
+    path, bits, on_path, word_of = _paths(np.concatenate(left["leaves"].to_numpy()), keys[_NODE])
     owner = np.repeat(np.searchsorted(keys[_PARAGRAPH], left["para_id"].to_numpy() * 4 + _PARAGRAPH), lengths)
     first = np.repeat(np.cumsum(lengths) - lengths, lengths)
     last = first + np.repeat(lengths, lengths)
@@ -252,15 +266,9 @@ def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: in
     for lo in range(0, len(places), s.batch):
         at = places[lo : lo + s.batch]
         rate = max(s.min_alpha, alpha * (1 - lo / len(places))) if s.decay else alpha
-        leaf = leaves[at]
-        depth = np.frexp(leaf.astype(np.float64))[1] - 1
-        level = np.arange(depth.max(initial=0))
-        valid = level < depth[:, None]
-        up = np.maximum(depth[:, None] - level, 1)
-        node = np.where(valid, leaf[:, None] >> up, 1)
-        bit = (leaf[:, None] >> (up - 1)) & 1
-        row = np.minimum(np.searchsorted(keys[_NODE], node * 4 + _NODE), max(len(nodes) - 1, 0))
-        if not len(nodes) or not valid.any():
+        word = word_of[at]
+        row, bit, valid = path[word], bits[word], on_path[word]
+        if not valid.any():
             continue
 
         if with_paragraph:
