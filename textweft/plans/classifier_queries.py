@@ -292,8 +292,9 @@ def label_lookup(spark, sf):
     return classify.label_lookup(docs, t.table(spark, sf, "labels"))
 
 
-@query()
+@query("SELECT conv_id, turn FROM conversations")
 def shuffle_rows(spark, sf):
+    """A new order of the same rows."""
     return classify.shuffle_rows(t.table(spark, sf, "conversations").select("conv_id", "turn"), "conv_id")
 
 
