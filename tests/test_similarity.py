@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from textweft.operators import bags, similarity as s, weighting
 from textweft.plans.similar_documents import most_similar_documents

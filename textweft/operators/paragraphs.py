@@ -296,7 +296,8 @@ def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: in
             continue
         used = row[active]
         which = np.nonzero(active)[0]
-        _add_rows(nodes, used, step[active][:, None] * inputs[which]) if len(used) else None
+        if len(used):
+            _add_rows(nodes, used, step[active][:, None] * inputs[which])
         touched[_NODE] += np.bincount(used, minlength=len(nodes))
         if with_paragraph:
             back = back[:, s.paragraph_size :]

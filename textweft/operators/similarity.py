@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import dot, doubles, l2_normalize
+from textweft.functions.vectors import dot, l2_normalize
 from textweft.lookup import fits_broadcast, lookup_join
 from textweft.ordered import number_rows
 from textweft.scratch import materialize, spread_groups
