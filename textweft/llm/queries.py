@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 from textweft.llm.bpe import encode_texts
 from textweft.llm.common import table
 from textweft.llm.decontaminate import contamination
+from textweft.llm.html_text import extract_text
 from textweft.llm.personal_data import DIGEST, find_personal_data
 from textweft.llm.quality_rules import COUNTS, fit_quality, judge_counts
 from textweft.llm.registry import ORACLES, QUERIES, query
 from textweft.llm.simhash import near_duplicates
+from textweft.llm.url_filter import url_verdicts
+from textweft.llm.warc import assemble, read_archives, resolve_revisits, write_archives
+from textweft.scratch import materialize, new_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -79,6 +83,109 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+@query()
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract_text(pages, keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query(
+    """
+WITH u AS (
+  SELECT page_id, strpos(url, '://') AS place, url FROM pages
+),
+r AS (
+  SELECT page_id, translate(regexp_extract(substr(url, place + 3), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(url, place + 3), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u WHERE place > 0
+  UNION ALL SELECT page_id, '', '' FROM u WHERE coalesce(place, 0) = 0
+),
+ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM r
+),
+v AS (
+  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS by_rule FROM ruled
+),
+p AS (
+  SELECT host, path, count(*) AS n, count(by_rule) AS labelled, count(*) FILTER (by_rule = 'block') AS bad,
+         list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+           lambda s: CASE WHEN regexp_matches(s, '^[0-9]|[0-9].*[0-9].*[0-9]|^.{24,}$') THEN '*' ELSE s END) AS shapes
+  FROM v GROUP BY host, path
+),
+lv AS (
+  SELECT host, path, n, k, shapes[k] AS shape, array_to_string(shapes[1:k - 1], '/') AS above
+  FROM (SELECT host, path, n, shapes, unnest(range(1, len(shapes) + 1)) AS k FROM p)
+),
+sg AS (SELECT host, k, above, shape, sum(n) AS own FROM lv GROUP BY ALL),
+nm AS (
+  SELECT *, CASE WHEN count(*) OVER node <= 20 OR own * 50 >= sum(own) OVER node THEN shape ELSE '*' END AS segment
+  FROM sg WINDOW node AS (PARTITION BY host, k, above)
+),
+t AS (
+  SELECT host, path, '/' || string_agg(segment, '/' ORDER BY k) AS template
+  FROM lv JOIN nm USING (host, k, above, shape) GROUP BY host, path
+  UNION ALL SELECT host, path, '/' FROM p WHERE len(shapes) = 0
+),
+c AS (
+  SELECT host, template, regexp_replace(template, '^/[^/]+', '/*') AS family, sum(labelled) AS labelled, sum(bad) AS bad
+  FROM p JOIN t USING (host, path) GROUP BY host, template
+),
+f AS (
+  SELECT *, sum(labelled) OVER fam AS al, sum(bad) OVER fam AS ab, (SELECT sum(bad) / greatest(sum(labelled), 1) FROM c) AS prior
+  FROM c WINDOW fam AS (PARTITION BY host, family)
+),
+g AS (
+  SELECT *, labelled >= 5 AND abs(bad / labelled - ab / al) <= 1.96 * sqrt(ab / al * (1 - ab / al) / labelled) AS alike FROM f
+),
+m AS (
+  SELECT host, template, labelled > 0 AND (
+    (CASE WHEN alike THEN sum(bad) FILTER (alike) OVER fam ELSE bad END + 4 * prior)
+    / (CASE WHEN alike THEN sum(labelled) FILTER (alike) OVER fam ELSE labelled END + 4)) >= 0.9 AS rejected
+  FROM g WINDOW fam AS (PARTITION BY host, family)
+)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM v JOIN t USING (host, path) JOIN m USING (host, template)
+"""
+)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url judged by the rules, or else by what the tree learns from urls with a rule."""
+    return url_verdicts(table(spark, sf_dir, "pages"), RULES)
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+d AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1, 1)), '') AS payload_digest
+  FROM p
+),
+l AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM l
+"""
+)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to archives, read them back and assemble the captures."""
+    path = new_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    captures = materialize(assemble(read_archives(spark, path, payloads=False)), "captures")
+    return resolve_revisits(captures)
+
+
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, and whether it stays."""
