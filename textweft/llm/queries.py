@@ -11,6 +11,7 @@ from textweft.llm.personal_data import DIGEST, find_personal_data
 from textweft.llm.quality_rules import COUNTS, fit_quality, judge_counts
 from textweft.llm.registry import ORACLES, QUERIES, query
 from textweft.llm.simhash import near_duplicates
+from textweft.llm.substrings import remove_repeated_spans
 from textweft.llm.url_filter import url_verdicts
 from textweft.llm.warc import assemble, read_archives, resolve_revisits, write_archives
 from textweft.scratch import materialize, new_path
@@ -162,6 +163,31 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), RULES)
 
 
+@query(
+    """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\r\\v\\f]+'), lambda x: x <> '') AS w FROM documents
+),
+wins AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM w WHERE len(w) >= 35)
+),
+rep AS (SELECT doc_id, s FROM wins WHERE win IN (SELECT win FROM wins GROUP BY win HAVING count(*) > 1)),
+cov AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM rep),
+tok AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM tok ANTI JOIN cov USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+)
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages found elsewhere too."""
+    found = remove_repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query(
     """
 WITH p AS (
