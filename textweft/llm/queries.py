@@ -8,6 +8,7 @@ from textweft.llm.common import table
 from textweft.llm.decontaminate import contamination
 from textweft.llm.html_text import extract_text
 from textweft.llm.personal_data import DIGEST, find_personal_data
+from textweft.llm.quality_model import fit_quality_model, held_out, score_quality
 from textweft.llm.quality_rules import COUNTS, fit_quality, judge_counts
 from textweft.llm.registry import ORACLES, QUERIES, query
 from textweft.llm.simhash import near_duplicates
@@ -84,6 +85,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, by a model taught on rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality_model(docs, table(spark, sf_dir, "labels"))
+    found = score_quality(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
