@@ -50,12 +50,20 @@ def map_columns(df: DataFrame, reads: list[str], adds: T.StructType, work: Rows,
     return source.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def judged_rows(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], keep: F.Column, adds: list[str]) -> DataFrame:
     """The rows of ``docs`` that ``keep`` holds for, once ``operator`` has added ``adds``.
 
     Columns of ``docs`` that are named like an added one come through unharmed.
     """
-    own = {c: f"_own_{c}" for c in docs.columns if c in adds}
+    own = {c: free_name(docs, f"_own_{c}") for c in docs.columns if c in adds}
     judged = operator(docs.withColumnsRenamed(own)).filter(keep)
     return judged.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
 

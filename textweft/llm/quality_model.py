@@ -65,7 +65,7 @@ class Model:
 
     def __init__(self, bags: list[np.ndarray], labels: np.ndarray, seed: int = 5, steps: int = STEPS):
         self.constant = float(labels.mean()) if len(labels) else 0.5
-        self.fitted = 0.0 < self.constant < 1.0
+        self.fitted = len(labels) > 0 and 0.0 < self.constant < 1.0
         if self.fitted:
             x = np.concatenate(bags)
             self.centre, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-3
