@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textweft.llm.common import LOWER_ASCII, map_columns
+from textweft.llm.common import LOWER_ASCII, free_name, map_columns
 from textweft.llm.components import connected_components
 from textweft.scratch import materialize
 
@@ -32,6 +32,7 @@ BITS = 64
 HOT = 10_000
 PROBE_COST = 8.0  # what a probe costs against a compared candidate
 PARTITIONS = (2, 3, 4)
+MERGERS = 8  # rows of summed statistics that reach the driver
 SUB_BITS = 11  # histograms of sub-partitions have at most 2**11 bins
 _LANES = np.array([sum(1 << (8 * i) for i in range(8) if b >> i & 1) for b in range(256)], dtype=np.uint64)
 
@@ -75,29 +76,36 @@ def _bits_of(prints: np.ndarray) -> np.ndarray:
     return np.unpackbits(raw, axis=1, bitorder="little")
 
 
-def _summed(prints: DataFrame, count: Callable[[np.ndarray], np.ndarray]) -> dict[int, float]:
-    """Add up an array of fixed length over all fingerprints; one row per place and task."""
+def _summed(prints: DataFrame, count: Callable[[np.ndarray], np.ndarray]) -> np.ndarray | None:
+    """Add up an array of fixed length over all fingerprints, in tasks and then in ``MERGERS``.
+
+    Every task hands on one row whatever its number of fingerprints; None without any.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            prints = batch.column(0).to_numpy(zero_copy_only=False)
-            if len(prints):
-                part = count(prints)
+            if batch.num_rows:
+                part = count(batch.column(0).to_numpy(zero_copy_only=False)).astype(np.float64)
                 total = part if total is None else total + part
-        if total is not None:
-            places = np.flatnonzero(total)
-            columns = [pa.array(places, pa.int32()), pa.array(total[places].astype(np.float64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["place", "n"])
+        yield _sum_row(total)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for value in batch.column(0):
+                part = np.frombuffer(value.as_buffer(), np.float64)
+                total = part.copy() if total is None else total + part
+        yield _sum_row(total)
 
-    rows = prints.select("fp").mapInArrow(run, "place int, n double").groupBy("place").agg(F.sum("n").alias("n"))
-    return {r["place"]: r["n"] for r in rows.toLocalIterator()}
+    rows = prints.select("fp").mapInArrow(run, "sums binary").repartition(MERGERS).mapInArrow(merge, "sums binary")
+    parts = [np.frombuffer(r["sums"], np.float64) for r in rows.collect()]
+    return np.sum(parts, axis=0) if parts else None
 
 
-def _filled(sums: dict[int, float], length: int) -> np.ndarray:
-    out = np.zeros(length)
-    out[list(sums)] = list(sums.values())
-    return out
+def _sum_row(total: np.ndarray | None) -> pa.RecordBatch:
+    rows = [] if total is None else [total.tobytes()]
+    return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["sums"])
 
 
 def group_bits(together: np.ndarray, total: float, m: int) -> list[list[int]]:
@@ -213,7 +221,8 @@ def make_plan(prints: DataFrame, reach: int) -> Plan:
         bits = _bits_of(p).astype(np.float32)
         return np.append((bits.T @ bits).astype(np.float64).ravel(), len(p))
 
-    sums = _filled(_summed(prints, together), BITS * BITS + 1)
+    sums = _summed(prints, together)
+    sums = np.zeros(BITS * BITS + 1) if sums is None else sums
     total, joint = sums[-1], sums[:-1].reshape(BITS, BITS)
     groups = {m: group_bits(joint, total, m) for m in PARTITIONS}
     subs = [(m, i, sub) for m, parts in groups.items() for i, part in enumerate(parts) for sub in _subs(part)]
@@ -223,7 +232,8 @@ def make_plan(prints: DataFrame, reach: int) -> Plan:
         bits = _bits_of(p)
         return np.concatenate([np.bincount(_values(bits, sub), minlength=1 << len(sub)) for _, _, sub in subs])
 
-    counts = _filled(_summed(prints, histograms), int(offsets[-1]))
+    counts = _summed(prints, histograms)
+    counts = np.zeros(offsets[-1]) if counts is None else counts
     plans = {}
     for m, parts in groups.items():
         near: list[list[np.ndarray]] = [[] for _ in parts]
@@ -236,8 +246,8 @@ def make_plan(prints: DataFrame, reach: int) -> Plan:
         bits = _bits_of(p)
         return np.array([plan.allocate(bits)[1].sum() for plan in plans.values()])
 
-    spent = _filled(_summed(prints, cost), len(plans))
-    return list(plans.values())[int(spent.argmin())]
+    spent = _summed(prints, cost)
+    return list(plans.values())[0 if spent is None else int(spent.argmin())]
 
 
 def _emit(prints: DataFrame, rows: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
@@ -351,13 +361,14 @@ def keep_one_of_each(
     kept = grouped.groupBy("root").agg(F.min_by(F.struct("first_id", "fp"), order).alias("k")).select("k.*")
     times = marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("doc_id IS NULL OR times > 1")
     repeated = materialize(times.select("doc_id"), "repeated")
-    kept = materialize(kept.select(F.col("first_id").alias("_id"), F.col("fp").alias("_kept_fp")), "kept")
-    once = kept.join(repeated, F.col("_id") == F.col("doc_id"), "left_anti").filter("_id IS NOT NULL")
-    plain = docs.join(once, F.col(id) == F.col("_id"), "left_semi")
+    key, mark, kept_mark = (free_name(docs, n) for n in ("_key", "_mark", "_kept_mark"))
+    kept = materialize(kept.select(F.col("first_id").alias(key), F.col("fp").alias(kept_mark)), "kept")
+    once = kept.join(repeated, F.col(key) == F.col("doc_id"), "left_anti").filter(F.col(key).isNotNull())
+    plain = docs.join(once, F.col(id) == F.col(key), "left_semi")
     if not repeated.limit(1).count():
         return plain
-    again = docs.join(repeated.select(F.col("doc_id").alias("_id")), F.col(id).eqNullSafe(F.col("_id")), "left_semi")
-    again = with_fingerprint(again, size, text, "_fp")
-    same = F.col("_fp").eqNullSafe(F.col("_kept_fp")) & F.col(id).eqNullSafe(F.col("_id"))
-    hard = again.join(kept, same, "left_semi").dropDuplicates([id, "_fp"])
+    again = docs.join(repeated.select(F.col("doc_id").alias(key)), F.col(id).eqNullSafe(F.col(key)), "left_semi")
+    again = with_fingerprint(again, size, text, mark)
+    same = F.col(mark).eqNullSafe(F.col(kept_mark)) & F.col(id).eqNullSafe(F.col(key))
+    hard = again.join(kept, same, "left_semi").dropDuplicates([id, mark])
     return plain.unionByName(hard.select(*docs.columns))
