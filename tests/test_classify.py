@@ -83,8 +83,11 @@ def test_split_and_shuffle_repeat(spark):
     ids = spark.range(1000)
     a, b = (dict(map(tuple, c.split_rows(ids.repartition(n), "id").collect())) for n in (1, 6))
     assert a == b and 750 < sum(v == "train" for v in a.values()) < 850
-    order = [[r["id"] for r in c.shuffle_rows(ids.repartition(n), "id").collect()] for n in (1, 6)]
-    assert order[0] == order[1] != sorted(order[0])
+    pairs = ids.select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    places = [{r["b"]: r["position"] for r in c.shuffle_rows(pairs.repartition(n), ["a", "b"]).collect()} for n in (1, 6)]
+    assert places[0] == places[1] and sorted(places[0].values()) == list(range(1000))
+    order = sorted(places[0], key=places[0].get)
+    assert sum(x % 7 == y % 7 for x, y in zip(order, order[1:])) < 250 and order != sorted(order)
 
 
 def test_window_codes_lose_little_of_a_flat_cloud(spark):

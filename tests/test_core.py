@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from textweft.functions.vectors import max_vector, mean_vector, vector_width
 from textweft.lookup import lookup_join
 from textweft.ordered import carry_forward, number_rows, running_total
 
@@ -45,3 +46,16 @@ def test_hot_keys_join_like_others(spark, how):
     for limit in (None, 0):
         got = lookup_join(facts, table, "k", how, weight="n", limit=limit)
         assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (0, [1.0, 2.0, 3.0])], "g long, vec array<double>")
+    with pytest.raises(ValueError, match="2 and of 3"):
+        vector_width(rows)
+    assert vector_width(rows.limit(0)) is None and vector_width(rows.filter("size(vec) = 3")) == 3
+
+
+def test_a_missing_number_keeps_its_place(spark):
+    rows = spark.createDataFrame([(0, [1.0, None, 5.0]), (1, [2.0])], "g long, vec array<double>").groupBy("g")
+    for found in (rows.agg(mean_vector(F.col("vec"), width=4).alias("v")), rows.agg(max_vector(F.col("vec"), 4).alias("v"))):
+        assert {r["g"]: r["v"] for r in found.collect()} == {0: [1.0, None, 5.0], 1: [2.0]}

@@ -89,12 +89,6 @@ def test_cbow_mean(spark):
     assert found == {0: [1.0, 1.0], 1: [1.0, 1.0], 2: [1.0, 1.0]}
 
 
-def test_word2vec_repeats_with_a_seed(spark):
-    text = spark.createDataFrame([(i, "a b c d e".split()) for i in range(50)], "doc_id long, words array<string>")
-    runs = [sorted(map(tuple, e.word2vec_fit(text.coalesce(1), size=4).select("word", "vec").collect())) for _ in range(2)]
-    assert runs[0] == runs[1] and len(runs[0]) == 5
-
-
 def test_context_windows(spark):
     rows = spark.createDataFrame([(0, [1, 2, 3]), (1, [])], "doc_id long, ids array<long>")
     found = {r["pos"]: (r["target"], r["context"]) for r in w.context_windows(rows, 2, 0).collect()}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textweft.operators import paragraphs as p
+from textweft.sources import snapshots
 
 SENTENCES = [
     "the cat sat on the mat", "the dog sat on the log", "a cat and a dog ran", "the mat and the log lay",
@@ -158,3 +159,27 @@ def test_input_widths(spark):
     assert p.pvdm_input(wins, words, owner, "mean").first()["input"] == [9.0, 2.0, 4.0]
     unit = p.normalize_paragraphs(owner, replace=True).select(F.get("vec", F.lit(0))).first()[0]
     assert unit == 1.0
+
+
+def test_word2vec_repeats_whatever_the_partitions(spark):
+    rows = [(i, [f"{'xy'[i % 2]}{j}" for j in (0, 1, 2, 3, i % 4)]) for i in range(60)]
+    tokens = spark.createDataFrame(rows, "doc_id long, words array<string>")
+    runs = []
+    for n in (1, 5):
+        model = p.word2vec_fit(tokens.repartition(n), size=8, window=2, min_count=2, iterations=4, batch=50)
+        runs.append({r["word"]: r["vec"] for r in model.word_vectors().collect()})
+        errors = [error for _, _, _, error in model.epochs]
+        assert errors[-1] < errors[0]
+    assert runs[0].keys() == runs[1].keys() and {"x0", "y3"} <= runs[0].keys()
+    assert all(runs[0][w] == pytest.approx(runs[1][w]) for w in runs[0])
+
+
+def test_a_saved_model_infers_like_the_first(spark, tmp_path):
+    tokens = spark.createDataFrame([(i, "a b c d a b".split()) for i in range(6)], "doc_id long, words array<string>")
+    model = p.pvdm_fit(tokens, settings(), min_count=1, max_iter=2)
+    snapshots.save_record(model, str(tmp_path / "m"))
+    loaded = snapshots.load_record(p.ParagraphModel, spark, str(tmp_path / "m"), settings=p.Settings)
+    assert loaded.settings == model.settings and [tuple(e) for e in loaded.epochs] == model.epochs
+    fresh = spark.createDataFrame([(9, "b c a".split())], "doc_id long, words array<string>")
+    first, again = (p.pvdm_infer(m, fresh, max_iter=2).paragraph_vectors().first()["vec"] for m in (model, loaded))
+    assert first == pytest.approx(again)

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textweft.operators import bags, similarity as s, weighting
 from textweft.plans.similar_documents import most_similar_documents
@@ -108,10 +109,37 @@ def test_spaces_do_not_mix(spark):
         s.dense_cosine(index, asked)
 
 
-def test_full_report_refuses_a_large_query_table(spark):
-    weights = long_form(spark, QUICK).withColumnRenamed("tf", "w")
-    with pytest.raises(ValueError, match="similarity_join"):
-        s.sparse_cosine(weights, weights.select("doc_id"), weights.withColumnRenamed("doc_id", "query_id"), limit=0)
+def test_large_query_tables_are_worked_off_in_blocks(spark):
+    weights = long_form(spark, QUICK).withColumnRenamed("tf", "w").withColumn("w", F.col("w") * 0.3)
+    docs, asked = weights.select("doc_id").distinct(), weights.withColumnRenamed("doc_id", "query_id")
+    whole, parts = (sorted(map(tuple, s.sparse_cosine(weights, docs, asked, limit=n).collect())) for n in (None, 200))
+    assert whole == parts and len(whole) == 81
+    rows = spark.createDataFrame([(i, [float(i), 1.0, i % 3 * 1.0]) for i in range(20)], "doc_id long, vec array<double>")
+    asked = rows.withColumnRenamed("doc_id", "query_id")
+    whole, parts = (sorted(map(tuple, s.dense_cosine(rows, asked, limit=n).collect())) for n in (None, 100))
+    assert whole == parts and len(whole) == 400
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_score_that_rounds_to_zero_is_no_hit(spark, monkeypatch, small):
+    index = spark.createDataFrame([(0, 0, 1.0), (1, 0, 1e-8), (2, 0, 6e-7)], "doc_id long, id long, w double")
+    asked = spark.createDataFrame([(9, 0, 1.0)], "query_id long, id long, w double")
+    if small:
+        found = s.best_k(s.positive_scores(index, asked), 5)
+    else:
+        found = s.similarity_join(index, asked, 5)
+    assert sorted((r["doc_id"], r["score"], r["rank"]) for r in found.collect()) == [(0, 1.0, 1), (2, 1e-6, 2)]
+
+
+def test_nearest_takes_the_same_rows_both_ways(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(300)]
+    index = spark.createDataFrame(rows, "doc_id long, vec array<double>").repartition(5)
+    asked = index.filter("doc_id % 11 = 0").withColumnRenamed("doc_id", "query_id")
+    few, many = (sorted(map(tuple, s.nearest(index, asked, 7, True, limit=n).collect())) for n in (1 << 20, 0))
+    assert few == many and len(few) == 7 * asked.filter("aggregate(vec, 0D, (a, x) -> a + x * x) > 0").count()
+    plan = s.nearest(index, asked, 7, limit=1 << 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" in plan and "CoGroup" not in plan
 
 
 def test_term_in_every_document_has_no_weight(spark):

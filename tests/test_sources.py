@@ -85,6 +85,18 @@ def test_dictionary_json(spark, titles, tmp_path):
     )
 
 
+def test_a_dictionary_without_ids_counts_its_lines(spark, tmp_path):
+    (tmp_path / "d").write_text('{"word": "b"}\n{"word": "a"}\n')
+    assert sorted(map(tuple, snapshots.load_dictionary_json(spark, str(tmp_path / "d")).collect())) == [("a", 1), ("b", 0)]
+
+
+def test_files_follow_their_part_number(spark, tmp_path):
+    for name, text in (("part-99999-x.txt", "one two"), ("part-100000-x.txt", "three"), ("part-00007-x.txt", "zero")):
+        (tmp_path / name).write_text(text + "\n")
+    stream = lines.read_word_stream(spark, str(tmp_path)).orderBy("start").collect()
+    assert [w for r in stream for w in r["words"]] == ["zero", "one", "two", "three"]
+
+
 def test_pretrained(spark):
     vocab = spark.createDataFrame(
         [("a", [0.5, 0.5]), ("b", [0.1, 0.2]), ("<pad>", [9.0, 9.0])], "word string, vec array<double>"

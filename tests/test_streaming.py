@@ -17,7 +17,7 @@ def test_streamed_counts_equal_the_batch(spark, tmp_path):
     words = tx.tokenize_ws(F.col("text"))
 
     def run():
-        arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string")
+        arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string", 1)
         streams.stream_extend_vocabulary(arriving, words, counts, state).awaitTermination()
 
     arrive(spark, folder, [(0, "a b a")], [(1, "c a")])
@@ -31,7 +31,7 @@ def test_streamed_counts_equal_the_batch(spark, tmp_path):
 
     # a batch that is replayed overwrites itself
     again = str(tmp_path / "state-lost")
-    arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string")
+    arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string", 1)
     streams.stream_extend_vocabulary(arriving, words, counts, again).awaitTermination()
     assert dict(map(tuple, streams.streamed_vocabulary(spark, counts).collect())) == seen
 
@@ -46,7 +46,7 @@ def test_streamed_scores_equal_the_batch(spark, titles, tmp_path):
     index = materialize(weighting.tfidf_transform(bow, model), "index")
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     arrive(spark, folder, [(100, "human computer interaction")], [(101, "graph trees"), (102, "nothing known")])
-    arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string")
+    arriving = streams.stream_documents(spark, folder, "*.parquet", "doc_id long, text string", 1)
     queries = arriving.select("doc_id", tx.tokenize_ws(F.col("text")).alias("words"))
     scoring.stream_score(queries, index, model, 2, out, str(tmp_path / "state")).awaitTermination()
     found = sorted(map(tuple, scoring.scored(spark, out).collect()))

@@ -39,17 +39,20 @@ MAX_COLUMNS = 128  # vectors up to this width are aggregated as plain columns
 
 
 def vector_width(df: DataFrame, vec: str = "vec") -> int | None:
-    """The length of the vectors in ``df``; None if it has no rows."""
-    row = df.select(F.size(vec).alias("n")).first()
-    return row["n"] if row else None
+    """The length of all vectors in ``df``; None if it has none. Different lengths are an error."""
+    size = F.when(F.col(vec).isNotNull(), F.size(vec))
+    row = df.agg(F.min(size).alias("low"), F.max(size).alias("high")).first()
+    if row["low"] != row["high"]:
+        raise ValueError(f"vectors of {row['low']} and of {row['high']} numbers in one table")
+    return row["high"]
 
 
 def mean_vector(vec: Column, weight: Column | None = None, width: int | None = None) -> Column:
     """Aggregate: element-wise (weighted) mean, with map-side partial results.
 
     With a known ``width`` the elements are averaged as columns, which stays inside a
-    compiled hash aggregate; shorter vectors keep their own length. Other vectors go
-    through MLlib's summarizer.
+    compiled hash aggregate; a group of shorter vectors keeps their length. Other vectors
+    go through MLlib's summarizer. Vectors of one group have one length.
     """
     if width is not None and width <= MAX_COLUMNS:
         places = [F.get(vec, F.lit(i)).cast("double") for i in range(width)]
@@ -58,7 +61,7 @@ def mean_vector(vec: Column, weight: Column | None = None, width: int | None = N
         else:
             total = F.sum(weight)
             means = F.array(*[F.sum(x * weight) / total for x in places])
-        return F.filter(means, lambda x: x.isNotNull())
+        return F.slice(means, F.lit(1), F.max(F.size(vec)))  # a missing number keeps its place
     value = array_to_vector(doubles(vec))
     mean = Summarizer.mean(value) if weight is None else Summarizer.mean(value, weight)
     return vector_to_array(mean)
@@ -67,7 +70,8 @@ def mean_vector(vec: Column, weight: Column | None = None, width: int | None = N
 def max_vector(vec: Column, width: int | None = None) -> Column:
     """Aggregate: element-wise maximum, with map-side partial results."""
     if width is not None and width <= MAX_COLUMNS:
-        return F.array(*[F.max(F.get(vec, F.lit(i)).cast("double")) for i in range(width)])
+        largest = F.array(*[F.max(F.get(vec, F.lit(i)).cast("double")) for i in range(width)])
+        return F.slice(largest, F.lit(1), F.max(F.size(vec)))
     return vector_to_array(Summarizer.max(array_to_vector(doubles(vec))))
 
 

@@ -1,5 +1,7 @@
 """Training and judging classifiers, and compressing windows."""
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, StandardScaler
@@ -7,7 +9,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import doubles, hash_uniform
+from textweft.functions.vectors import doubles, hash_uniform, vector_width
+from textweft.ordered import number_rows
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -22,7 +25,7 @@ def train_classifier(
     if hidden is None:
         stage = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=regularization)
     else:
-        width = rows.select(F.size("vec")).first()[0]
+        width = vector_width(rows)
         stage = MultilayerPerceptronClassifier(layers=[width, hidden, classes], maxIter=max_iter, seed=seed)
     return Pipeline(stages=[stage]).fit(data)
 
@@ -132,9 +135,13 @@ def neighbour_labels(neighbours: DataFrame, predictions: DataFrame) -> DataFrame
     return neighbours.join(predictions.select("id", "prediction", "label"), "id")
 
 
-def shuffle_rows(rows: DataFrame, key: str, seed: int = 1) -> DataFrame:
-    """A repeatable random order."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+def shuffle_rows(rows: DataFrame, keys: Sequence[str], seed: int = 1, name: str = "position") -> DataFrame:
+    """Add each row's place in a repeatable random order; ``keys`` tell the rows apart.
+
+    The order follows a digest of all keys, so rows that share one of them part as well.
+    """
+    mixed = rows.withColumn("_mixed", F.xxhash64(F.lit(seed), *keys))
+    return number_rows(mixed, ["_mixed", *keys], name, label="shuffled").drop("_mixed")
 
 
 def split_rows(rows: DataFrame, key: str, train: float = 0.8, validation: float = 0.1, seed: int = 1) -> DataFrame:

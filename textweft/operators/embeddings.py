@@ -1,7 +1,5 @@
-"""Word vectors ``(word, vec)``: training, look-up, neighbours and analogies."""
+"""Word vectors ``(word, vec)``: look-up, pairs of neighbours, nearest words and analogies."""
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,45 +15,9 @@ from textweft.functions.vectors import (
 )
 from textweft.lookup import fits_broadcast, lookup_join
 from textweft.operators.similarity import best_k, nearest
-from textweft.operators.vocabulary import map_oov, restrict_vocabulary, token_counts
+from textweft.operators.vocabulary import map_oov, restrict_vocabulary
 from textweft.scratch import materialize
 
-DRIVER_FLOATS = 200_000_000
-
-
-def word2vec_fit(
-    tokens: DataFrame,
-    size: int = 100,
-    window: int = 5,
-    min_count: int = 5,
-    alpha: float = 0.025,
-    iterations: int = 1,
-    partitions: int = 1,
-    seed: int = 1,
-) -> DataFrame:
-    """Skip-gram vectors with a code tree over the vocabulary.
-
-    MLlib holds vocabulary and vectors on the driver. A larger vocabulary is refused;
-    ``paragraphs.pretrain(mode='skipgram')`` trains the same objective with the vectors
-    in tables.
-    """
-    counts = token_counts(tokens).filter(F.col("n") >= min_count)
-    if counts.count() * size > DRIVER_FLOATS:
-        raise ValueError("vocabulary too large for the driver; use paragraphs.pretrain")
-    model = Word2Vec(
-        vectorSize=size,
-        windowSize=window,
-        minCount=min_count,
-        stepSize=alpha,
-        maxIter=iterations,
-        numPartitions=partitions,
-        seed=seed,
-        inputCol="words",
-        outputCol="vec",
-    ).fit(tokens)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))
-
-
 def init_vectors(ids: DataFrame, size: int, seed: int = 1, init_range: float | None = None, key: str = "id") -> DataFrame:
     """Add ``vec``: a starting vector that depends on the key and the seed alone."""
     return ids.withColumn("vec", random_vector(F.col(key), size, seed, init_range))
@@ -182,14 +144,15 @@ def search_vector(queries: DataFrame, vectors: DataFrame, topn: int = 10) -> Dat
     return found.join(names, "doc_id").select("query_id", "word", "score", "rank")
 
 
-def analogy_accuracy(questions: DataFrame, vectors: DataFrame, restrict_vocab: int = 30_000) -> DataFrame:
+def analogy_accuracy(questions: DataFrame, vectors: DataFrame, restrict_vocab: int | None = 30_000) -> DataFrame:
     """``(section, correct, incorrect)`` per section, and ``total``.
 
     ``questions(section, a, b, c, expected)`` asks for the word nearest to b + c - a among
-    the most frequent words, other than a, b and c. Questions with other words are skipped.
+    the most frequent words (all of them if ``restrict_vocab`` is None), other than a, b and
+    c. Questions with other words are skipped.
     ``vectors(word, id, vec, cf)``.
     """
-    frequent = restrict_vocabulary(vectors, restrict_vocab)
+    frequent = vectors if restrict_vocab is None else restrict_vocabulary(vectors, restrict_vocab)
     frequent = frequent.select("word", F.col("id").alias("doc_id"), l2_normalize(F.col("vec")).alias("vec"))
     frequent = materialize(frequent, "frequent")
     small = fits_broadcast(frequent)

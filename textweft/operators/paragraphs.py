@@ -33,6 +33,7 @@ from textweft.sources.vectors import PADDING, UNKNOWN
 MAX_ACTIVATION = 6.0  # fixed value: beyond it a node is taken as learnt
 BLOCK_WORDS = 100_000
 _WORD, _NODE, _PARAGRAPH = 0, 1, 2
+PARAGRAPH_KIND = _PARAGRAPH
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,7 @@ class Settings:
     mode: str = "mean"  # mean, concat, self or skipgram
     symmetric_window: bool = True
     random_window: bool = False
+    all_pairs: bool = False  # skipgram: every neighbour of a randomly reduced window, not one
     scale_updates: bool = False
     decay: bool = True
     alpha: float = 0.035
@@ -255,7 +257,12 @@ def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: in
     error = 0.0
 
     places = _positions(left, s, epoch)
-    if s.mode == "skipgram":
+    if s.mode == "skipgram" and s.all_pairs:
+        reach = rng.integers(1, s.window + 1, len(places))
+        other = places[:, None] + offsets
+        inside = (np.abs(offsets) <= reach[:, None]) & (other >= first[:, None]) & (other < last[:, None])
+        places, source = np.repeat(places, inside.sum(axis=1)), other[inside]
+    elif s.mode == "skipgram":
         jump = rng.integers(-s.window, s.window, len(places))
         other = places + np.where(jump == 0, 1, jump)
         inside = (other >= first) & (other < last)
@@ -385,10 +392,11 @@ def _start(vocab: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     words = vocab.select(
         _key(F.col("id"), _WORD).alias("key"), random_vector(F.col("id"), s.size, s.seed).alias("vec")
     )
-    return words.unionByName(_start_paragraphs(texts, s))
+    return words.unionByName(start_paragraphs(texts, s))
 
 
-def _start_paragraphs(texts: DataFrame, s: Settings) -> DataFrame:
+def start_paragraphs(texts: DataFrame, s: Settings) -> DataFrame:
+    """``(key, vec)``: the vectors that paragraphs start from."""
     vec = random_vector(F.col("para_id"), s.paragraph_size, s.seed + 1)
     return texts.select(_key(F.col("para_id"), _PARAGRAPH).alias("key"), vec.alias("vec"))
 
@@ -454,12 +462,35 @@ def pretrain(
     limit: int | None = None,
 ) -> ParagraphModel:
     """Warm up word vectors: ``settings.mode`` is ``self`` (a word predicts itself) or
-    ``skipgram`` (a random neighbour predicts the word)."""
+    ``skipgram`` (a random neighbour predicts the word, or each one with ``all_pairs``)."""
     if settings.mode not in ("self", "skipgram"):
         raise ValueError("mode must be self or skipgram")
     return pvdm_fit(tokens, settings, min_count, max_iter, limit=limit)
 
 
+def word2vec_fit(
+    tokens: DataFrame,
+    size: int = 100,
+    window: int = 5,
+    min_count: int = 5,
+    alpha: float = 0.025,
+    min_alpha: float = 0.0001,
+    iterations: int = 1,
+    batch: int = 1000,
+    seed: int = 1,
+    limit: int | None = None,
+) -> ParagraphModel:
+    """Skip-gram vectors with a code tree over the vocabulary, from all pairs of reduced windows.
+
+    Vectors stay in tables; a block of text pulls the rows it uses. Within an epoch the rate
+    falls to ``min_alpha``. The model's ``word_vectors()`` also hold the unknown and padding words.
+    """
+    settings = Settings(
+        size=size, paragraph_size=0, window=window, mode="skipgram", all_pairs=True, alpha=alpha, min_alpha=min_alpha, batch=batch, seed=seed
+    )
+    return pvdm_fit(tokens, settings, min_count, iterations, max_batch=batch, limit=limit)
+
+
 def expand_nodes(nodes: DataFrame, repeats: int, paragraph_size: int, vec: str = "vec") -> DataFrame:
     """Node vectors of a pre-trained tree made ready for windows: zeros for the paragraph,
     then each value ``repeats`` times, divided by ``repeats``."""
@@ -479,7 +510,7 @@ def expand_to_windows(model: ParagraphModel, settings: Settings) -> ParagraphMod
     weights = (
         model.weights.filter(is_word)
         .unionByName(nodes)
-        .unionByName(_start_paragraphs(model.paragraphs, settings))
+        .unionByName(start_paragraphs(model.paragraphs, settings))
     )
     return ParagraphModel(settings, model.vocab, model.paragraphs, materialize(weights, "weights"))
 
@@ -491,7 +522,7 @@ def pvdm_infer(
     tokens = tokens.filter(F.size("words") > 0)
     texts = _paragraph_texts(tokens)
     learnt = model.weights.filter(F.pmod("key", F.lit(4)) != _PARAGRAPH)
-    weights = materialize(learnt.unionByName(_start_paragraphs(texts, model.settings)), "weights")
+    weights = materialize(learnt.unionByName(start_paragraphs(texts, model.settings)), "weights")
     fresh = ParagraphModel(model.settings, model.vocab, texts, weights)
     job = _lay_out(tokens, model.vocab, texts, limit)
     return _run(fresh, job, max_iter, model.settings.batch, True, limit)

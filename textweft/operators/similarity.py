@@ -1,15 +1,18 @@
 """Cosine scores and rankings.
 
-Reports that hold every (query, document) score take a measured, small set of
-queries. Top-k searches take two tables of any size: both are cut into blocks of
-bounded size, each pair of blocks is one group, and a group hands on only its
-best ``k`` per query.
+Reports that hold every (query, document) score go over the documents once for each
+block of queries that fits a broadcast. Top-k searches take two tables of any size: few
+queries travel to the unmoved documents, many are cut into blocks like the documents, each
+pair of blocks is one group, and a group hands on only its best ``k`` per query. Only
+positive scores are hits of a sparse search, whichever way it takes.
 
 Scores are rounded to ``DIGITS`` before ranking, so that equal vectors tie and
 the smaller id comes first whatever the order of summation was.
 """
 
 import math
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,13 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import dot, l2_normalize
-from textweft.lookup import fits_broadcast, lookup_join
+from textweft.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
 from textweft.ordered import number_rows
 from textweft.scratch import materialize, spread_groups
 
 DIGITS = 6
 BLOCK_ROWS = 1024
 BLOCK_BYTES = 32 * 1024 * 1024
+TRAVEL_BYTES = 2 * 1024 * 1024
 _DENSE_PAIRS = 4096  # terms joining more pairs than this are multiplied as dense columns
 
 
@@ -34,12 +38,25 @@ def sparse_cosine(
 
     ``index(doc_id, id, w)`` and ``queries(query_id, id, w)`` hold unit vectors.
     Documents without a common term score 0. The output has one row per query and
-    document by definition, so the queries must fit a broadcast; for more queries
-    use :func:`similarity_join`.
+    document by definition; queries that do not fit a broadcast are worked off in blocks.
     """
-    if not fits_broadcast(queries, limit):
-        raise ValueError("too many queries for a full report; use similarity_join")
-    hits = positive_scores(index, queries)
+    return _by_query_blocks(queries, limit, lambda part: _sparse_report(index, docs, part))
+
+
+def _by_query_blocks(queries: DataFrame, limit: int | None, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One report over all queries, or the union of reports over parts that fit a broadcast."""
+    queries = materialize(queries, "asked")
+    most = BROADCAST_BYTES if limit is None else limit
+    parts = math.ceil(measured_bytes(queries) / max(most, 1))
+    if parts <= 1:
+        return report(queries)
+    part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    found = [report(queries.filter(part == i)) for i in range(parts)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _sparse_report(index: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
+    hits = scores_of_common_terms(index, queries)
     found = hits.groupBy("doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("found")
     )
@@ -51,6 +68,11 @@ def sparse_cosine(
 
 
 def positive_scores(index: DataFrame, queries: DataFrame, key: str = "id") -> DataFrame:
+    """``(query_id, doc_id, score)`` of pairs with a score above 0 once rounded; ``queries`` is small."""
+    return scores_of_common_terms(index, queries, key).filter(F.col("score") > 0)
+
+
+def scores_of_common_terms(index: DataFrame, queries: DataFrame, key: str = "id") -> DataFrame:
     """``(query_id, doc_id, score)`` of pairs with a common term; ``queries`` is small.
 
     Each term carries its short list of queries, so an index that is partitioned by
@@ -84,8 +106,10 @@ def dense_cosine(index: DataFrame, queries: DataFrame, limit: int | None = None)
     column naming the model the vectors come from; two spaces do not mix.
     """
     _check_space(index, queries)
-    if not fits_broadcast(queries.select("query_id", "vec"), limit):
-        raise ValueError("too many queries for a full report; use nearest")
+    return _by_query_blocks(queries.select("query_id", "vec"), limit, lambda part: _dense_report(index, part))
+
+
+def _dense_report(index: DataFrame, queries: DataFrame) -> DataFrame:
     unit = queries.select("query_id", l2_normalize(F.col("vec")).alias("qvec"))
     packed = unit.agg(F.collect_list(F.struct("query_id", "qvec"))).scalar()
     rows = index.select("doc_id", l2_normalize(F.col("vec")).alias("unit"), F.explode(packed).alias("q"))
@@ -128,9 +152,15 @@ def _full_rank(scores: DataFrame, item: str, query: str) -> DataFrame:
     )
 
 
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    """Half up, away from zero, as the SQL function rounds."""
+    scale = 10.0**DIGITS
+    return np.sign(scores) * np.floor(np.abs(scores) * scale + 0.5) / scale
+
+
 def _top_rows(scores: np.ndarray, query_ids, item_ids, k: int, skip_same: bool, positive: bool) -> pd.DataFrame:
     """The best ``k`` columns of each row; ``item_ids`` rise, so ties go to the smaller id."""
-    scores = np.round(scores, DIGITS)
+    scores = _rounded(scores)
     if positive:
         scores[scores <= 0] = -np.inf
     if skip_same:
@@ -242,16 +272,46 @@ def _block_top_k(queries, items, score, k, query_blocks, item_blocks, skip_same,
     return best_k(found, k)
 
 
-def nearest(index: DataFrame, queries: DataFrame, k: int, skip_same: bool = False) -> DataFrame:
+def _travelling_top_k(asked: pd.DataFrame, items: DataFrame, k: int, skip_same: bool) -> DataFrame:
+    """Few queries visit the items where they lie; every task keeps the best ``k`` of each."""
+    query_ids = asked["query_id"].to_numpy()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for frame in frames:
+            if frame.empty:
+                continue
+            frame = frame.sort_values("doc_id", ignore_index=True)
+            scores = _dense_scores(asked, frame)
+            found = _top_rows(scores, query_ids, frame["doc_id"].to_numpy(), k, skip_same, False)
+            if best is not None:
+                found = pd.concat([best, found], ignore_index=True)
+                found = found.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
+                found = found.groupby("query_id", sort=False).head(k)
+            best = found
+        if best is not None:
+            yield best
+
+    return best_k(items.mapInPandas(run, "query_id long, doc_id long, score double"), k)
+
+
+def nearest(
+    index: DataFrame, queries: DataFrame, k: int, skip_same: bool = False, limit: int = TRAVEL_BYTES
+) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: the ``k`` most similar vectors of each query.
 
-    ``index(doc_id, vec)``, ``queries(query_id, vec)``; zero vectors are left out.
+    ``index(doc_id, vec)``, ``queries(query_id, vec)``; zero vectors are left out. Queries
+    of at most ``limit`` bytes travel to the index, which then is not shuffled.
     """
     _check_space(index, queries)
     items = index.select("doc_id", l2_normalize(F.col("vec")).alias("vec")).dropna()
-    asked = queries.select("query_id", l2_normalize(F.col("vec")).alias("vec")).dropna()
-    n_items, item_bytes = _measure(items, F.size("vec") * 8)
+    asked = materialize(queries.select("query_id", l2_normalize(F.col("vec")).alias("vec")).dropna(), "asked")
     n_asked, asked_bytes = _measure(asked, F.size("vec") * 8)
+    if asked_bytes <= limit:
+        few = asked.toPandas() if n_asked else None
+        if few is not None and len(few):
+            return _travelling_top_k(few, items, k, skip_same)
+    n_items, item_bytes = _measure(items, F.size("vec") * 8)
     return _block_top_k(
         asked,
         items,

@@ -3,15 +3,17 @@
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import mean_vector
-from textweft.operators import classify, pooling
+from textweft.operators import classify, paragraphs, pooling
 from textweft.operators.bags import doc2bow
 from textweft.operators.similarity import nearest
+from textweft.operators.vocabulary import paragraph_ids
+from textweft.ordered import number_rows
 from textweft.plans import sql as q
 from textweft.plans import tables as t
 from textweft.plans.registry import query
 from textweft.scratch import materialize
 
-HOPS, UNITS = 2, 10
+HOPS, UNITS, WIDTH = 2, 10, 64
 
 
 def _bag(spark, sf):
@@ -28,19 +30,19 @@ bag AS (SELECT doc_id, id, count(*) AS tf FROM tok JOIN vocab USING (word) GROUP
 
 @query(f"""WITH {q.WORD_VECTORS}
 SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE id = 0) AS pads,
-       round(sum(CASE WHEN id = 0 THEN 0.0 ELSE vec[1] END), 4) AS first,
-       round(sum(CASE WHEN id = 0 THEN 0.0 ELSE vec[8] END * pos), 3) AS last
+       round(avg(CASE WHEN id = 0 THEN 0.0 ELSE {q.weighted("vec")} END), 5) AS weighted,
+       round(avg(CASE WHEN id = 0 THEN 0.0 ELSE list_sum(vec) END * pos), 4) AS by_place
 FROM tok JOIN wv USING (word) GROUP BY doc_id""")
 def embed_tokens(spark, sf):
     vocab = t.vocabulary(spark, sf)
     encoded = t.encoded_documents(spark, sf, vocab)
     rows = pooling.embed_tokens(encoded, t.word_vectors(spark, sf, vocab), pad_id=0)
-    first, last = F.get("vec", F.lit(0)), F.get("vec", F.lit(7))
+    total = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
     return rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("id") == 0).alias("pads"),
-        F.round(F.sum(first), 4).alias("first"),
-        F.round(F.sum(last * F.col("pos")), 3).alias("last"),
+        F.round(F.avg(t.weighted("vec")), 5).alias("weighted"),
+        F.round(F.avg(total * F.col("pos")), 4).alias("by_place"),
     )
 
 
@@ -53,26 +55,25 @@ def _cells(pooled):
   SELECT doc_id, tf, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM bag JOIN wv USING (id)
 ) SELECT doc_id, d, round(sum(v * tf) / sum(tf), 5) AS v FROM cells GROUP BY doc_id, d""")
 def pool_mean(spark, sf):
-    return _cells(pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), 8))
+    return _cells(pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), WIDTH))
 
 
 @query(f"""WITH {_BAG}, cells AS (
   SELECT doc_id, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM bag JOIN wv USING (id)
 ) SELECT doc_id, d, round(max(v), 5) AS v FROM cells GROUP BY doc_id, d""")
 def pool_max(spark, sf):
-    return _cells(pooling.pool_max(pooling.embed_bag(*_bag(spark, sf)), 8))
+    return _cells(pooling.pool_max(pooling.embed_bag(*_bag(spark, sf)), WIDTH))
 
 
 # Attention parameters from the embeddings: W1 has the mean vector of each label as a row,
-# W2 the mean vectors of even and of odd labels.
+# W2 ten numbers (one for each unit) of the mean vectors of even and of odd labels.
 _ATTENTION = f"""{_BAG},
 spread AS (
-  SELECT label, unnest(embedding[1:{8 + UNITS}]::DOUBLE[]) AS v,
-         generate_subscripts(embedding[1:{8 + UNITS}], 1) AS d FROM embeddings
+  SELECT label, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings
 ),
 w1 AS (SELECT label AS unit, list(v ORDER BY d) AS w FROM (
-  SELECT label, d, avg(v) * 100 AS v FROM spread WHERE d <= 8 GROUP BY label, d) GROUP BY label),
-w2 AS (SELECT label % {HOPS} AS hop, d - 9 AS unit, avg(v) * 100 AS w FROM spread WHERE d > 8 GROUP BY 1, 2),
+  SELECT label, d, avg(v) * 100 AS v FROM spread GROUP BY label, d) GROUP BY label),
+w2 AS (SELECT label % {HOPS} AS hop, d - 9 AS unit, avg(v) * 100 AS w FROM spread WHERE d BETWEEN 9 AND {8 + UNITS} GROUP BY 1, 2),
 hidden AS (SELECT wv.id, unit, tanh(list_dot_product(vec, w)) AS h FROM wv, w1),
 logits AS (
   SELECT id, hop, sum(h * w) + CASE WHEN id = 0 THEN -10000.0 ELSE 0.0 END AS s
@@ -93,7 +94,7 @@ def _attended(spark, sf):
         mean = part.groupBy(name).agg(mean_vector(F.col("vec"), width=width).alias("vec"))
         return mean.withColumn("vec", F.transform("vec", lambda x: x * 100))
 
-    w1 = means(F.col("label"), "unit", 1, 8)
+    w1 = means(F.col("label"), "unit", 1, WIDTH)
     w2 = means(F.col("label") % HOPS, "hop", 9, UNITS)
     logits = pooling.attention_logits(vectors, w1, w2)
     logits = materialize(logits.select("id", "cf", "vec", "logits"), "logits")
@@ -102,9 +103,9 @@ def _attended(spark, sf):
 
 @query(f"""WITH {_ATTENTION}, cells AS (
   SELECT doc_id, hop, tf * alpha AS a, unnest(vec) AS v, generate_subscripts(vec, 1) - 1 AS d FROM att JOIN wv USING (id)
-) SELECT doc_id, hop * 8 + d AS d, round(sum(a * v), 5) AS v FROM cells GROUP BY doc_id, hop, d""")
+) SELECT doc_id, hop * {WIDTH} + d AS d, round(sum(a * v), 5) AS v FROM cells GROUP BY doc_id, hop, d""")
 def pool_attention(spark, sf):
-    return _cells(pooling.pool_attention(_attended(spark, sf), HOPS, 8))
+    return _cells(pooling.pool_attention(_attended(spark, sf), HOPS, WIDTH))
 
 
 @query(f"""WITH {_ATTENTION}, products AS (
@@ -123,7 +124,7 @@ def attention_redundancy(spark, sf):
 
 def _training_rows(spark, sf):
     """``(doc_id, vec, label)``: mean word vectors of the labelled documents."""
-    pooled = pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), 8)
+    pooled = pooling.pool_mean(pooling.embed_bag(*_bag(spark, sf)), WIDTH)
     labels = t.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     return materialize(classify.label_lookup(pooled, labels), "training-rows")
 
@@ -133,27 +134,100 @@ def _parts(rows):
     return split.filter(F.col("part") == "train"), split.filter(F.col("part") != "train")
 
 
-@query()
+# What SQL can state of a fitted classifier: the rows it judges, and the loss of the bare share
+# of each class, which it must not exceed on the rows it was fitted on.
+_LABELLED = f"""WITH {q.VOCAB}, rows AS (
+  SELECT doc_id, quality AS label FROM labels WHERE doc_id IN (SELECT doc_id FROM tok JOIN vocab USING (word))
+), shares AS (SELECT label, count(*) / (SELECT count(*) FROM rows) AS p, count(*) AS n FROM rows GROUP BY label)"""
+_FITTED = f"""{_LABELLED}
+SELECT sum(n)::BIGINT AS n, round(-sum(p * ln(p)), 6) AS prior_loss, true AS beats_prior, true AS accurate FROM shares"""
+
+
+def _judged(rows, model):
+    """The loss of the class shares over all rows, and whether the model does better."""
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    p = F.col("n") / total
+    prior = counts.agg(F.sum("n").alias("n"), F.round(-F.sum(p * F.log(p)), 6).alias("prior_loss"))
+    found = classify.evaluate(classify.predict(model, rows)).first()
+    return prior.withColumns(
+        {"beats_prior": F.lit(found["loss"]) < F.col("prior_loss"), "accurate": F.lit(found["accuracy"] >= most / total)}
+    )
+
+
+@query(_FITTED)
 def train_classifier(spark, sf):
-    """A hidden layer and softmax: loss and accuracy on the documents left out."""
-    train, rest = _parts(_training_rows(spark, sf))
-    model = classify.train_classifier(train, 2, hidden=8, max_iter=50)
-    return classify.evaluate(classify.predict(model, rest))
+    """A hidden layer and softmax, fitted on four fifths of the labelled documents."""
+    rows = _training_rows(spark, sf)
+    return _judged(rows, classify.train_classifier(_parts(rows)[0], 2, hidden=8, max_iter=100))
 
 
-@query()
+@query(_FITTED)
 def train_logistic(spark, sf):
-    """Logistic regression: loss and accuracy on the documents left out."""
-    train, rest = _parts(_training_rows(spark, sf))
-    model = classify.train_classifier(train, 2, max_iter=50)
-    return classify.evaluate(classify.predict(model, rest))
+    """Logistic regression, fitted on four fifths of the labelled documents."""
+    rows = _training_rows(spark, sf)
+    return _judged(rows, classify.train_classifier(_parts(rows)[0], 2, max_iter=100, regularization=1e-3))
 
 
-@query()
+@query(f"""{_LABELLED}
+SELECT doc_id, label, 2::BIGINT AS classes, true AS sums_to_one, true AS is_likeliest FROM rows""")
 def predict(spark, sf):
+    """Probabilities of every labelled document that sum to 1, and the likelier class."""
     rows = _training_rows(spark, sf)
     predicted = classify.predict(classify.train_classifier(rows, 2, max_iter=50), rows)
-    return predicted.select("doc_id", "label", "prediction", F.round(F.get("probability", F.lit(1)), 6).alias("p1"))
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    likeliest = F.array_position("probability", F.array_max("probability")) - 1
+    return predicted.select(
+        "doc_id",
+        "label",
+        F.size("probability").cast("long").alias("classes"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("prediction") == likeliest).alias("is_likeliest"),
+    )
+
+
+def _paragraph_rows(spark, sf):
+    """Paragraph vectors of the labelled documents, from a model fitted on all documents."""
+    tokens = t.document_words(spark, sf, True)
+    model = paragraphs.pvdm_fit(tokens, paragraphs.Settings(size=16, paragraph_size=16, window=3), max_iter=2)
+    keyed = tokens.filter(F.size("words") > 0).select("doc_id", F.array_join("words", " ").alias("text"))
+    owners = paragraph_ids(keyed, model.paragraphs)
+    vectors = owners.join(model.paragraph_vectors(), "para_id").select("doc_id", "vec")
+    labels = t.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return materialize(classify.label_lookup(vectors, labels), "paragraph-rows")
+
+
+_WITH_WORDS = f"""WITH {q.WORDS}, rows AS (
+  SELECT doc_id, quality AS label FROM labels WHERE doc_id IN (SELECT doc_id FROM words WHERE len(words) > 0)
+)"""
+
+
+@query(f"""{_WITH_WORDS}
+SELECT label::VARCHAR AS class, count(*) AS support, true AS in_range FROM rows GROUP BY label
+UNION ALL SELECT 'avg / total', count(*), true FROM rows""")
+def paragraph_report(spark, sf):
+    """From paragraph vectors to a classifier to its report, over the labelled documents."""
+    rows = _paragraph_rows(spark, sf)
+    model = classify.train_classifier(rows, 2, max_iter=50, regularization=1e-3)
+    report = classify.classification_report(classify.predict(model, rows))
+    inside = [F.col(m).between(0, 1) for m in ("precision", "recall", "f1")]
+    return report.select("class", "support", (inside[0] & inside[1] & inside[2]).alias("in_range"))
+
+
+@query(f"""{_WITH_WORDS}
+SELECT doc_id AS query_id, 5::BIGINT AS n, true AS falling, label FROM rows""")
+def paragraph_neighbours(spark, sf):
+    """The five labelled documents with the nearest paragraph vectors, each with its class."""
+    rows = _paragraph_rows(spark, sf)
+    found = nearest(rows.select("doc_id", "vec"), rows.select(F.col("doc_id").alias("query_id"), "vec"), 5, skip_same=True)
+    model = classify.train_classifier(rows, 2, max_iter=50, regularization=1e-3)
+    guesses = classify.predict(model, rows).withColumnRenamed("doc_id", "id")
+    labelled = classify.neighbour_labels(found.withColumnRenamed("doc_id", "id"), guesses)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "score", "label")))
+    seen = labelled.groupBy("query_id").agg(ordered.alias("o"))
+    falling = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.get("o.score", i - 1) >= F.get("o.score", i))
+    own = rows.select(F.col("doc_id").alias("query_id"), "label")
+    return seen.select("query_id", F.size("o").cast("long").alias("n"), falling.alias("falling")).join(own, "query_id")
 
 
 # ---------------------------------------------------------------- judging
@@ -292,13 +366,34 @@ def label_lookup(spark, sf):
     return classify.label_lookup(docs, t.table(spark, sf, "labels"))
 
 
-@query("SELECT conv_id, turn FROM conversations")
+@query("""SELECT count(*) AS n, count(*) AS n_places, 0::BIGINT AS low, count(*) - 1 AS high, true AS parted, true AS moved
+FROM conversations""")
 def shuffle_rows(spark, sf):
-    """A new order of the same rows."""
-    return classify.shuffle_rows(t.table(spark, sf, "conversations").select("conv_id", "turn"), "conv_id")
+    """A new order of the same rows: every place once, turns parted, hardly a row where it was."""
+    rows = t.table(spark, sf, "conversations").select("conv_id", "turn")
+    placed = materialize(classify.shuffle_rows(rows, ["conv_id", "turn"]), "placed")
+    before = number_rows(rows, ["conv_id", "turn"], "before").select("conv_id", "turn", "before")
+    after = placed.select(F.col("conv_id").alias("next"), (F.col("position") - 1).alias("position"))
+    joined = placed.join(before, ["conv_id", "turn"]).join(after, "position", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("position").alias("n_places"),
+        F.min("position").alias("low"),
+        F.max("position").alias("high"),
+        (F.count_if(F.col("next") == F.col("conv_id")) < 0.2 * F.count(F.lit(1))).alias("parted"),
+        (F.count_if(F.col("before") == F.col("position")) < 0.1 * F.count(F.lit(1))).alias("moved"),
+    )
 
 
-@query()
+@query("SELECT count(*) AS n, count(*) AS n_rows, 3::BIGINT AS n_parts, true AS in_bounds FROM labels")
 def split_rows(spark, sf):
+    """Eight, one and one tenth of the rows, each row in one part, within five standard errors."""
     split = classify.split_rows(t.table(spark, sf, "labels"), "doc_id")
-    return split.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    n, parts = F.count(F.lit(1)), {"train": 0.8, "validation": 0.1, "test": 0.1}
+    inside = [F.abs(F.count_if(F.col("part") == p) - s * n) <= 5 * F.sqrt(n * s * (1 - s)) for p, s in parts.items()]
+    return split.agg(
+        n.alias("n"),
+        F.count_distinct("doc_id", "part").alias("n_rows"),
+        F.count_distinct("part").alias("n_parts"),
+        (inside[0] & inside[1] & inside[2]).alias("in_bounds"),
+    )

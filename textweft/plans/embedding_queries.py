@@ -4,7 +4,6 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import norm
 from textweft.operators import classify, embeddings, paragraphs, vocabulary, windows
 from textweft.ordered import number_rows
 from textweft.plans import sql as q
@@ -18,10 +17,23 @@ from textweft.sources.vectors import UNKNOWN
 # ---------------------------------------------------------------- word vectors
 
 
-@query()
+def _falls(model):
+    """Whether the summed error of the last epoch is below that of the first."""
+    errors = [error for _, _, _, error in model.epochs]
+    return F.lit(errors[-1] < errors[0])
+
+
+def _finite(vec="vec"):
+    return F.forall(vec, lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+
+
+@query(f"WITH {q.VOCAB} SELECT word, 32::BIGINT AS width, true AS finite, true AS falls FROM vocab")
 def word2vec_fit(spark, sf):
-    vectors = embeddings.word2vec_fit(t.document_words(spark, sf), size=32, partitions=8)
-    return vectors.select("word", F.round(norm(F.col("vec")), 4).alias("length"))
+    """Skip-gram over all pairs: a vector for every word, and an error that falls."""
+    model = paragraphs.word2vec_fit(t.document_words(spark, sf, True), size=32, iterations=2)
+    known = t.vocabulary(spark, sf).select("word").join(model.word_vectors(), "word", "left")
+    width = F.size("vec").cast("long")
+    return known.select("word", width.alias("width"), _finite().alias("finite"), _falls(model).alias("falls"))
 
 
 @query(f"""WITH {q.VOCAB}, enc AS (SELECT doc_id, pos, id FROM tok JOIN vocab USING (word))
@@ -37,45 +49,52 @@ def skipgram_pairs(spark, sf):
     )
 
 
-@query()
+@query(f"""WITH {q.VOCAB}, enc AS (SELECT doc_id, pos, id FROM tok JOIN vocab USING (word)),
+pairs AS (
+  SELECT a.id, count(*) AS n_pairs, count(*) FILTER (WHERE abs(b.pos - a.pos) = 1) AS n_next
+  FROM enc a JOIN enc b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - 5 AND a.pos + 5 AND b.pos <> a.pos GROUP BY a.id
+)
+SELECT id AS center, n_pairs, true AS between FROM pairs""")
 def skipgram_pairs_reduced(spark, sf):
-    """Pairs with the repeatable random shrink of each window."""
-    encoded = t.encoded_documents(spark, sf, t.vocabulary(spark, sf))
-    pairs = embeddings.skipgram_pairs(encoded, 5, reduced=True)
-    return pairs.groupBy("center").agg(F.count(F.lit(1)).alias("n_pairs"))
+    """The random shrink of each window leaves direct neighbours and adds none."""
+    encoded = materialize(t.encoded_documents(spark, sf, t.vocabulary(spark, sf)), "encoded")
+
+    def per_center(name, window, reduced):
+        pairs = embeddings.skipgram_pairs(encoded, window, reduced=reduced)
+        return pairs.groupBy("center").agg(F.count(F.lit(1)).alias(name))
+
+    counts = per_center("n_pairs", 5, False).join(per_center("n_kept", 5, True), "center", "left")
+    counts = counts.join(per_center("n_next", 1, False), "center", "left").fillna(0)
+    between = (F.col("n_next") <= F.col("n_kept")) & (F.col("n_kept") <= F.col("n_pairs"))
+    return counts.select("center", "n_pairs", between.alias("between"))
 
 
-@query(f"""WITH {q.WORD_VECTORS}, enc AS (SELECT doc_id, pos, id, vec FROM tok JOIN wv USING (word)),
+@query(f"""WITH {q.WORD_VECTORS}, enc AS (SELECT doc_id, pos, id, {q.weighted("vec")} AS w FROM tok JOIN wv USING (word)),
 means AS (
-  SELECT a.doc_id, a.pos, avg(b.vec[1]) AS first, avg(b.vec[8]) AS last
+  SELECT a.doc_id, a.pos, avg(b.w) AS w
   FROM enc a JOIN enc b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - 5 AND a.pos + 5 AND b.pos <> a.pos
   GROUP BY a.doc_id, a.pos
 )
-SELECT doc_id, count(*) AS n, round(avg(first), 5) AS first, round(avg(last), 5) AS last FROM means GROUP BY doc_id""")
+SELECT doc_id, count(*) AS n, round(avg(w), 5) AS weighted FROM means GROUP BY doc_id""")
 def cbow_context(spark, sf):
     vocab = t.vocabulary(spark, sf)
     vectors = t.word_vectors(spark, sf, vocab)
     means = embeddings.cbow_context(t.encoded_documents(spark, sf, vocab), vectors)
     return means.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(F.get("vec", F.lit(0))), 5).alias("first"),
-        F.round(F.avg(F.get("vec", F.lit(7))), 5).alias("last"),
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(t.weighted("vec")), 5).alias("weighted")
     )
 
 
-@query(f"WITH {q.WORD_VECTORS} SELECT word, round(vec[1], 6) AS first, round(vec[8], 6) AS last FROM wv")
+@query(f"WITH {q.WORD_VECTORS} SELECT word, len(vec) AS width, round({q.weighted('vec')}, 6) AS weighted FROM wv")
 def word_vector(spark, sf):
     vocab = t.vocabulary(spark, sf)
     found = embeddings.word_vector(vocab.select("word"), t.word_vectors(spark, sf, vocab))
-    return found.select(
-        "word",
-        F.round(F.get("vec", F.lit(0)), 6).alias("first"),
-        F.round(F.get("vec", F.lit(7)), 6).alias("last"),
-    )
+    width, weighted = F.size("vec").cast("long"), F.round(t.weighted("vec"), 6)
+    return found.select("word", width.alias("width"), weighted.alias("weighted"))
 
 
 @query(f"""WITH {q.WORD_VECTORS}, {_OOV}
-SELECT o.id, any_value(round(embedding[1]::DOUBLE, 6)) AS first, count(*) AS n FROM (
+SELECT o.id, any_value(round({q.weighted("embedding::DOUBLE[]")}, 6)) AS weighted, count(*) AS n FROM (
   SELECT coalesce(oov.id, (SELECT id FROM oov WHERE word = '{UNKNOWN}')) AS id
   FROM (SELECT unnest({q.content_words('text')}) AS word FROM benchmark) LEFT JOIN oov USING (word)
 ) o JOIN embeddings ON vec_id = o.id % (SELECT count(*) FROM embeddings) GROUP BY o.id""")
@@ -84,7 +103,7 @@ def word_vector_or_unknown(spark, sf):
     words = vocabulary.word_rows(t.benchmark_words(spark, sf))
     found = embeddings.word_vector_or_unknown(words, vocab, t.word_vectors(spark, sf, vocab))
     return found.groupBy("id").agg(
-        F.any_value(F.round(F.get("vec", F.lit(0)), 6)).alias("first"), F.count(F.lit(1)).alias("n")
+        F.any_value(F.round(t.weighted("vec"), 6)).alias("weighted"), F.count(F.lit(1)).alias("n")
     )
 
 
@@ -184,30 +203,34 @@ SELECT coalesce(section, 'total') AS section,
        count(*) FILTER (WHERE word = expected) AS correct, count(*) FILTER (WHERE word <> expected) AS incorrect
 FROM ranked WHERE rank = 1 GROUP BY ROLLUP (section)""")
 def analogy_accuracy(spark, sf):
-    vectors = t.embedding_words(spark, sf).withColumn("cf", F.lit(1))
-    return embeddings.analogy_accuracy(analogy_questions(spark, sf), vectors)
+    return embeddings.analogy_accuracy(analogy_questions(spark, sf), t.embedding_words(spark, sf), None)
 
 
 @query(f"""WITH {q.WORD_VECTORS}, {_ARRIVING}
-SELECT word, id, true AS is_old, round(vec[1], 6) AS first FROM wv
+SELECT word, id, true AS is_old, len(vec) AS width, round({q.weighted("vec")}, 6) AS weighted FROM wv
 UNION ALL
-SELECT word, (SELECT max(id) + 1 FROM vocab) + row_number() OVER (ORDER BY n DESC, word) - 1, false, NULL
+SELECT word, (SELECT max(id) + 1 FROM vocab) + row_number() OVER (ORDER BY n DESC, word) - 1, false, 64, NULL
 FROM arriving WHERE n >= 5 AND word NOT IN (SELECT word FROM vocab)""")
 def extend_weights(spark, sf):
     """Old words keep their vectors; the random ones of new words are left out of the result."""
     vocab = t.vocabulary(spark, sf)
     old = t.word_vectors(spark, sf, vocab)
     talk = t.word_tokens(t.table(spark, sf, "conversations"), "conv_id")
-    wider = embeddings.extend_weights(vocabulary.extend_vocabulary(vocab, talk, 5), old, 8)
+    wider = embeddings.extend_weights(vocabulary.extend_vocabulary(vocab, talk, 5), old, 64)
     known = wider.join(old.select("word", F.lit(True).alias("is_old")), "word", "left")
-    first = F.when(F.col("is_old"), F.round(F.get("vec", F.lit(0)), 6))
-    return known.select("word", "id", F.coalesce("is_old", F.lit(False)).alias("is_old"), first.alias("first"))
+    kept = F.when(F.col("is_old"), F.round(t.weighted("vec"), 6))
+    is_old, width = F.coalesce("is_old", F.lit(False)), F.size("vec").cast("long")
+    return known.select("word", "id", is_old.alias("is_old"), width.alias("width"), kept.alias("weighted"))
 
 
-@query()
+@query(f"""WITH {q.VOCAB}
+SELECT id, 16::BIGINT AS width, true AS in_range, 1::BIGINT AS n_alike FROM vocab""")
 def init_vectors(spark, sf):
-    started = embeddings.init_vectors(t.vocabulary(spark, sf), 16)
-    return started.select("id", F.array_min("vec").alias("low"), F.array_max("vec").alias("high"))
+    """Sixteen numbers in ±1/32 for each word, and no two words with the same ones."""
+    started = materialize(embeddings.init_vectors(t.vocabulary(spark, sf), 16), "started")
+    alike = started.groupBy("vec").agg(F.count(F.lit(1)).alias("n_alike"))
+    in_range = (F.array_min("vec") >= -1 / 32) & (F.array_max("vec") < 1 / 32)
+    return started.join(alike, "vec").select("id", F.size("vec").cast("long").alias("width"), in_range.alias("in_range"), "n_alike")
 
 
 # ---------------------------------------------------------------- paragraph vectors
@@ -235,10 +258,17 @@ def context_windows(spark, sf):
     )
 
 
-@query()
+@query(f"WITH {q.WORDS} SELECT doc_id, len(words) AS n, true AS inside, true AS moves FROM words WHERE len(words) > 0")
 def sample_window(spark, sf):
-    encoded = t.encoded_documents(spark, sf, t.vocabulary(spark, sf))
-    return windows.sample_window(encoded, epoch=0).select("doc_id", "pos")
+    """A place inside each text; over 64 epochs a text of several words gets several."""
+    encoded = materialize(t.encoded_documents(spark, sf, t.vocabulary(spark, sf)), "encoded")
+    drawn = None
+    for epoch in range(64):
+        part = windows.sample_window(encoded, epoch).select("doc_id", F.size("ids").cast("long").alias("n"), "pos")
+        drawn = part if drawn is None else drawn.unionByName(part)
+    inside = F.min((F.col("pos") >= 0) & (F.col("pos") < F.col("n")))
+    moves = (F.max("n") == 1) | (F.count_distinct("pos") > 1)
+    return drawn.groupBy("doc_id").agg(F.max("n").alias("n"), inside.alias("inside"), moves.alias("moves"))
 
 
 @query(f"""WITH {q.VOCAB},
@@ -260,58 +290,97 @@ def _changed(**settings):
     return replace(_SMALL, **settings)
 
 
-@query()
+# What SQL can state of a training run: how many words and distinct texts there are, and that
+# each has a vector of the right width, that all numbers are finite and that the error falls.
+_FITTED = f"""WITH {q.VOCAB}, texts AS (SELECT DISTINCT array_to_string(words, ' ') AS text FROM words WHERE len(words) > 0)
+SELECT (SELECT count(*) FROM vocab) AS n_words, (SELECT count(*) FROM texts) AS n_paragraphs,
+       16::BIGINT AS word_width, 16::BIGINT AS paragraph_width, true AS finite, true AS falls"""
+
+
+def _fitted(spark, sf, model):
+    known = t.vocabulary(spark, sf).select("word")
+    words = model.word_vectors().join(known, "word").agg(
+        F.count("vec").alias("n_words"), F.max(F.size("vec")).cast("long").alias("word_width"), F.min(_finite()).alias("w")
+    )
+    texts = model.paragraph_vectors().agg(
+        F.count("vec").alias("n_paragraphs"), F.max(F.size("vec")).cast("long").alias("paragraph_width"), F.min(_finite()).alias("p")
+    )
+    both = words.crossJoin(texts).withColumns({"finite": F.col("w") & F.col("p"), "falls": _falls(model)})  # one row each
+    return both.drop("w", "p")
+
+
+@query(_FITTED)
 def pvdm_fit(spark, sf):
-    """Summed squared code error per epoch, with the rate and batch of each."""
-    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _SMALL, max_iter=3)
-    return model.epoch_table(spark)
+    """Paragraph vectors trained on every place of every document for three epochs."""
+    return _fitted(spark, sf, paragraphs.pvdm_fit(t.document_words(spark, sf, True), _SMALL, max_iter=3))
 
 
-@query()
+@query(_FITTED)
 def pvdm_fit_concat(spark, sf):
-    """Paragraph and window vectors side by side, one random window per paragraph and epoch."""
-    settings = _changed(mode="concat", random_window=True)
-    return paragraphs.pvdm_fit(t.document_words(spark, sf, True), settings, max_iter=2).epoch_table(spark)
+    """Paragraph and window vectors side by side."""
+    return _fitted(spark, sf, paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(mode="concat"), max_iter=2))
 
 
-@query()
+@query(_FITTED)
 def pvdm_fit_scaled(spark, sf):
     """Paragraph steps divided by the length of the paragraph."""
-    settings = _changed(scale_updates=True, random_window=True)
-    return paragraphs.pvdm_fit(t.document_words(spark, sf, True), settings, max_iter=2).epoch_table(spark)
+    return _fitted(spark, sf, paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(scale_updates=True), max_iter=2))
+
 
+@query(_FITTED.replace("true AS falls", "2::BIGINT AS n_epochs"))
+def pvdm_fit_random_window(spark, sf):
+    """One random window of each paragraph per epoch, which is the feature here."""
+    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(random_window=True), max_iter=2)
+    return _fitted(spark, sf, model).drop("falls").withColumn("n_epochs", F.lit(len(model.epochs)).cast("long"))
 
-@query()
+
+def _turns(spark, sf):
+    talk = t.table(spark, sf, "conversations")
+    width = talk.agg(F.max("turn")).scalar() + 1
+    return t.word_tokens(talk.withColumn("doc_id", F.col("conv_id") * width + F.col("turn")))
+
+
+@query(f"""WITH turns AS (SELECT DISTINCT array_to_string({q.content_words("text")}, ' ') AS text FROM conversations)
+SELECT count(*) AS n_paragraphs, true AS finite, true AS moved, true AS falls, true AS frozen FROM turns WHERE text <> ''""")
 def pvdm_infer(spark, sf):
-    """Vectors of the conversation turns, with words and tree trained on the documents."""
-    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(random_window=True), max_iter=1)
-    talk = t.table(spark, sf, "conversations").withColumn("doc_id", F.col("conv_id") * 1000 + F.col("turn"))
-    inferred = paragraphs.pvdm_infer(model, t.word_tokens(talk), max_iter=2)
-    return inferred.paragraph_vectors().select("para_id", F.round(norm(F.col("vec")), 6).alias("length"))
+    """Vectors of the conversation turns, with words and tree as trained on the documents."""
+    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _SMALL, max_iter=1)
+    inferred = paragraphs.pvdm_infer(model, _turns(spark, sf), max_iter=3)
+    started = paragraphs.start_paragraphs(inferred.paragraphs, _SMALL).withColumnRenamed("vec", "first")
+    is_text = F.pmod("key", F.lit(4)) == paragraphs.PARAGRAPH_KIND
+    rows = inferred.weights.filter(is_text).join(started, "key", "left")
+    before, after = (w.filter(~is_text) for w in (model.weights, inferred.weights))
+    changed = before.exceptAll(after).count() + after.exceptAll(before).count()
+    return rows.agg(
+        F.count("vec").alias("n_paragraphs"),
+        F.min(_finite()).alias("finite"),
+        (F.count_if(F.col("vec") != F.col("first")) > 0.9 * F.count("vec")).alias("moved"),
+        F.max(_falls(inferred)).alias("falls"),
+        F.max(F.lit(changed == 0)).alias("frozen"),
+    )
 
 
-@query()
+@query(_FITTED)
 def pretrain_self(spark, sf):
-    settings = _changed(mode="self")
-    return paragraphs.pretrain(t.document_words(spark, sf, True), settings, max_iter=1).epoch_table(spark)
+    """Warm up: every word predicts itself."""
+    return _fitted(spark, sf, paragraphs.pretrain(t.document_words(spark, sf, True), _changed(mode="self"), max_iter=2))
 
 
-@query()
+@query(_FITTED)
 def pretrain_skipgram(spark, sf):
-    """Warm up by random neighbours, then go on with windows."""
+    """Warm up by all neighbours, then go on with windows side by side."""
     tokens = t.document_words(spark, sf, True)
-    warm = paragraphs.pretrain(tokens, _changed(mode="skipgram"), max_iter=1)
-    grown = paragraphs.expand_to_windows(warm, _changed(mode="concat", random_window=True))
-    model = paragraphs.pvdm_fit(tokens, grown.settings, max_iter=1, start=grown)
-    return warm.epoch_table(spark).unionByName(model.epoch_table(spark))
+    warm = paragraphs.pretrain(tokens, _changed(mode="skipgram", all_pairs=True, batch=1000), max_iter=1)
+    grown = paragraphs.expand_to_windows(warm, _changed(mode="concat"))
+    return _fitted(spark, sf, paragraphs.pvdm_fit(tokens, grown.settings, max_iter=2, start=grown))
 
 
 @query("""SELECT vec_id, d, round(v, 6) AS v FROM (
   SELECT vec_id, unnest(e) AS v, generate_subscripts(e, 1) - 1 AS d FROM (
     SELECT vec_id, list_concat([0.0, 0.0, 0.0, 0.0]::DOUBLE[],
-      flatten(list_transform(embedding[1:8]::DOUBLE[], lambda x: [x / 3, x / 3, x / 3]))) AS e FROM embeddings))""")
+      flatten(list_transform(embedding::DOUBLE[], lambda x: [x / 3, x / 3, x / 3]))) AS e FROM embeddings))""")
 def expand_nodes(spark, sf):
-    rows = t.table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 8).alias("vec"))
+    rows = t.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
     grown = paragraphs.expand_nodes(rows, 3, 4)
     return grown.select("vec_id", F.posexplode("vec").alias("d", "v")).withColumn("v", F.round("v", 6))
 
@@ -325,8 +394,12 @@ def _paragraph_inputs(spark, sf, mode):
     paragraph = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.col("doc_id") / (i * 1000.0))
     owners = t.documents(spark, sf).select("doc_id", paragraph.alias("vec"))
     inputs = paragraphs.pvdm_input(rows, vectors, owners, mode)
-    cells = inputs.select("doc_id", F.posexplode("input").alias("d", "v"))
-    return cells.groupBy("doc_id", "d").agg(F.round(F.avg("v"), 5).alias("v"))
+    total = F.aggregate("input", F.lit(0.0), lambda a, v: a + v)
+    return inputs.groupBy("doc_id").agg(
+        F.max(F.size("input")).cast("long").alias("width"),
+        F.round(F.avg(total), 5).alias("total"),
+        F.round(F.avg(t.weighted("input")), 4).alias("weighted"),
+    )
 
 
 _INPUTS = f"""{q.WORD_VECTORS},
@@ -339,36 +412,30 @@ around AS (
   FROM enc WINDOW p AS (PARTITION BY doc_id ORDER BY pos)
 ),
 slots AS (SELECT doc_id, pos, unnest([0, 1, 2, 3]) AS slot, unnest([s0, s1, s2, s3]) AS id FROM around),
-cells AS (
-  SELECT doc_id, pos, slot, unnest(range(0, 8)) AS k, unnest(vec) AS v FROM slots JOIN wv USING (id)
-),
-paragraph AS (
-  SELECT DISTINCT doc_id, i - 1 AS d, doc_id / (i * 1000.0) AS v FROM around, unnest([1, 2, 3, 4]) AS u(i)
-)"""
+cells AS (SELECT doc_id, slot, list_sum(vec) AS v, {q.weighted("vec")} AS w FROM slots JOIN wv USING (id))"""
 
 
 @query(f"""WITH {_INPUTS}
-SELECT doc_id, d, round(v, 5) AS v FROM paragraph
-UNION ALL SELECT doc_id, 4 + slot * 8 + k AS d, round(avg(v), 5) FROM cells GROUP BY doc_id, slot, k""")
+SELECT doc_id, 4 + 4 * 64 AS width, round(doc_id / 1000 * (1 + 1 / 2 + 1 / 3 + 1 / 4) + 4 * avg(v), 5) AS total,
+       round(4 * doc_id / 1000 + 4 * avg((4 + 64 * slot) * v + w), 4) AS weighted FROM cells GROUP BY doc_id""")
 def pvdm_input_concat(spark, sf):
-    """Paragraph and window vectors side by side, averaged per document and place."""
+    """Paragraph and window vectors side by side, averaged per document."""
     return _paragraph_inputs(spark, sf, "concat")
 
 
 @query(f"""WITH {_INPUTS}
-SELECT doc_id, d, round(v, 5) AS v FROM paragraph
-UNION ALL SELECT doc_id, 4 + k AS d, round(avg(v), 5) FROM cells GROUP BY doc_id, k""")
+SELECT doc_id, 4 + 64 AS width, round(doc_id / 1000 * (1 + 1 / 2 + 1 / 3 + 1 / 4) + avg(v), 5) AS total,
+       round(4 * doc_id / 1000 + avg(4 * v + w), 4) AS weighted FROM cells GROUP BY doc_id""")
 def pvdm_input_mean(spark, sf):
     return _paragraph_inputs(spark, sf, "mean")
 
 
-@query(f"""WITH {q.EMB} SELECT id AS para_id, round(unit[1], 6) AS first, round(unit[64], 6) AS last FROM emb""")
+@query(f"""WITH {q.EMB} SELECT id AS para_id, d - 1 AS d, round(unit[d], 6) AS v FROM emb, range(1, 65) u(d)""")
 def normalize_paragraphs(spark, sf):
     rows = t.table(spark, sf, "embeddings").select(F.col("vec_id").alias("para_id"), F.col("embedding").alias("vec"))
     unit = paragraphs.normalize_paragraphs(rows, replace=True)
-    return unit.select(
-        "para_id", F.round(F.get("vec", F.lit(0)), 6).alias("first"), F.round(F.get("vec", F.lit(63)), 6).alias("last")
-    )
+    cells = unit.select("para_id", F.posexplode("vec").alias("d", "v"))
+    return cells.select("para_id", F.col("d").cast("long").alias("d"), F.round("v", 6).alias("v"))
 
 
 @query(f"""WITH {q.EMB},
@@ -452,32 +519,37 @@ def fixed_windows(spark, sf):
     return found.select("win_id", F.array_join("words", " ").alias("words"))
 
 
-@query(f"""WITH {q.WORD_VECTORS},
-stream AS (
-  SELECT word, row_number() OVER (ORDER BY doc_id, pos) - 1 AS pos FROM tok
-  WHERE word IN (SELECT word FROM tok GROUP BY word HAVING count(*) > 1)
+@query(f"""WITH {q.DICT},
+wv AS (
+  SELECT word, embedding::DOUBLE[] AS vec FROM dict JOIN embeddings ON vec_id = id % (SELECT count(*) FROM embeddings)
+  WHERE id % 100 <> 99
 ),
-found AS (SELECT pos // 11 AS win_id, pos % 11 AS place, vec FROM stream JOIN wv USING (word)
-          WHERE pos // 11 < (SELECT count(*) FROM stream) // 11 - 1)
-SELECT win_id, round(sum(list_sum(vec)) FILTER (WHERE place < 10), 5) AS x_sum,
-       round(max(vec[1]) FILTER (WHERE place = 0), 6) AS x_first, round(max(vec[8]) FILTER (WHERE place = 10), 6) AS y_last
-FROM found GROUP BY win_id HAVING count(*) = 11""")
+stream AS (SELECT word, row_number() OVER (ORDER BY doc_id, pos) - 1 AS pos FROM tok JOIN dict USING (word)),
+found AS (SELECT pos // 51 AS win_id, pos % 51 AS place, list_sum(vec) AS v, {q.weighted("vec")} AS w FROM stream JOIN wv USING (word)
+          WHERE pos // 51 < (SELECT count(*) FROM stream) // 51 - 1)
+SELECT win_id, 50 * 64 AS width, round(sum(v) FILTER (WHERE place < 50), 5) AS x_sum,
+       round(sum(64 * place * v + w) FILTER (WHERE place < 50), 2) AS x_weighted, round(max(w) FILTER (WHERE place = 50), 5) AS y_weighted
+FROM found GROUP BY win_id HAVING count(*) = 51""")
 def vectorize_windows(spark, sf):
-    """Ten words and the next one; a window with a word outside the vocabulary is dropped."""
-    found = windows.vectorize_windows(
-        windows.next_word_windows(_stream(spark, sf), 10), t.word_vectors(spark, sf)
-    )
+    """Fifty words and the next one; a window with a word that has no vector is dropped.
+
+    One word in a hundred is left without one.
+    """
+    vectors = t.word_vectors(spark, sf, t.dictionary(spark, sf)).filter(F.col("id") % 100 != 99)
+    found = windows.vectorize_windows(windows.next_word_windows(_stream(spark, sf), 50), vectors)
     total = F.aggregate("x", F.lit(0.0), lambda a, v: a + v)
     return found.select(
         "win_id",
+        F.size("x").cast("long").alias("width"),
         F.round(total, 5).alias("x_sum"),
-        F.round(F.get("x", F.lit(0)), 6).alias("x_first"),
-        F.round(F.get("y", F.lit(7)), 6).alias("y_last"),
+        F.round(t.weighted("x"), 2).alias("x_weighted"),
+        F.round(t.weighted("y"), 5).alias("y_weighted"),
     )
 
 
-@query("""SELECT vec_id // 50 AS win_id, count(*) * 64 AS width, round(arg_min(embedding[1], vec_id)::DOUBLE, 6) AS first,
-       round(arg_max(embedding[64], vec_id)::DOUBLE, 6) AS last FROM embeddings GROUP BY vec_id // 50""")
+@query(f"""WITH w AS (SELECT vec_id // 50 AS win_id, vec_id % 50 AS place, embedding::DOUBLE[] AS vec FROM embeddings)
+SELECT win_id, count(*) * 64 AS width, round(sum(64 * place * list_sum(vec) + {q.weighted("vec")}), 4) AS weighted
+FROM w GROUP BY win_id""")
 def flatten_window(spark, sf):
     rows = t.table(spark, sf, "embeddings").select(
         F.floor(F.col("vec_id") / 50).alias("win_id"),
@@ -487,15 +559,26 @@ def flatten_window(spark, sf):
     return windows.flatten_window(rows).select(
         "win_id",
         F.size("x").cast("long").alias("width"),
-        F.round(F.get("x", F.lit(0)), 6).alias("first"),
-        F.round(F.element_at("x", -1), 6).alias("last"),
+        F.round(t.weighted("x"), 4).alias("weighted"),
     )
 
 
-@query()
+@query(f"""WITH {_STREAM}
+SELECT count(*) // 10 AS n, 8::BIGINT AS code_width, true AS bounded, true AS better FROM stream""")
 def compress_windows(spark, sf):
-    """Ten-word windows of 80 numbers to codes of eight, with the error of going back."""
-    found = windows.vectorize_windows(windows.fixed_windows(_stream(spark, sf), 10), t.word_vectors(spark, sf))
+    """Ten-word windows of 640 numbers to codes of eight, with the error of going back.
+
+    The error lies between zero and that of the mean alone, which the code must beat.
+    """
+    vectors = t.word_vectors(spark, sf, t.dictionary(spark, sf))
+    found = windows.vectorize_windows(windows.fixed_windows(_stream(spark, sf), 10), vectors)
     rows = materialize(found.select("win_id", "x"), "windows")
-    codes = classify.compress_windows(classify.compress_fit(rows, 8), rows)
-    return classify.reconstruction_error(codes, 80)
+    codes = materialize(classify.compress_windows(classify.compress_fit(rows, 8), rows), "codes")
+    mse = classify.reconstruction_error(codes, 640).scalar()
+    size = F.aggregate("code", F.lit(0.0), lambda a, v: a + v * v)
+    return codes.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.size("code")).cast("long").alias("code_width"),
+        (F.min("squared_error") > -1e-6).alias("bounded"),
+        (mse * 640 < F.avg(F.col("squared_error") + size)).alias("better"),
+    )

@@ -74,12 +74,19 @@ vocab AS (
   SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) - 1 AS id, count(*) AS cf
   FROM tok GROUP BY word HAVING count(*) >= 5
 )"""
-# wv(id, word, cf, vec): eight numbers per vocabulary word, dealt out from the embeddings in turn
+# wv(id, word, cf, vec): a vector per vocabulary word, the embeddings dealt out in turn
 WORD_VECTORS = f"""{VOCAB},
 wv AS (
-  SELECT id, word, cf, embedding[1:8]::DOUBLE[] AS vec
+  SELECT id, word, cf, embedding::DOUBLE[] AS vec
   FROM vocab JOIN embeddings ON vec_id = id % (SELECT count(*) FROM embeddings)
 )"""
+
+
+def weighted(vec: str) -> str:
+    """All numbers of a vector in one: the first once, the second twice, …"""
+    return f"list_dot_product({vec}, range(1, len({vec}) + 1)::DOUBLE[])"
+
+
 # emb(id, word, vec, unit, label)
 EMB = """emb AS (
   SELECT vec_id AS id, CASE WHEN vec_id = 0 THEN '**UNKNOWN**' ELSE 'w' || vec_id END AS word,

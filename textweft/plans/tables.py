@@ -1,6 +1,6 @@
 """The tables the registered queries read, and shared steps on them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweft.functions import text as tx
@@ -80,7 +80,12 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return min_count_vocabulary(document_words(spark, sf), 5)
 
 
-def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None, size: int = 8) -> DataFrame:
+def weighted(vec: str) -> Column:
+    """All numbers of a vector in one: the first once, the second twice, …"""
+    return F.aggregate(F.transform(vec, lambda x, i: x * (i + 1)), F.lit(0.0), lambda total, x: total + x)
+
+
+def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None) -> DataFrame:
     """``(id, word, cf, vec)``: embeddings dealt out in turn to the vocabulary.
 
     Every embedding serves equally many words, so the join has no hot key.
@@ -88,9 +93,7 @@ def word_vectors(spark: SparkSession, sf: str, vocab: DataFrame | None = None, s
     vocab = vocab if vocab is not None else vocabulary(spark, sf)
     given = table(spark, sf, "embeddings")
     n = given.count()
-    rows = given.select(
-        F.col("vec_id").alias("turn"), F.slice("embedding", 1, size).cast("array<double>").alias("vec")
-    )
+    rows = given.select(F.col("vec_id").alias("turn"), F.col("embedding").cast("array<double>").alias("vec"))
     dealt = vocab.withColumn("turn", F.pmod("id", F.lit(n)))
     return materialize(dealt.join(rows, "turn").select("id", "word", "cf", "vec"), "word-vectors")
 

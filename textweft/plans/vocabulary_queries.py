@@ -146,9 +146,17 @@ def corpus_statistics(spark, sf):
     return vocabulary.corpus_statistics(t.document_words(spark, sf))
 
 
-@query()
+@query(f"""WITH {q.TOK}
+SELECT (SELECT count(*) FROM words) AS n_sentences, count(*) AS n_words, count(DISTINCT word) AS n_word_types,
+       (SELECT count(DISTINCT array_to_string(words, ' ')) FROM words) AS n_paragraph_types, true AS within FROM tok""")
 def corpus_statistics_approx(spark, sf):
-    return vocabulary.corpus_statistics_approx(t.document_words(spark, sf))
+    """The exact counts, and whether the estimates lie within five times their stated error."""
+    tokens = t.document_words(spark, sf)
+    guess, exact = vocabulary.corpus_statistics_approx(tokens, 0.02).first(), vocabulary.corpus_statistics(tokens)
+    names = ("n_word_types", "n_paragraph_types")
+    same = (F.col("n_sentences") == guess["n_sentences"]) & (F.col("n_words") == guess["n_words"])
+    near = [F.abs(F.col(n) - guess[n]) <= 0.1 * F.col(n) + 1 for n in names]
+    return exact.withColumn("within", same & near[0] & near[1])
 
 
 @query(f"WITH {q.VOCAB} SELECT count(*) AS words_seen FROM tok JOIN vocab USING (word) WHERE pos < 1000")
@@ -252,58 +260,127 @@ def dense_cosine(spark, sf):
 # ---------------------------------------------------------------- topics
 
 
-@query()
+@query(f"""WITH {q.WEIGHTS}
+SELECT count(DISTINCT doc_id) AS n_docs, 2::BIGINT AS n_topics, count(DISTINCT id) AS n_terms,
+       true AS orthonormal, true AS is_singular, true AS within FROM weights""")
 def lsi_fit(spark, sf):
-    return topics.lsi_fit(t.weights(spark, sf), 2).singular
+    """Loadings of two topics: orthonormal, eigenvectors of the term products, and no larger than the whole.
+
+    Documents are unit vectors, so their number is the sum of all squared singular values.
+    """
+    weights = materialize(t.weights(spark, sf), "weights")
+    model = topics.lsi_fit(weights, 2)
+    a, b = model.topic_term, model.topic_term.select("id", F.col("topic").alias("other"), F.col("v").alias("u"))
+    products = a.join(b, "id").groupBy("topic", "other").agg(F.sum(F.col("v") * F.col("u")).alias("p"))
+    same = F.when(F.col("topic") == F.col("other"), 1.0).otherwise(0.0)
+    ortho = products.agg((F.max(F.abs(F.col("p") - same)) < 1e-9).alias("o")).scalar()
+    z = weights.join(a, "id").groupBy("doc_id", "topic").agg(F.sum(F.col("w") * F.col("v")).alias("z"))
+    y = weights.join(z, "doc_id").groupBy("id", "topic").agg(F.sum(F.col("w") * F.col("z")).alias("y"))
+    rows = y.join(a, ["id", "topic"]).join(model.singular, "topic")
+    rest = rows.groupBy("topic", "s").agg(F.sqrt(F.sum(F.pow(F.col("y") - F.col("s") * F.col("s") * F.col("v"), 2))).alias("r"))
+    eigen = rest.agg((F.max(F.col("r") / (F.col("s") * F.col("s"))) < 1e-3).alias("e")).scalar()
+    squares = model.singular.agg(F.sum(F.col("s") * F.col("s"))).scalar()
+    counted = weights.agg(F.count_distinct("doc_id").alias("n_docs"), F.sum(F.col("w") * F.col("w")).alias("all"))
+    shape = a.agg(F.count_distinct("topic").alias("n_topics"), F.count_distinct("id").alias("n_terms"))
+    return counted.crossJoin(shape).select(  # one row each
+        "n_docs",
+        "n_topics",
+        "n_terms",
+        ortho.alias("orthonormal"),
+        eigen.alias("is_singular"),
+        ((squares > 0) & (squares <= F.col("all"))).alias("within"),
+    )
 
 
 @query(f"""WITH {q.WEIGHTS}, loads AS (
-  SELECT id, unnest(range(0, 5)) AS topic, unnest(embedding[1:5]::DOUBLE[]) AS v
+  SELECT id, unnest(range(0, 64)) AS topic, unnest(embedding::DOUBLE[]) AS v
   FROM dict JOIN embeddings ON vec_id = id % (SELECT count(*) FROM embeddings)
 )
 SELECT doc_id, topic, round(sum(w * v), 6) AS x FROM weights JOIN loads USING (id) GROUP BY doc_id, topic""")
 def lsi_transform(spark, sf):
-    """A given table of loadings: five numbers of the embeddings, dealt out in turn to the words."""
+    """A given table of loadings: the embeddings, dealt out in turn to the words."""
     vocab = t.dictionary(spark, sf)
-    dealt = t.word_vectors(spark, sf, vocab, size=5)
+    dealt = t.word_vectors(spark, sf, vocab)
     loads = dealt.select("id", F.posexplode("vec").alias("topic", "v"))
     placed = topics.lsi_transform(t.weights(spark, sf, vocab), loads)
     return placed.select("doc_id", F.posexplode("vec").alias("topic", "x")).withColumn("x", F.round("x", 6))
 
 
-@query()
+def _listed(top, value):
+    """Per topic how many different words are listed, and whether their strength falls by rank."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", F.round(F.abs(value), 9).alias("x"))))
+    listed = top.groupBy("topic").agg(F.count_distinct("word").alias("n_words"), ordered.alias("o"))
+    falling = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.get("o.x", i - 1) >= F.get("o.x", i))
+    return listed.select(F.col("topic").cast("long").alias("topic"), "n_words", falling.alias("falling"))
+
+
+@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling FROM range(0, 2) r(t)")
 def lsi_topics(spark, sf):
+    """The ten strongest words of two topics, by falling strength."""
     vocab = t.dictionary(spark, sf)
     model = topics.lsi_fit(t.weights(spark, sf, vocab), 2)
-    return topics.lsi_topics(model.topic_term, vocab, 2, 10)
+    return _listed(topics.lsi_topics(model.topic_term, vocab, 2, 10), F.col("v"))
+
+
+@query(f"""WITH {q.QWEIGHTS}
+SELECT query_id, 5::BIGINT AS n, true AS falling, true AS best FROM (SELECT DISTINCT query_id FROM qweights)""")
+def similar_by_topics(spark, sf):
+    """Benchmark texts folded into the LSI space of the documents, with the five best documents.
+
+    From words to weights to topics to the index to new texts: the best score of each text is
+    the largest of all scores in a full report.
+    """
+    vocab = t.dictionary(spark, sf)
+    weights = materialize(t.weights(spark, sf, vocab), "weights")
+    model = topics.lsi_fit(weights, 8, tolerance=1e-6)
+    index = materialize(topics.lsi_transform(weights, model.topic_term), "index")
+    asked = t.query_weights(spark, sf, vocab).withColumnRenamed("query_id", "doc_id")
+    asked = materialize(topics.lsi_transform(asked, model.topic_term).withColumnRenamed("doc_id", "query_id"), "asked")
+    found = similarity.nearest(index, asked, 5)
+    most = similarity.dense_cosine(index, asked).groupBy("query_id").agg(F.max("score").alias("most"))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    seen = found.groupBy("query_id").agg(ordered.alias("o")).join(most, "query_id")
+    falling = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.get("o.score", i - 1) >= F.get("o.score", i))
+    best = F.abs(F.get("o.score", F.lit(0)) - F.col("most")) < 2e-6
+    return seen.select("query_id", F.size("o").cast("long").alias("n"), falling.alias("falling"), best.alias("best"))
 
 
 def _lda(spark, sf):
-    n_docs = t.table(spark, sf, "documents").count()
-    vocab = vocabulary.filter_extremes(t.dictionary(spark, sf), n_docs, no_below=2, no_above=0.5)
+    vocab = t.dictionary(spark, sf)
     weights = materialize(t.weights(spark, sf, vocab), "weights")
-    return vocab, weights, topics.lda_fit(weights, vocab.count(), k=5, passes=1)
+    return vocab, weights, topics.lda_fit(weights, k=5, passes=3)
 
 
-@query()
+@query(f"""WITH {q.WEIGHTS}
+SELECT count(DISTINCT id) AS n_terms, 5::BIGINT AS n_topics, round(sum(w), 3) AS mass, true AS positive FROM weights""")
 def lda_fit(spark, sf):
-    """Documents by their strongest topic."""
-    _, weights, model = _lda(spark, sf)
-    mixtures = topics.lda_transform(model, weights)
-    strongest = F.array_position("vec", F.array_max("vec")) - 1
-    return mixtures.groupBy(strongest.alias("topic")).agg(F.count(F.lit(1)).alias("n_docs"))
+    """Topics over all terms: what a pass gives to them is what the documents weigh."""
+    _, _, model = _lda(spark, sf)
+    total = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
+    return model.topic_term.agg(
+        F.count(F.lit(1)).alias("n_terms"),
+        F.max(F.size("vec")).cast("long").alias("n_topics"),
+        F.round(F.sum(total - 1.0), 3).alias("mass"),  # without the prior, a fifth for each topic
+        (F.min(F.array_min("vec")) > 0).alias("positive"),
+    )
 
 
-@query()
+@query(f"WITH {q.WEIGHTS} SELECT doc_id, 5::BIGINT AS n_topics, true AS sums_to_one, true AS positive FROM weights GROUP BY doc_id")
 def lda_transform(spark, sf):
     _, weights, model = _lda(spark, sf)
-    return topics.lda_transform(model, weights).select("doc_id", F.posexplode("vec").alias("topic", "share"))
+    total = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
+    return topics.lda_transform(model, weights).select(
+        "doc_id",
+        F.size("vec").cast("long").alias("n_topics"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.array_min("vec") > 0).alias("positive"),
+    )
 
 
-@query()
+@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling FROM range(0, 5) r(t)")
 def lda_topics(spark, sf):
     vocab, _, model = _lda(spark, sf)
-    return topics.lda_topics(model, vocab, 5, 10)
+    return _listed(topics.lda_topics(model, vocab, 5, 10), F.col("weight"))
 
 
 @query("""SELECT vec_id AS doc_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings""")
@@ -312,10 +389,23 @@ def coords2d(spark, sf):
     return topics.coords2d(rows.withColumn("vec", F.col("vec").cast("array<double>")))
 
 
-@query()
+@query("""WITH cells AS (SELECT unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings)
+SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(s), 5) AS variance, true AS uncorrelated, true AS x_first, true AS above_mean
+FROM (SELECT var_pop(v) AS s FROM cells GROUP BY d)""")
 def pca_coords2d(spark, sf):
+    """Two main axes: uncorrelated, the wider one first, and each wider than the mean axis."""
     rows = t.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec"))
-    return topics.pca_coords2d(rows)
+    width = vector_width(rows)
+    parts = rows.select([F.get("vec", F.lit(i)).cast("double").alias(f"c{i}") for i in range(width)])
+    variance = parts.select(sum(F.var_pop(f"c{i}") for i in range(width)).alias("v")).scalar()
+    spread = (F.var_pop("x"), F.var_pop("y"))
+    return topics.pca_coords2d(rows).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.round(variance, 5)).alias("variance"),
+        (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+        (spread[0] >= spread[1]).alias("x_first"),
+        (spread[1] * width >= F.max(variance)).alias("above_mean"),
+    )
 
 
 @query(f"""WITH {q.TOK}, plan AS (

@@ -1,10 +1,11 @@
 """Saved vocabularies, dictionaries and model tables."""
 
+import json
 from collections.abc import Callable
+from dataclasses import asdict, fields, is_dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import LDAModel, LocalLDAModel
 from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,33 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(model: MLWritable, path: str) -> None:
-    """Save a fitted MLlib model (LDA, a classifier, a window code)."""
+    """Save a fitted MLlib model (a classifier, a window code)."""
     model.write().save(path)
 
 
-def load_lda(path: str) -> LDAModel:
-    return LocalLDAModel.load(path)
+def save_record(record: object, path: str) -> None:
+    """Save a model that is a dataclass of tables and plain values (LSI, LDA, paragraphs).
+
+    Each table goes to a folder of its own, the values to one row of JSON beside them.
+    """
+    plain, spark = {}, None
+    for field in fields(record):
+        value = getattr(record, field.name)
+        if isinstance(value, DataFrame):
+            spark = value.sparkSession
+            value.write.parquet(f"{path}/{field.name}")
+        else:
+            plain[field.name] = asdict(value) if is_dataclass(value) else value
+    row = spark.createDataFrame([(json.dumps(plain),)], "value string")
+    row.coalesce(1).write.text(f"{path}/_values")
+
+
+def load_record(kind: type, spark: SparkSession, path: str, **inner: type):
+    """Load a model saved by :func:`save_record`; ``inner`` names the classes of nested values."""
+    plain = json.loads(spark.read.text(f"{path}/_values").first()["value"])
+    plain = {name: inner[name](**value) if name in inner else value for name, value in plain.items()}
+    tables = {f.name: spark.read.parquet(f"{path}/{f.name}") for f in fields(kind) if f.name not in plain}
+    return kind(**plain, **tables)
 
 
 def load_pipeline(path: str) -> PipelineModel:
@@ -57,13 +79,16 @@ def vocabulary_snapshot(
 
 
 def save_dictionary_json(vocab: DataFrame, path: str) -> None:
-    """One JSON line per word in id order, so that line number = id."""
+    """One JSON line per word with its id, in id order."""
     ordered = vocab.repartitionByRange("id").sortWithinPartitions("id")
-    ordered.select(F.to_json(F.struct("word")).alias("value")).write.text(path)
+    ordered.select(F.to_json(F.struct("id", "word")).alias("value")).write.text(path)
 
 
 def load_dictionary_json(spark: SparkSession, path: str) -> DataFrame:
-    """``(word, id)`` with id = line number."""
+    """``(word, id)``; a file without ids counts its lines."""
     lines = read_ordered_lines(spark, path)
-    words = lines.select("line_order", F.from_json("text", "word string")["word"].alias("word"))
+    words = lines.select("line_order", F.from_json("text", "id long, word string").alias("w")).select("line_order", "w.*")
+    if not words.filter(F.col("id").isNull()).limit(1).count():
+        return words.select("word", "id")
+    words = words.drop("id")
     return number_rows(words, ["line_order"], label="dictionary").select("word", "id")

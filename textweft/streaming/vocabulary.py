@@ -7,14 +7,12 @@ from pyspark.sql.streaming import StreamingQuery
 from textweft.operators.vocabulary import token_counts
 
 
-def stream_documents(spark: SparkSession, folder: str, pattern: str, schema: str, per_trigger: int = 1) -> DataFrame:
-    """Parquet files arriving in a folder, as an unbounded table."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", per_trigger)
-        .parquet(folder)
-    )
+def stream_documents(spark: SparkSession, folder: str, pattern: str, schema: str, per_trigger: int | None = None) -> DataFrame:
+    """Parquet files arriving in a folder, as an unbounded table; ``per_trigger`` bounds a batch's files."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    return reader.parquet(folder)
 
 
 def stream_extend_vocabulary(arriving: DataFrame, words: Column, counts_path: str, checkpoint: str) -> StreamingQuery:
