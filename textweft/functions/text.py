@@ -19,6 +19,7 @@ SPACE = (
 NON_WORD = r"[^\p{L}\p{N}_]"
 REVIEW_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 LINE_BREAK = r"\r\n|\r|\n"
+# How a header line, a quoted line and a gap of a mail-style post look.
 HEADER_LINE = r"^[A-Za-z][A-Za-z-]*:"
 QUOTED_LINE = r"writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\||^>"
 GAP_LINE = rf"^{SPACE}*-*{SPACE}*$"

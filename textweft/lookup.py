@@ -5,11 +5,17 @@ shuffled, and keys holding a large share of the fact rows are joined apart so
 that no reduce task receives a hot key.
 """
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textweft.scratch import materialize
+
 BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_BYTES = 1024 * 1024  # hot rows are broadcast in parts of this size at least
 HOT_SHARE = 20_000  # a key is hot when it holds more than 1/HOT_SHARE of the facts
 
 
@@ -47,8 +53,9 @@ def lookup_join(
 
     ``weight`` names the column of ``table`` holding how often a key occurs in the
     facts. At most ``HOT_SHARE`` keys can hold more than ``1/HOT_SHARE`` of the
-    total each, so the hot part always fits a broadcast. Rows without a key never
-    reach a shuffle. ``small`` hands on the outcome of an earlier measurement.
+    total each; their rows are measured too and broadcast in as many parts as their size
+    asks for. Rows without a key never reach a shuffle. ``small`` hands on the outcome of
+    an earlier measurement.
     """
     if fits_broadcast(table, limit) if small is None else small:
         return facts.join(F.broadcast(table), key, how)
@@ -57,7 +64,14 @@ def lookup_join(
     total = table.agg(F.sum(weight).alias("_total")).first()["_total"] or 0
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot, cold = table.filter(is_hot), table.filter(~is_hot)
-    hot_rows = facts.join(F.broadcast(hot), key, "left_semi" if how == "left_semi" else "inner")
+    hot = materialize(hot, "hot-keys")
+    most = max(BROADCAST_BYTES if limit is None else limit, HOT_BYTES)
+    parts = max(1, math.ceil(measured_bytes(hot) / most))
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    kind = "left_semi" if how == "left_semi" else "inner"
+    hot_rows = reduce(
+        DataFrame.unionByName, [facts.join(F.broadcast(hot.filter(part == i)), key, kind) for i in range(parts)]
+    )
     keyed = facts.filter(F.col(key).isNotNull())
     other_rows = keyed.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
     joined = hot_rows.unionByName(other_rows)

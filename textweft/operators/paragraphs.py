@@ -32,6 +32,7 @@ from textweft.sources.vectors import PADDING, UNKNOWN
 
 MAX_ACTIVATION = 6.0  # fixed value: beyond it a node is taken as learnt
 BLOCK_WORDS = 100_000
+BLOCK_BYTES = 512 * 1024 * 1024  # of the vectors that a block's words and tree nodes can need
 _WORD, _NODE, _PARAGRAPH = 0, 1, 2
 PARAGRAPH_KIND = _PARAGRAPH
 
@@ -63,6 +64,12 @@ class Settings:
             return self.size
         return self.paragraph_size + self.size * (self.slots if self.mode == "concat" else 1)
 
+    @property
+    def block_words(self) -> int:
+        """Words in a block of text: fewer if vectors are long."""
+        most = BLOCK_BYTES // (8 * (self.size + self.input_size + self.paragraph_size))
+        return max(1000, min(BLOCK_WORDS, most))
+
 
 @dataclass
 class ParagraphModel:
@@ -145,7 +152,7 @@ def training_vocabulary(tokens: DataFrame, min_count: int = 5) -> DataFrame:
 
 
 def _encode(
-    tokens: DataFrame, vocab: DataFrame, texts: DataFrame, limit: int | None
+    tokens: DataFrame, vocab: DataFrame, texts: DataFrame, block_words: int, limit: int | None
 ) -> tuple[DataFrame, int]:
     """``(doc_id, block, para_id, ids, leaves)`` and the number of blocks.
 
@@ -170,7 +177,7 @@ def _encode(
         "encoded",
     )
     words = encoded.agg(F.sum(F.size("ids"))).first()[0] or 0
-    blocks = max(1, -(-words // BLOCK_WORDS))
+    blocks = max(1, -(-words // block_words))
     return encoded.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")), blocks
 
 
@@ -343,10 +350,10 @@ class _Job:
     blocks: int
 
 
-def _lay_out(tokens: DataFrame, vocab: DataFrame, texts: DataFrame, limit: int | None) -> _Job:
+def _lay_out(tokens: DataFrame, vocab: DataFrame, texts: DataFrame, block_words: int, limit: int | None) -> _Job:
     pad_id = vocab.filter(F.col("word") == PADDING).select("id").first()["id"]
     pad_key = int(pad_id) * 4 + _WORD
-    encoded, blocks = _encode(tokens, vocab, texts, limit)
+    encoded, blocks = _encode(tokens, vocab, texts, block_words, limit)
     return _Job(encoded, materialize(_needed(encoded, pad_key), "needed"), pad_key, blocks)
 
 
@@ -450,7 +457,7 @@ def pvdm_fit(
         model = ParagraphModel(settings, vocab, texts, weights)
     else:
         model = ParagraphModel(settings, start.vocab, start.paragraphs, start.weights)
-    job = _lay_out(tokens, model.vocab, model.paragraphs, limit)
+    job = _lay_out(tokens, model.vocab, model.paragraphs, settings.block_words, limit)
     return _run(model, job, max_iter, max_batch, False, limit)
 
 
@@ -524,7 +531,7 @@ def pvdm_infer(
     learnt = model.weights.filter(F.pmod("key", F.lit(4)) != _PARAGRAPH)
     weights = materialize(learnt.unionByName(start_paragraphs(texts, model.settings)), "weights")
     fresh = ParagraphModel(model.settings, model.vocab, texts, weights)
-    job = _lay_out(tokens, model.vocab, texts, limit)
+    job = _lay_out(tokens, model.vocab, texts, model.settings.block_words, limit)
     return _run(fresh, job, max_iter, model.settings.batch, True, limit)
 
 

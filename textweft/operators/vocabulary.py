@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textweft.functions.arrays import let
 from textweft.lookup import lookup_join
 from textweft.ordered import number_rows
+from textweft.scratch import materialize
 from textweft.sources.vectors import PAD, PADDING, UNKNOWN, UNKNOWN_CAPITAL
 
 
@@ -67,13 +68,13 @@ def document_frequency(tokens: DataFrame) -> DataFrame:
 
 def drop_rare(tokens: DataFrame, more_than: int = 1, limit: int | None = None) -> DataFrame:
     """Remove words that occur ``more_than`` times or less in the corpus; order is kept."""
-    kept = token_counts(tokens).filter(F.col("n") > more_than)
+    kept = materialize(token_counts(tokens).filter(F.col("n") > more_than), "kept-words")
     return _regroup(tokens, kept, F.col("n").isNotNull(), "n", limit)
 
 
 def drop_listed_words(tokens: DataFrame, listed: DataFrame, limit: int | None = None) -> DataFrame:
     """Remove the words of a table ``listed(word)``, for stop word lists of any length."""
-    marked = listed.select("word").distinct().join(token_counts(tokens), "word")
+    marked = materialize(listed.select("word").distinct().join(token_counts(tokens), "word"), "listed-words")
     return _regroup(tokens, marked, F.col("n").isNull(), "n", limit)
 
 

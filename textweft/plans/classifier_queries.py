@@ -129,11 +129,6 @@ def _training_rows(spark, sf):
     return materialize(classify.label_lookup(pooled, labels), "training-rows")
 
 
-def _parts(rows):
-    split = classify.split_rows(rows, "doc_id")
-    return split.filter(F.col("part") == "train"), split.filter(F.col("part") != "train")
-
-
 # What SQL can state of a fitted classifier: the rows it judges, and the loss of the bare share
 # of each class, which it must not exceed on the rows it was fitted on.
 _LABELLED = f"""WITH {q.VOCAB}, rows AS (
@@ -157,16 +152,16 @@ def _judged(rows, model):
 
 @query(_FITTED)
 def train_classifier(spark, sf):
-    """A hidden layer and softmax, fitted on four fifths of the labelled documents."""
+    """A hidden layer and softmax, fitted on the labelled documents."""
     rows = _training_rows(spark, sf)
-    return _judged(rows, classify.train_classifier(_parts(rows)[0], 2, hidden=8, max_iter=100))
+    return _judged(rows, classify.train_classifier(rows, 2, hidden=8, max_iter=100))
 
 
 @query(_FITTED)
 def train_logistic(spark, sf):
-    """Logistic regression, fitted on four fifths of the labelled documents."""
+    """Logistic regression, fitted on the labelled documents."""
     rows = _training_rows(spark, sf)
-    return _judged(rows, classify.train_classifier(_parts(rows)[0], 2, max_iter=100, regularization=1e-3))
+    return _judged(rows, classify.train_classifier(rows, 2, max_iter=100, regularization=1e-3))
 
 
 @query(f"""{_LABELLED}

@@ -200,7 +200,9 @@ def sparse_cosine(spark, sf):
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
 ) SELECT query_id, doc_id, score FROM ranked WHERE rank = 1""")
 def top1(spark, sf):
-    return similarity.top1(_all_scores(spark, sf))
+    vocab = t.dictionary(spark, sf)
+    hits = similarity.positive_scores(t.weights(spark, sf, vocab), t.query_weights(spark, sf, vocab))
+    return similarity.top1(hits)
 
 
 @query(f"""WITH {q.SCORES}
@@ -332,7 +334,7 @@ def similar_by_topics(spark, sf):
     """
     vocab = t.dictionary(spark, sf)
     weights = materialize(t.weights(spark, sf, vocab), "weights")
-    model = topics.lsi_fit(weights, 8, tolerance=1e-6)
+    model = topics.lsi_fit(weights, 4, tolerance=1e-3)
     index = materialize(topics.lsi_transform(weights, model.topic_term), "index")
     asked = t.query_weights(spark, sf, vocab).withColumnRenamed("query_id", "doc_id")
     asked = materialize(topics.lsi_transform(asked, model.topic_term).withColumnRenamed("doc_id", "query_id"), "asked")
