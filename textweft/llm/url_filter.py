@@ -11,7 +11,6 @@ Only built-in functions are used; paths are counted before anything is joined.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textweft.lookup import fits_broadcast
 from textweft.scratch import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -120,6 +119,6 @@ def url_verdicts(
     templates = materialize(path_templates(paths), "templates")
     rejected = rejected_templates(paths, templates, reject).withColumn("rejected", F.lit(True))
     judged = materialize(templates.join(rejected, ["host", "template"], "left"), "judged")
-    joined = rows.join(F.broadcast(judged) if fits_broadcast(judged) else judged, ["host", "path"], "left")
+    joined = rows.join(judged, ["host", "path"], "left")
     verdict = F.coalesce("by_rule", F.when(F.col("rejected"), "block").otherwise("allow"))
     return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template")
