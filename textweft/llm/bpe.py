@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -212,7 +213,7 @@ def encode_texts(
             if "n_tokens" in got:
                 got["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
             if "token_ids" in got:
-                got["token_ids"].append([int(i) for i in ids.split()])
+                got["token_ids"].append(np.fromstring(ids, dtype=np.int32, sep=" "))
             if "decoded" in got:
                 got["decoded"].append(decoded)
             if "ids_sha256" in got:
