@@ -14,7 +14,6 @@ index over the items travels with the tasks while its measured size is below
 documents for each, so that no item is left out.
 """
 
-import hashlib
 import math
 from collections import Counter, defaultdict
 from dataclasses import dataclass
@@ -182,15 +181,18 @@ def contamination(
     contained nowhere. Repeated rows are judged alike, columns named like a result are
     replaced, and an empty benchmark leaves every document clean.
     """
-    judged, blocks = docs, 0
-    for block in item_blocks(items, item, item_text):
+    judged, further = docs, False
+    blocks = item_blocks(items, item, item_text)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
         wanted = frozenset(w for _, t in block for w in item_words(t))
-        index = build_index(block, word_counts(docs, wanted, text) if wanted else {}, n, containment)
-        if blocks:
-            judged = materialize(judged, "contamination")
-        judged = judge_block(judged, index, text, keep, blocks > 0)
-        keep = None
-        blocks += 1
+        index = build_index(block, word_counts(judged, wanted, text) if wanted else {}, n, containment)
+        again = [text] if following is not None and keep is not None and text not in keep else []
+        judged = judge_block(judged, index, text, None if keep is None else [*keep, *again], further)
+        if following is not None:
+            judged, further = materialize(judged, "contamination"), True
+        block = following
     return judged
 
 
@@ -218,11 +220,4 @@ def judge_block(docs: DataFrame, index: Index, text: str, keep: list[str] | None
         return got
 
     reads = [text, *(["hit_items", "hit_spans"] if further else [])]
-    if keep is not None and text not in keep:
-        kept = map_columns(docs, reads, ADDS, work, keep=[*keep, text])
-        return kept
     return map_columns(docs, reads, ADDS, work, keep)
-
-
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()
