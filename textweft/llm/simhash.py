@@ -357,6 +357,13 @@ def keep_one_of_each(
     rows whose id is null or repeated are fingerprinted again to tell them apart.
     """
     marked, grouped = fingerprint_groups(docs, size, reach, text, id, hot)
+    return keep_first(docs, marked, grouped, lambda d, name: with_fingerprint(d, size, text, name), id)
+
+
+def keep_first(
+    docs: DataFrame, marked: DataFrame, grouped: DataFrame, mark_rows: Callable[[DataFrame, str], DataFrame], id: str = "doc_id"
+) -> DataFrame:
+    """The row that stands for each ``root`` of ``grouped``; ``mark_rows`` adds a row's ``fp`` under a name."""
     order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
     kept = grouped.groupBy("root").agg(F.min_by(F.struct("first_id", "fp"), order).alias("k")).select("k.*")
     times = marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("doc_id IS NULL OR times > 1")
@@ -368,7 +375,7 @@ def keep_one_of_each(
     if not repeated.limit(1).count():
         return plain
     again = docs.join(repeated.select(F.col("doc_id").alias(key)), F.col(id).eqNullSafe(F.col(key)), "left_semi")
-    again = with_fingerprint(again, size, text, mark)
+    again = mark_rows(again, mark)
     same = F.col(mark).eqNullSafe(F.col(kept_mark)) & F.col(id).eqNullSafe(F.col(key))
     hard = again.join(kept, same, "left_semi").dropDuplicates([id, mark])
     return plain.unionByName(hard.select(*docs.columns))
