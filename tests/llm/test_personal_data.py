@@ -46,6 +46,23 @@ def test_added_kinds():
     assert not find_spans("GB82 WEST 1234 5698 7654 33")["iban"]  # wrong checksum
 
 
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("before", ["", "IBAN ", "REF AB12 ", "AB12 CD34 "])
+@pytest.mark.parametrize("after", ["", ".", " BIC COBADEFF", " 2024", " EUR 50", " A 1 B 2 C 3 D 4 E 5", " Bank", " GB82 WEST 1234 5698 7654 32"])
+def test_account_numbers_among_upper_case_words(iban, before, after):
+    text = before + iban + after
+    found = find_spans(text)["iban"]
+    assert (len(before), len(before) + len(iban)) in found and len(found) == 1 + after.count("GB82")
+    assert iban not in redacted(text, find_spans(text))
+
+
+def test_many_account_heads_take_linear_time():
+    began = time.process_time()
+    find_spans("AA11 " * 60_000)
+    find_spans("AA11" + "A1" * 150_000)
+    assert time.process_time() - began < 10
+
+
 def test_redaction():
     text = "Mail é@x a.b@c.de or +1 (555) 123-4567"
     assert redacted(text, find_spans(text)) == "Mail é@x <EMAIL> or <PHONE>"

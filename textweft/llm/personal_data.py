@@ -27,9 +27,17 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_PIECE = re.compile(r"\x20?[A-Z0-9]{1,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?i:token|secret|password|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_\-+/]{16,})")
+_IBAN_LENGTHS = (
+    "NO15 BE16 DK18 FI18 FO18 GL18 NL18 MK19 SI19 AT20 BA20 EE20 KZ20 LT20 LU20 XK20 CH21 HR21 LI21 LV21 BG22 BH22 CR22 DE22 "
+    "GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 TL23 AD24 CZ24 ES24 MD24 PK24 RO24 SA24 SE24 SK24 TN24 VG24 LY25 PT25 "
+    "ST25 IS26 TR26 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HU28 LB28 PL28 SV28 BR29 EG29 PS29 QA29 UA29 "
+    "JO30 KW30 MU30 MT31 SC31 LC32"
+)
+IBAN_LENGTHS = {code[:2]: int(code[2:]) for code in _IBAN_LENGTHS.split()}
 CONTEXT = {
     "iban": re.compile(r"(?i)iban|account|konto|compte|cuenta|bank|banque|banco|bic|swift"),
     "ssn": re.compile(r"(?i)ssn|social|security|sozialversicherung|s[ée]curit[ée]|seguridad"),
@@ -98,6 +106,43 @@ def phones(text: str) -> Iterator[Span]:
             yield run.span()
 
 
+def _account_ends(text: str, head: re.Match) -> Iterator[tuple[int, int]]:
+    """``(length, end)`` after each piece that follows the head, from 15 to 34 characters without spaces."""
+    at, length = head.end(), 4
+    while piece := _IBAN_PIECE.match(text, at):
+        at, length = piece.end(), length + len(piece[0].lstrip(" "))
+        if length > 34:
+            return
+        if length >= 15:
+            yield length, at
+
+
+def _confirmed(text: str, low: int, high: int, sure: bool) -> Iterator[Span]:
+    head = _IBAN_HEAD.search(text, low, high)
+    while head:
+        start, known = head.start(), IBAN_LENGTHS.get(head[0][:2])
+        ends = [e for length, e in _account_ends(text, head) if e <= high and (length == known or not sure)]
+        end = next((e for e in reversed(ends) if mod97(text[start:e].replace(" ", ""))), None)
+        if end:
+            yield start, end
+        head = _IBAN_HEAD.search(text, end or head.end(), high)
+
+
+def accounts(text: str) -> Iterator[Span]:
+    """Account numbers among what starts like one, each cut where its checksum holds.
+
+    Upper-case words and numbers may follow without belonging to it. So numbers of their
+    country's length come first, and between these the longest run of pieces that the
+    checksum confirms. The search goes on behind a number, or behind the start of a failed one.
+    """
+    done = 0
+    for start, end in [*_confirmed(text, 0, len(text), True), (len(text), len(text))]:
+        yield from _confirmed(text, done, start, False)
+        if start < end:
+            yield start, end
+        done = end
+
+
 def score(kind: str, text: str, span: Span) -> float:
     """Confidence before context, raised by a context word within reach."""
     base = {"iban": 0.6, "ssn": 0.3, "secret": 0.8}[kind]
@@ -107,10 +152,8 @@ def score(kind: str, text: str, span: Span) -> float:
 
 
 def added_spans(text: str) -> Iterator[tuple[str, Span]]:
-    for found in _IBAN.finditer(text):
-        plain = found[0].replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            yield "iban", found.span()
+    for span in accounts(text):
+        yield "iban", span
     if "-" in text:
         for found in _SSN.finditer(text):
             yield "ssn", found.span()
