@@ -1,7 +1,7 @@
 import gzip
 
 import pytest
-from conftest import TITLE_BOW
+from goldens import TITLE_BOW
 from pyspark.sql import functions as F
 
 from textweft.operators import bags, vocabulary

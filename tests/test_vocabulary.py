@@ -1,5 +1,5 @@
 import pytest
-from conftest import TITLE_BOW, TITLE_WORDS
+from goldens import TITLE_BOW, TITLE_WORDS
 from pyspark.sql import functions as F
 
 from textweft.operators import bags, vocabulary as v
