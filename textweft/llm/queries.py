@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textweft.llm import audit_queries  # noqa: F401  (registers its queries)
 from textweft.llm.bpe import encode_texts
 from textweft.llm.common import table
 from textweft.llm.decontaminate import contamination
