@@ -1,5 +1,6 @@
 """Context mixing: a proper distribution, texts in any grouping, gathering in parts; word counts in full."""
 
+import itertools
 import math
 import random
 import zlib
@@ -10,16 +11,22 @@ import pytest
 
 from textweft.llm import lm_score, mixing
 from textweft.llm.lm_score import fit_language_model, score_texts
-from textweft.llm.mixing import LOWER, SYMBOLS, Code, Mixer, contexts, count_bits, followers, log_odds, symbols_of
+from textweft.llm.mixing import LOWER, SYMBOLS, Code, Mixer, OuterCounts, Symbols, count_followers, count_inner, log_odds, rounds, units
 
 
-def taught(texts):
-    counts = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-    followers(texts, counts)
-    code = Code(counts)
-    tables = [np.zeros(2 * mixing.SLOTS, np.uint32) for _ in range(mixing.CONTEXTS)]
-    count_bits(code, texts, tables)
-    return Mixer(code, np.stack([log_odds(t[0::2].astype(float), t[1::2].astype(float)) for t in tables])), tables
+def taught(texts, often=()):
+    counted = Counter(u for t in texts for u in units(t))
+    distinct, times = list(counted), np.array(list(counted.values()), np.uint64)
+    follows = np.zeros(SYMBOLS * SYMBOLS)
+    count_followers(distinct, times, follows)
+    code = Code(follows)
+    tables = [np.zeros(2 * mixing.SLOTS, np.uint64) for _ in range(mixing.INNER)]
+    for which, table in enumerate(tables):
+        count_inner(code, distinct, times, which, table)
+    outer = OuterCounts(code, list(often))
+    outer.add(texts)
+    odds = np.stack([log_odds(t[0::2].astype(float), t[1::2].astype(float)) for t in [*tables, outer.table]])
+    return Mixer(code, odds, often=list(often)), outer.table
 
 
 def prose(n, seed=0):
@@ -28,61 +35,105 @@ def prose(n, seed=0):
     return [" ".join(rng.choices(words, k=rng.randint(5, 60))).encode() for _ in range(n)]
 
 
-def test_every_next_symbol_has_its_share():
+def test_units_hold_every_byte():
+    rng = random.Random(3)
+    for text in [b"", b" ", b"\n", b"a", b"a ", b"a\n", b"a b\n\nc  d \n", *(bytes(rng.choices(b"ab \n\t", k=30)) for _ in range(200))]:
+        found = units(text)
+        assert found[-1][-1:] == b" " and all(u[-1:] != b" " for u in found[:-1])
+        assert b"".join(u if u[-1:] == b"\n" else u + b" " for u in found[:-1]) + found[-1][:-1] == text
+        assert [w for u in found for w in u.split()] == text.split()
+    pieces = [(i, first, us) for group in rounds([b"a b " * 900, b"c d", b"x" * 5000 + b" y"], 1000) for i, first, us in group]
+    assert [first for i, first, _ in pieces if i == 0] == [True] + [False] * (len([1 for i, *_ in pieces if i == 0]) - 1)
+    for i, text in enumerate([b"a b " * 900, b"c d", b"x" * 5000 + b" y"]):
+        assert [u for j, _, us in pieces if j == i for u in us] == units(text)
+
+
+def test_all_ways_to_go_on_have_a_chance_of_one():
+    """The code is complete and every bit has a chance, so symbols after any start add up to one."""
     texts = prose(60)
     mixer, _ = taught(texts)
     mixer.learn(texts[:10])
     seen = np.zeros((2, mixing.GATES, mixing.BUCKETS))
     mixer.observe(texts[:10], seen)
     mixer = Mixer(mixer.code, mixer.tables, mixer.weights, seen)
-    for start in (b"", b"et", texts[0][:40]):
-        # all ways to go on from here by one byte or to end, each by the chance of its own bits
-        ended = mixer.scores([start])[0]
-        longer = [start + bytes([b]) for b in range(256)]
-        keys, hashes, _ = symbols_of([(0, True, True)], [start], 0)
-        before = start[-1] if start else mixing.START
-        code = mixer.code
-        chances = []
-        for symbol in range(SYMBOLS):
-            key = before * SYMBOLS + symbol
-            chances.append(2.0 ** -code.sizes[key])
-        assert abs(sum(chances) - 1) < 1e-9  # the code is complete, so bit by bit chances add up to one
-        assert ended < 0 and (mixer.scores(longer) < 0).all()
+    pairs = np.exp(mixer.logs).reshape(-1, 2).sum(axis=1)
+    assert np.allclose(pairs, 1, atol=1e-6)
+    sizes = mixer.code.sizes.reshape(SYMBOLS, SYMBOLS)
+    assert np.allclose((2.0**-sizes).sum(axis=1), 1)
+    # two-symbol alphabet, all texts of up to three letters: no more than one in sum
+    every = [b""] + [bytes(x) for n in (1, 2, 3) for x in itertools.product(b"ab ", repeat=n)]
+    assert 0 < (10 ** mixer.scores(every)).sum() < 1
 
 
 def test_bits_do_not_depend_on_what_follows():
-    data = np.frombuffer(b"one two  three\0four", np.uint8)
-    starts = np.array([0, 15])
-    whole = contexts(data, starts)
-    for cut in (3, 8, 14, 17):
-        for a, b in zip(whole, contexts(data[:cut], starts[starts < cut])):
-            assert (a[:cut] == b).all()
-    alone = contexts(data[15:], np.array([0]))
-    assert all((a[15:] == b).all() for a, b in zip(whole, alone))
-
-
-def test_scores_do_not_depend_on_neighbours(monkeypatch):
-    texts = prose(40) + [b"", b"\0\xff", b"x" * 5000]
+    whole = Symbols([b"abcd", b"ab\n", b"abx "])
+    for which in range(mixing.INNER):
+        h = whole.context(which)
+        assert (h[:3] == h[5:8]).all() and (h[:3] == h[8:11]).all()
+        alone = Symbols([b"abc"]).context(which)
+        assert (alone[:4] == h[:4]).all()
+
+
+def test_scores_do_not_depend_on_neighbours_or_on_what_is_laid_out_before():
+    texts = prose(40) + [b"", b"\0\xff", b"x" * 5000, b" \n \n"]
     mixer, _ = taught(texts)
     alone = np.array([mixer.scores([t])[0] for t in texts])
     assert np.allclose(mixer.scores(texts), alone, rtol=1e-5)
     assert np.allclose(mixer.scores(texts[::-1])[::-1], alone, rtol=1e-5)
+    often = sorted({u for t in texts[:20] for u in units(t)})
+    assert np.allclose(taught(texts, often)[0].scores(texts), alone, rtol=1e-5)
+    assert (taught(texts, often)[1] == taught(texts)[1]).all()
     assert mixer.scores([]).size == 0
 
 
-def test_long_texts_are_read_in_sections(monkeypatch):
+def test_long_texts_are_read_in_pieces(monkeypatch):
     texts = [b" ".join(prose(60)), b"short one"]
-    mixer, tables = taught(texts)
+    mixer, table = taught(texts)
     whole = mixer.scores(texts)
-    for name in ("SECTION", "COUNTED"):
-        monkeypatch.setattr(mixing, name, 1000)
-    monkeypatch.setattr(mixing.sections, "__defaults__", (1000,))
+    monkeypatch.setattr(mixing, "PIECE", 1000)
+    monkeypatch.setattr(mixing, "GROUP", 50)
     cut, again = taught(texts)
-    # contexts reach over borders, so counts are the same; own weights carry over
-    assert all((a == b).all() for a, b in zip(tables, again))
+    # the unit before is known over borders, so counts are the same; own weights carry over
+    assert (table == again).all()
     assert np.allclose(cut.scores(texts), whole, rtol=2e-2)
 
 
+def test_score_equals_plain_loops():
+    """One text bit by bit, with dictionaries in the place of tables."""
+    texts = prose(30)
+    mixer, _ = taught(texts)
+    mixer.learn(texts[:5])
+    mixer = Mixer(mixer.code, mixer.tables, mixer.weights)
+    for text in (texts[3], b"one  two\nthree", b""):
+        own, total, waiting, previous = np.zeros(3), 0.0, [], np.uint32(0)
+        for unit in units(text):
+            s = Symbols([unit])
+            hashes = [s.context(i) for i in range(mixing.INNER)] + [mixing._short(s.so_far, 4)]
+            for at, key in enumerate(s.keys):
+                for depth in range(mixer.code.sizes[key]):
+                    place = mixer.code.starts[key] + depth
+                    node, bit = mixer.code.nodes[place], int(mixer.code.bits[place])
+                    marked = [(int(h[at]) + (int(node) + 1) * 0x85EBCA6B) % 2**32 for h in hashes]
+                    marked[3] ^= int(previous)
+                    odds = [int(t[(m * 0x9E3779B1 % 2**32) >> (32 - mixing.SLOT_BITS)]) for t, m in zip(mixer.tables, marked)]
+
+                    def level(o):
+                        return (o != 0) + (abs(o) > 24)
+
+                    gate = (min(depth, 2) * 3 + level(odds[2])) * 2 + (abs(odds[1]) > 12)
+                    gate = gate * 3 + level(odds[3])
+                    w = mixer.weights[gate]
+                    x = np.array([sum(w[i] * odds[i] / 12 for i in range(3)) + w[4] * mixing.BIAS, w[3] * odds[3] / 12, mixing.BIAS])
+                    says = x[0] + x[1] + own @ x
+                    spot = int((min(max(says, -8), 8) + 8) * (mixing.BUCKETS - 1) / 16 + 0.5)
+                    total += mixer.logs[(gate * mixing.BUCKETS + spot) * 2 + bit]
+                    waiting.append((x, bit - 1 / (1 + math.exp(-says))))
+                    if len(waiting) == mixing.STEP:
+                        own, waiting = own + mixing.OWN_RATE * sum(e * x for x, e in waiting), []
+            previous = s.whole[0]
+        assert math.isclose(total / math.log(10), mixer.scores([text])[0], rel_tol=2e-3)
+
+
 def test_learning_helps():
     texts, more = prose(300), prose(300)[200:]
     mixer, _ = taught(texts[:200])
@@ -108,10 +159,10 @@ def plain_scores(rows):
     return total, out
 
 
-@pytest.mark.parametrize("head", [1 << 20, 400, 0])
+@pytest.mark.parametrize("head", [1 << 20, 20, 0])
 def test_base_scores_equal_counting(spark, hard_docs, monkeypatch, head):
     monkeypatch.setattr(lm_score, "FAN", 2)
-    model = fit_language_model(hard_docs, head_bytes=head)
+    model = fit_language_model(hard_docs, head_words=head)
     total, want = plain_scores([(r["doc_id"], r["text"]) for r in hard_docs.collect()])
     assert model.tokens == total
     got = score_texts(hard_docs, model).collect()
@@ -128,11 +179,14 @@ def test_base_scores_equal_counting(spark, hard_docs, monkeypatch, head):
 
 def test_tables_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "FAN", 2)
-    texts = [(bytearray(t),) for t in prose(50)]
-    code = taught(prose(50))[0].code
-    one = lm_score._tables(spark.createDataFrame(texts, "text binary").coalesce(1), code)
-    many = lm_score._tables(spark.createDataFrame(texts, "text binary").repartition(7), code)
-    assert (one == many).all() and (one == taught(prose(50))[0].tables).all()
+    texts = prose(50)
+    mixer, _ = taught(texts)
+    rows = spark.createDataFrame([(bytearray(t), False) for t in texts], "text binary, weighs boolean")
+    for n in (1, 7):
+        part = rows.repartition(n)
+        counted = lm_score.unit_counts(part).repartition(n)
+        assert (lm_score._code(counted).bits == mixer.code.bits).all()
+        assert (lm_score._tables(counted, part.select("text"), mixer.code, []) == mixer.tables).all()
 
 
 def test_empty_table_and_only_held_out_rows(spark):

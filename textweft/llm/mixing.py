@@ -1,47 +1,90 @@
 """Logistic context mixing over the bits of texts.
 
-A byte is coded by a prefix code, which goes by the byte before so that few bits are needed, and
-every bit is guessed by several predictors. Each hashes its own context (the bytes before, the word so far, the word before as well)
-with the node of the code into a table of counts of zeros and ones. The guesses, as log-odds, are
-added up under weights that a gate picks by how sure the predictors are; the weights are
-learnt online. The sum is refined by a table that maps what was said, gate by gate,
-to what came true, and by weights that adapt as a document goes on.
-
-All documents of a slice advance together, a block of bits a step. A long document is read
-in sections, so that memory is bounded; contexts look back over a border as far as
-``LOOK_BACK`` bytes.
+A text is a row of units: the bytes up to a space or a line break, with that or the end of the
+text as the last symbol. A symbol is coded by a prefix code that goes by the symbol before it
+in the unit, so that few bits are needed, and every bit is guessed by several predictors. Each
+hashes its own context (the two bytes before, the four before, the unit so far; and the unit so far
+with the whole unit before it) with the node of the code into a table of counts of zeros and
+ones. The guesses, as log-odds, are added up under weights that a gate picks by how sure the
+predictors are; the weights are learnt online. The sum is refined by a table that maps what was said,
+gate by gate, to what came true, and by weights that adapt as a document goes on.
+
+All predictors but the last see the unit alone. Whatever depends on a unit alone is worked out
+once per task for frequent units, and counted once for the distinct units of a corpus. All
+documents of a group advance together, a block of bits a step; long documents are read piece by
+piece, so that memory is bounded.
 """
 
 import heapq
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 
 END = START = 256
 SYMBOLS = 257
-CONTEXTS = 4  # two bytes, four; the word so far; the word before and the word so far
+INNER = 3  # predictors that see the unit alone: two bytes, four bytes, the unit so far
+PREDICTORS = INNER + 1
 SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 SCALE = 12.0  # a table holds log-odds as bytes, this much to one
-SECTION = 1 << 18
-COUNTED = 1 << 18
-LOOK_BACK = 256
+PIECE = 1 << 19  # bytes of texts that are laid out together
+GROUP = 30_000  # units whose bits are laid out together
 STEP = 512  # bits between two updates
 RATE, OWN_RATE = 0.02, 0.004
 DEPTHS, LEVELS = 3, 3
-GATES = DEPTHS * LEVELS * LEVELS * 2
-BUCKETS, REACH = 33, 8.0
+STILL = DEPTHS * LEVELS * 2  # gates by what the unit alone tells
+GATES = STILL * LEVELS
+BUCKETS, REACH = 97, 8.0
+BIAS = np.float32(0.3)
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _powers = np.ones(1, np.uint64)
 _unpowers = np.ones(1, np.uint64)
 
 
+def units(text: bytes) -> list[bytes]:
+    """The units of a text: plain before a space, with a break before a break, with a space before the end."""
+    if b"\n" not in text:
+        out = text.split(b" ")
+    else:
+        out = []
+        for line in text.split(b"\n"):
+            out += line.split(b" ")
+            out[-1] += b"\n"
+        out[-1] = out[-1][:-1]
+    out[-1] += b" "
+    return out
+
+
+def rounds(texts: list[bytes], size: int | None = None) -> Iterator[list[tuple[int, bool, list[bytes]]]]:
+    """Lists of ``(text number, first piece, units)`` of about ``PIECE`` bytes; one text when it is long."""
+    size = PIECE if size is None else size
+    held, filled = [], 0
+    for i, text in enumerate(texts):
+        if len(text) > size:
+            at = 0
+            while at is not None:
+                cut = text.find(b" ", at + size)
+                part = units(text[at : cut if cut >= 0 else len(text)])
+                if cut >= 0:
+                    part[-1] = part[-1][:-1]  # a space follows, not the end
+                yield [(i, at == 0, part)]
+                at = cut + 1 if cut >= 0 else None
+            continue
+        if held and filled + len(text) > size:
+            yield held
+            held, filled = [], 0
+        held.append((i, True, units(text)))
+        filled += len(text)
+    if held:
+        yield held
+
+
 class Code:
-    """A prefix code for the byte, or the end, that follows each byte or the start of a text.
+    """A prefix code for the symbol that follows each symbol of a unit or its start.
 
     ``counts[before, symbol]`` tells how often a symbol follows; the code of a symbol that follows
     ``before`` is found at ``before * SYMBOLS + symbol``: how many bits, and from where on they stand
@@ -78,13 +121,6 @@ def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
     return paths
 
 
-def followers(texts: list[bytes], counts: np.ndarray) -> None:
-    """Count which symbol follows which in ``texts``."""
-    for members, parts, cut in sections(texts, COUNTED):
-        keys, _, _ = symbols_of(members, parts, cut, hashed=False)
-        counts += np.bincount(keys, minlength=len(counts))
-
-
 def _grow(n: int) -> None:
     global _powers, _unpowers
     if len(_powers) < n:
@@ -94,57 +130,200 @@ def _grow(n: int) -> None:
             _unpowers = np.cumprod(np.append(np.uint64(1), np.full(size - 1, _INVERSE)), dtype=np.uint64)
 
 
-def contexts(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """The context of each place of ``data``, per predictor, as 32-bit hashes.
+def _short(value: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit hashes mixed to 32 bits."""
+    value = (value + np.uint64(salt)) * _ODD
+    value ^= value >> np.uint64(32)
+    return (value * _ODD >> np.uint64(32)).astype(np.uint32)
+
+
+class Symbols:
+    """The symbols of distinct units, one after another, and their contexts."""
+
+    def __init__(self, distinct: list[bytes]):
+        ended = np.array([u[-1:] == b" " for u in distinct], bool)
+        closed = [u if u[-1:] in (b" ", b"\n") else u + b" " for u in distinct]
+        self.lengths = np.array([len(c) for c in closed], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(closed), np.uint8)
+        symbols = self.data.astype(np.int64)
+        symbols[(self.starts + self.lengths - 1)[ended]] = END
+        before = np.append(START, symbols[:-1])
+        before[self.starts] = START
+        self.symbols, self.keys = symbols, before * SYMBOLS + symbols
+        n = len(symbols)
+        _grow(n + 1)
+        at = np.repeat(self.starts, self.lengths)
+        self.since = np.arange(n) - at
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
+        self.so_far = (sums[:n] - sums[at]) * _unpowers[at]
+        ends = self.starts + self.lengths
+        self.hashes = (sums[ends] - sums[self.starts]) * _unpowers[self.starts]
+        self.whole = _short(self.hashes, 77)
+
+    def context(self, which: int) -> np.ndarray:
+        """The context of every symbol for one of the ``INNER`` predictors, as 32-bit hashes."""
+        if which == 2:
+            return _short(self.so_far, 3)
+        value = np.zeros(len(self.symbols), np.uint64)
+        for back in range(1, (2, 4)[which] + 1):
+            seen = np.zeros(len(value), np.uint64)
+            seen[back:] = self.symbols[:-back] + 1
+            seen[self.since < back] = 0
+            value = value * np.uint64(257) + seen
+        return _short(value, which + 1)
+
+    def bits(self, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each unit's number of bits; each bit's symbol, depth in its code and place in the code."""
+        sizes = code.sizes[self.keys]
+        borders = np.append(0, np.cumsum(sizes))
+        place = np.repeat(np.arange(len(sizes)), sizes)
+        depth = np.arange(borders[-1]) - borders[place]
+        per_unit = np.diff(borders[np.append(self.starts, len(sizes))])
+        return per_unit, place, depth, code.starts[self.keys][place] + depth
+
+
+def _marked(hashes: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    return hashes + (nodes.astype(np.uint32) + np.uint32(1)) * np.uint32(0x85EBCA6B)
+
+
+def _slots(marked: np.ndarray) -> np.ndarray:
+    """Slots of the table; changes what it is given."""
+    marked *= np.uint32(0x9E3779B1)
+    marked >>= np.uint32(32 - SLOT_BITS)
+    return marked.astype(np.int64)
+
+
+def count_followers(distinct: list[bytes], times: np.ndarray, counts: np.ndarray) -> None:
+    """Count which symbol follows which in units that occur so many times."""
+    if distinct:
+        s = Symbols(distinct)
+        counts += np.bincount(s.keys, weights=np.repeat(times, s.lengths).astype(np.float64), minlength=len(counts))
+
+
+def count_inner(code: Code, distinct: list[bytes], times: np.ndarray, which: int, table: np.ndarray) -> None:
+    """Add units that occur so many times to one inner predictor's table of zeros and ones."""
+    if distinct:
+        s = Symbols(distinct)
+        _, place, _, at = s.bits(code)
+        slots = _slots(_marked(s.context(which)[place], code.nodes[at]))
+        np.add.at(table, slots * 2 + code.bits[at], np.repeat(times, s.lengths)[place])
+
+
+class Laid:
+    """What the outer predictor needs of units: their hashes, and the bits of all of them."""
+
+    FIELDS: dict[str, type] = {"whole": np.uint32, "per_unit": np.int64, "marked": np.uint32, "bit": np.uint8}
+
+    def __init__(self, code: Code, laid: list[bytes]):
+        self.symbols = s = Symbols(laid)
+        self.whole = s.whole
+        self.per_unit, self.place, self.depth, coded = s.bits(code)
+        self.nodes, self.bit = code.nodes[coded], code.bits[coded]
+        self.marked = _marked(_short(s.so_far, 4)[self.place], self.nodes)
+
+
+class Layout:
+    """Frequent units, laid out once for all rounds of a task, with room for those of a round behind them."""
+
+    def __init__(self, lay: Callable[[list[bytes]], Laid], often: list[bytes]):
+        self.lay, self.number = lay, {u: i for i, u in enumerate(often)}
+        self.room: dict[str, np.ndarray] = {}
+        first = lay(often)
+        self.known = {name: len(getattr(first, name)) for name in first.FIELDS}
+        for name, kind in first.FIELDS.items():
+            self.room[name] = getattr(first, name).astype(kind)
+
+    def with_units(self, fresh: list[bytes]) -> dict[str, np.ndarray]:
+        """The arrays of the frequent units and, behind them, of ``fresh`` ones; good until the next call."""
+        new, out = self.lay(fresh), {}
+        for name, kind in new.FIELDS.items():
+            known, more = self.known[name], getattr(new, name)
+            if len(self.room[name]) < known + len(more):
+                grown = np.empty((known + len(more) * 5 // 4, *more.shape[1:]), kind)
+                grown[:known] = self.room[name][:known]
+                self.room[name] = grown
+            self.room[name][known : known + len(more)] = more
+            out[name] = self.room[name][: known + len(more)]
+        return out
 
-    ``starts`` are the places where texts start; nothing is seen across them.
-    """
-    n = len(data)
-    _grow(n + 1)
-    first = np.zeros(n, bool)
-    first[starts] = True
-    since = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    before = []
-    value = np.zeros(n, np.uint64)
-    for back in range(1, 5):
-        seen = np.zeros(n, np.uint64)
-        seen[back:] = data[:-back].astype(np.uint64) + np.uint64(1)
-        seen[since < back] = 0
-        value = value * np.uint64(257) + seen
-        if back in (2, 4):
-            before.append(value.copy())
-    blank = _BLANK[data]
-    starts_word = first.copy()
-    starts_word[1:] |= blank[:-1]
-    at = np.maximum.accumulate(np.where(starts_word, np.arange(n), 0))  # where the word so far starts
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
-    word = (sums[:n] - sums[at]) * _unpowers[at]
-    inside = np.where(np.arange(n) > at, word, np.append(np.uint64(0), data[:-1]))  # the blank, where none is begun
-    # the word before: what stood before the blank that ended it; several blanks make an empty word
-    last = np.maximum(at - 1, 0)
-    previous = np.where(since[at] > 0, word[last] + np.uint64(1), np.uint64(0))
-    out = []
-    for i, value in enumerate([*before, inside, inside * np.uint64(0xD6E8FEB86659FD93) + previous]):
-        value = (value + np.uint64(i + 1)) * _ODD
-        value ^= value >> np.uint64(32)
-        out.append((value * _ODD >> np.uint64(32)).astype(np.uint32))
-    return out
 
+class Round:
+    """The units of a few texts, laid out: frequent ones once, any other where it occurs."""
+
+    def __init__(self, members: list[tuple[int, bool, list[bytes]]], before: np.ndarray, layout: Layout):
+        occurring = [u for *_, us in members for u in us]
+        self.at = np.fromiter(map(layout.number.get, occurring, repeat(-1)), np.int64, len(occurring))
+        missing = np.flatnonzero(self.at < 0)
+        self.at[missing] = len(layout.number) + np.arange(len(missing))
+        self.fresh = [occurring[i] for i in missing.tolist()]
+        vars(self).update(layout.with_units(self.fresh))
+        self.first_bit = np.cumsum(self.per_unit) - self.per_unit
+        self.counts = np.array([len(us) for *_, us in members], np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+        whole = self.whole[self.at]
+        self.previous = np.append(np.uint32(0), whole[:-1])
+        self.previous[self.starts] = before
+        self.last = whole[self.starts + self.counts - 1]
+
+    def groups(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Units and members of runs of members with about ``GROUP`` units; a long member alone, in runs."""
+        ends = np.cumsum(self.counts)
+        member = 0
+        while member < len(ends):
+            start = ends[member] - self.counts[member]
+            if self.counts[member] > GROUP:
+                for low in range(int(start), int(ends[member]), GROUP):
+                    yield np.arange(low, min(low + GROUP, int(ends[member]))), np.array([member])
+                member += 1
+                continue
+            upto = max(member + 1, int(np.searchsorted(ends, start + GROUP, "right")))
+            yield np.arange(int(start), int(ends[upto - 1])), np.arange(member, upto)
+            member = upto
+
+    def spread(self, occurring: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For occurrences of units: their bits among the distinct units', the hash of the unit before
+        for each bit, and how many bits each occurrence has."""
+        unit = self.at[occurring]
+        n = self.per_unit[unit]
+        index = np.repeat(self.first_bit[unit] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return index, np.repeat(self.previous[occurring], n), n
+
+
+class OuterCounts:
+    """The table of zeros and ones of the predictor that sees the unit before."""
+
+    def __init__(self, code: Code, often: list[bytes]):
+        self.layout = Layout(lambda laid: Laid(code, laid), often)
+        self.table = np.zeros(2 * SLOTS, np.uint32)
+
+    def add(self, texts: list[bytes]) -> None:
+        for members in rounds(texts):
+            r = Round(members, np.zeros(len(members), np.uint32) if members[0][1] else last, self.layout)
+            last = r.last
+            for occurring, _ in r.groups():
+                index, previous, _ = r.spread(occurring)
+                slots = _slots(previous ^ r.marked[index])
+                np.add.at(self.table, slots * 2 + r.bit[index], np.uint32(1))
 
-class Bits:
-    """Bits laid out in blocks of ``STEP`` bits of one text, first blocks first.
 
-    ``place`` is the byte a bit belongs to; ``live`` says which bits are there, as the last
-    block of a text is filled up. ``runs`` are the blocks worked on together, ``rank`` the text
-    of each block among ``order``, the texts by falling length.
-    """
+def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """What counts say as log-odds in a byte; 0 for a slot that was never met."""
+    odds = np.log((ones + 0.4) / (zeros + 0.4))
+    return np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8)
 
-    def __init__(self, code: Code, keys: np.ndarray, per_text: np.ndarray, step: int):
-        sizes = code.sizes[keys]
-        borders = np.append(0, np.cumsum(sizes))
-        ends = borders[np.append(0, np.cumsum(per_text))]
-        length = np.diff(ends)
+
+def _level(odds: np.ndarray) -> np.ndarray:
+    """How sure a predictor is: never met, somewhat, very."""
+    return (odds != 0).astype(np.int64) + ((odds > 24) | (odds < -24))
+
+
+class Blocks:
+    """Bits of texts dealt to blocks of ``STEP`` bits, all first blocks first."""
+
+    def __init__(self, length: np.ndarray, step: int):
+        ends = np.append(0, np.cumsum(length))
         self.order = np.argsort(-length, kind="stable")
         blocks = -(-length[self.order] // step)
         rank = np.repeat(np.arange(len(blocks)), blocks)
@@ -155,182 +334,169 @@ class Bits:
         starts = ends[:-1][self.order][self.rank] + nth * step
         index = starts[:, None] + np.arange(step)
         self.live = index < (ends[1:][self.order][self.rank])[:, None]
-        index = np.where(self.live, index, starts[:, None]).ravel()
-        self.place = np.repeat(np.arange(len(keys)), sizes)[index]
-        self.depth = index - borders[self.place]
-        at = code.starts[keys][self.place] + self.depth
-        self.node, self.bit = code.nodes[at], code.bits[at]
-        self.step = step
+        self.index = np.where(self.live, index, starts[:, None]).ravel()
 
 
-def _slots(hashes: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """The slots of contexts at nodes of the code; changes ``hashes``."""
-    hashes += (nodes.astype(np.uint32) + np.uint32(1)) * np.uint32(0x85EBCA6B)
-    hashes *= np.uint32(0x9E3779B1)
-    hashes >>= np.uint32(32 - SLOT_BITS)
-    return hashes.astype(np.int64)
+class Weighed(Laid):
+    """Units with what the inner predictors say of their bits, and what a vocabulary says of their words.
 
+    ``still`` is the part of the gate that the unit decides; ``sums`` the weighted log-odds under
+    each level of the outer predictor.
+    """
 
-def sections(texts: list[bytes], size: int = SECTION):
-    """Groups ``(members, data, starts, cut)``: texts that fit together, or a section of one.
+    FIELDS = Laid.FIELDS | {"still": np.int64, "sums": np.float32, "tally": np.float64}
 
-    ``members`` are ``(text number, first section, last section)``; ``cut`` bytes at the start are
-    only looked back on.
-    """
-    held, filled = [], 0
-    for i, text in enumerate(texts):
-        if len(text) + 1 > size:
-            for start in range(0, len(text), size):
-                back = min(start, LOOK_BACK)
-                last = start + size >= len(text)
-                yield [(i, start == 0, last)], [text[start - back : start + size]], back
-            continue
-        if filled + len(text) + 1 > size:
-            yield [(j, True, True) for j in held], [texts[j] for j in held], 0
-            held, filled = [], 0
-        held.append(i)
-        filled += len(text) + 1
-    if held:
-        yield [(j, True, True) for j in held], [texts[j] for j in held], 0
-
-
-def symbols_of(
-    members: list, parts: list[bytes], cut: int, hashed: bool = True
-) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Keys of a group's symbols in the code, their contexts and the number of each member's."""
-    data = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
-    lengths = np.array([len(p) + 1 for p in parts])
-    starts = np.cumsum(lengths) - lengths
-    symbols = data.astype(np.int64)
-    ends = starts + lengths - 1
-    symbols[ends] = END
-    before = np.append(START, symbols[:-1])
-    before[starts] = START
-    keys = before * SYMBOLS + symbols
-    wanted = np.ones(len(data), bool)
-    wanted[:cut] = False
-    wanted[ends] = [last for _, _, last in members]
-    hashes = contexts(data, starts) if hashed else []
-    if not wanted.all():
-        keys, hashes = keys[wanted], [h[wanted] for h in hashes]
-    return keys, hashes, np.add.reduceat(wanted, starts, dtype=np.int64)
-
-
-def count_bits(code: Code, texts: list[bytes], counts: list[np.ndarray]) -> None:
-    """Add the bits of ``texts`` to each predictor's table of zeros and ones."""
-    for members, parts, cut in sections(texts, COUNTED):
-        keys, hashes, _ = symbols_of(members, parts, cut)
-        sizes = code.sizes[keys]
-        place = np.repeat(np.arange(len(keys)), sizes)
-        at = np.arange(len(place)) + (code.starts[keys] - (np.cumsum(sizes) - sizes))[place]
-        nodes, bits = code.nodes[at], code.bits[at]
-        for table, h in zip(counts, hashes):
-            np.add.at(table, _slots(h[place], nodes) * 2 + bits, np.uint32(1))
+    def __init__(self, mixer: "Mixer", laid: list[bytes], vocabulary: Callable | None = None):
+        super().__init__(mixer.code, laid)
+        raw, self.still = mixer.inner(self)
+        self.tally = vocabulary(laid) if vocabulary is not None else np.zeros((len(laid), 3))
+        weights = mixer.weights.reshape(STILL, LEVELS, PREDICTORS + 1)
+        self.sums = np.empty((len(self.still), LEVELS), np.float32)
+        for level in range(LEVELS):
+            of = [np.ascontiguousarray(weights[:, level, i], np.float32) for i in (*range(INNER), PREDICTORS)]
+            total = of[-1][self.still] * BIAS
+            for odds, w in zip(raw, of):
+                total += (w * np.float32(1 / SCALE))[self.still] * odds
+            self.sums[:, level] = total
 
 
-def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """What counts say as log-odds in a byte; 0 for a slot that was never met."""
-    odds = np.log((ones + 0.4) / (zeros + 0.4))
-    return np.clip(np.rint(odds * SCALE), -127, 127).astype(np.int8)
+class Inner(Laid):
+    """Units with the log-odds of the inner predictors as they are."""
+
+    FIELDS = Laid.FIELDS | {"still": np.int64, "raw": np.int8}
+
+    def __init__(self, mixer: "Mixer", laid: list[bytes]):
+        super().__init__(mixer.code, laid)
+        raw, self.still = mixer.inner(self)
+        self.raw = np.stack(raw, axis=1)
 
 
 class Mixer:
     """The predictors' tables, the gates' weights and the table that refines their sums."""
 
-    def __init__(self, code: Code, tables: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None):
+    def __init__(
+        self, code: Code, tables: np.ndarray, weights: np.ndarray | None = None, refined: np.ndarray | None = None,
+        often: list[bytes] | None = None,
+    ):
         self.code, self.tables = code, tables
-        self.weights = np.full((GATES, CONTEXTS + 1), 0.35, np.float32) if weights is None else weights
         if weights is None:
-            self.weights[:, -1] = 0.0
-        points = np.linspace(-REACH, REACH, BUCKETS)
-        plain = np.tile(1 / (1 + np.exp(-points)), (GATES, 1))
+            weights = np.full((GATES, PREDICTORS + 1), 0.35, np.float32)
+            weights[:, -1] = 0.0
+        self.weights, self.often = weights, often or []
+        points = 1 / (1 + np.exp(-np.linspace(-REACH, REACH, BUCKETS)))
         if refined is None:
             refined = np.zeros((2, GATES, BUCKETS))
-        self.refined = ((refined[1] + 20 * plain) / (refined[0] + 20)).astype(np.float32)
-
-    def _groups(self, texts: list[bytes]):
-        """Members, bits, log-odds of every predictor, and the gate of each bit, group by group."""
-        for members, parts, cut in sections(texts):
-            keys, hashes, per_text = symbols_of(members, parts, cut)
-            bits = Bits(self.code, keys, per_text, STEP)
-            raw = [t[_slots(h[bits.place], bits.node)] for t, h in zip(self.tables, hashes)]
-            x = np.empty((CONTEXTS + 1, len(bits.bit)), np.float32)
-            for i, odds in enumerate(raw):
-                np.multiply(odds, np.float32(1 / SCALE), out=x[i])
-            x[CONTEXTS] = 0.3
-            gate = np.minimum(bits.depth, DEPTHS - 1)
-            for odds in raw[-2:]:
-                gate = gate * LEVELS + (odds != 0) + ((odds > 24) | (odds < -24))
-            yield members, bits, x, gate * 2 + ((raw[-3] > 12) | (raw[-3] < -12))
+        chance = 0.5 * points + 0.5 * (refined[1] + 20 * points) / (refined[0] + 20)
+        # the log chance of a zero and of a one, by gate and by what is said
+        self.logs = np.log(np.stack([1 - chance, chance], axis=-1)).astype(np.float32).ravel()
+
+    def inner(self, laid: Laid) -> tuple[list[np.ndarray], np.ndarray]:
+        """Log-odds of the inner predictors, and the part of the gate that depends on the unit alone."""
+        context = laid.symbols.context
+        raw = [self.tables[i][_slots(_marked(context(i)[laid.place], laid.nodes))] for i in range(INNER)]
+        still = np.minimum(laid.depth, DEPTHS - 1) * LEVELS + _level(raw[2])
+        return raw, still * 2 + ((raw[1] > 12) | (raw[1] < -12))
+
+    def layout(self, vocabulary: Callable | None = None) -> Layout:
+        """The frequent units laid out for scoring; once per task."""
+        return Layout(lambda laid: Weighed(self, laid, vocabulary), self.often)
+
+    def _outer(self, previous: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        return self.tables[INNER][_slots(previous ^ marked)]
 
     def learn(self, texts: list[bytes]) -> int:
         """Move the weights by the bits of ``texts``, a few blocks at a time; returns their number."""
-        seen = 0
-        for _, bits, x, gate in self._groups(texts):
-            live = bits.live.ravel()
-            for at in range(0, len(live), 8 * STEP):
-                now = slice(at, at + 8 * STEP)
-                part, by, there = x[:, now], gate[now], live[now]
-                error = (bits.bit[now] - 1 / (1 + np.exp(-(part * self.weights[by].T).sum(axis=0)))) * there
-                n = np.bincount(by, weights=there, minlength=GATES)
-                for i in range(CONTEXTS + 1):
-                    moved = np.bincount(by, weights=error * part[i], minlength=GATES) / np.sqrt(n + 1)
-                    self.weights[:, i] += RATE / 4 * moved
-            seen += int(live.sum())
+        seen, layout = 0, Layout(lambda laid: Inner(self, laid), [])
+        for members in rounds(texts):
+            r = Round(members, np.zeros(len(members), np.uint32) if members[0][1] else last, layout)
+            last = r.last
+            for occurring, _ in r.groups():
+                index, previous, _ = r.spread(occurring)
+                outer = self._outer(previous, r.marked[index])
+                x = np.empty((PREDICTORS + 1, len(index)), np.float32)
+                x[:INNER] = r.raw[index].T
+                x[INNER] = outer
+                x[:PREDICTORS] *= np.float32(1 / SCALE)
+                x[PREDICTORS] = BIAS
+                gate, bit = r.still[index] * LEVELS + _level(outer), r.bit[index]
+                seen += len(bit)
+                for at in range(0, len(bit), 8 * STEP):
+                    now = slice(at, at + 8 * STEP)
+                    part, by = x[:, now], gate[now]
+                    error = bit[now] - _chance((part * self.weights[by].T).sum(axis=0))
+                    n = np.bincount(by, minlength=GATES)
+                    for i in range(PREDICTORS + 1):
+                        moved = np.bincount(by, weights=error * part[i], minlength=GATES) / np.sqrt(n + 1)
+                        self.weights[:, i] += RATE / 4 * moved
         return seen
 
-    def _said(self, texts: list[bytes]):
-        """The sums of log-odds, with each text's own weights, which follow its earlier bits."""
-        own = np.zeros((1, CONTEXTS + 1), np.float32)
-        for members, bits, x, gate in self._groups(texts):
-            total = np.zeros(len(gate), np.float32)
-            for i in range(CONTEXTS + 1):
-                total += x[i] * self.weights[:, i][gate]
-            if members[0][1]:
-                own = np.zeros((len(members), CONTEXTS + 1), np.float32)
-            self._adapt(bits, x, total, own)
-            yield members, bits, gate, total
-
-    def _adapt(self, bits: Bits, x: np.ndarray, total: np.ndarray, own: np.ndarray) -> None:
-        x, total = x.reshape(len(x), -1, bits.step), total.reshape(-1, bits.step)
-        bit = bits.bit.reshape(-1, bits.step)
-        mine = own[bits.order]
-        for start, end in zip(bits.runs[:-1], bits.runs[1:]):
+    def _said(self, texts: list[bytes], layout: Layout, heard: Callable[[list, Round], None] | None = None):
+        """The sums of log-odds, with each text's own weights, which follow its earlier bits.
+
+        A text's own weights change the sum of the inner predictors, the outer one and a bias.
+        ``heard`` is told of every round.
+        """
+        share = (self.weights[:, INNER] * np.float32(1 / SCALE)).astype(np.float32)
+        for members in rounds(texts):
+            starts = members[0][1]
+            if starts:
+                own, last = np.zeros((len(members), 3), np.float32), np.zeros(len(members), np.uint32)
+            r = Round(members, last, layout)
+            last, flat = r.last, r.sums.reshape(-1)
+            if heard is not None:
+                heard(members, r)
+            for occurring, of in r.groups():
+                index, previous, n = r.spread(occurring)
+                length = np.array([n.sum()]) if len(of) == 1 else np.add.reduceat(n, np.cumsum(r.counts[of]) - r.counts[of])
+                b = Blocks(length, STEP)
+                index = index[b.index]
+                outer = self._outer(previous[b.index], r.marked[index])
+                level = _level(outer)
+                gate = r.still[index] * LEVELS + level
+                x = np.empty((3, len(index)), np.float32)
+                x[0] = flat[index * LEVELS + level]
+                x[1] = outer * share[gate]
+                x[2] = BIAS
+                bit, total = r.bit[index], x[0] + x[1]
+                own[of] = self._adapt(b, x, total, bit, own[of])
+                yield [members[i][0] for i in of], b, gate, bit, total
+
+    def _adapt(self, b: Blocks, x: np.ndarray, total: np.ndarray, bit: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x, total, bit = x.reshape(3, -1, STEP), total.reshape(-1, STEP), bit.reshape(-1, STEP)
+        mine = own[b.order]
+        for start, end in zip(b.runs[:-1].tolist(), b.runs[1:].tolist()):
             n = end - start
             part, says = x[:, start:end], total[start:end]
             says += np.einsum("ids,di->ds", part, mine[:n])
-            error = (bit[start:end] - 1 / (1 + np.exp(-says))) * bits.live[start:end]
+            error = (bit[start:end] - _chance(says)) * b.live[start:end]
             mine[:n] += OWN_RATE * np.einsum("ids,ds->di", part, error)
-        own[bits.order] = mine
-
-    def _refine(self, gate: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """The chance of a one: the mean of what was said and what it meant so far."""
-        spot = np.clip((total + np.float32(REACH)) * np.float32((BUCKETS - 1) / (2 * REACH)), 0, BUCKETS - 1.001)
-        low = spot.astype(np.int64)
-        share = spot - low
-        flat = self.refined.ravel()
-        low += gate * BUCKETS
-        before = flat[low]
-        meant = before + (flat[low + 1] - before) * share
-        return (meant + 1 / (1 + np.exp(-total))) * np.float32(0.5)
-
-    def observe(self, texts: list[bytes], refined: np.ndarray) -> None:
+        own[b.order] = mine
+        return own
+
+    def _spots(self, gate: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """The cells of the refining table: the gate, and what is said to the nearest of ``BUCKETS``."""
+        said = np.clip(total, np.float32(-REACH), np.float32(REACH))
+        said += np.float32(REACH)
+        said *= np.float32((BUCKETS - 1) / (2 * REACH))
+        said += np.float32(0.5)
+        return gate * BUCKETS + said.astype(np.int64)
+
+    def observe(self, texts: list[bytes], refined: np.ndarray, layout: Layout | None = None) -> None:
         """Add to ``refined`` what was said of each bit and what it was."""
-        for _, bits, gate, total in self._said(texts):
-            spot = np.clip((total + REACH) * ((BUCKETS - 1) / (2 * REACH)) + 0.5, 0, BUCKETS - 1).astype(np.int64)
-            at = gate * BUCKETS + spot
-            live = bits.live.ravel()
+        for _, b, gate, bit, total in self._said(texts, layout or self.layout()):
+            at, live = self._spots(gate, total), b.live.ravel()
             refined[0] += np.bincount(at, weights=live, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
-            refined[1] += np.bincount(at, weights=bits.bit * live, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
+            refined[1] += np.bincount(at, weights=bit * live, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def scores(self, texts: list[bytes], layout: Layout | None = None, heard: Callable | None = None) -> np.ndarray:
         """The log10 probability of each text."""
         out = np.zeros(len(texts))
-        for members, bits, gate, total in self._said(texts):
-            chance = self._refine(gate, total)
-            chance = np.where(bits.bit == 1, chance, 1 - chance)
-            logs = np.log(np.clip(chance, np.float32(1e-6), 1)).reshape(-1, bits.step)
-            by_block = np.where(bits.live, logs, 0).sum(axis=1, dtype=np.float64)
-            sums = np.bincount(bits.rank, weights=by_block, minlength=len(members))
-            out[np.array([m[0] for m in members])[bits.order]] += sums / np.log(10)
+        for numbers, b, gate, bit, total in self._said(texts, layout or self.layout(), heard):
+            logs = self.logs[self._spots(gate, total) * 2 + bit].reshape(-1, STEP)
+            by_block = (logs * b.live).sum(axis=1, dtype=np.float64)
+            out[np.array(numbers)[b.order]] += np.bincount(b.rank, weights=by_block, minlength=len(numbers)) / np.log(10)
         return out
+
+
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return 0.5 + 0.5 * np.tanh(0.5 * odds)
