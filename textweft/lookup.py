@@ -78,3 +78,17 @@ def lookup_join(
     if how == "left":
         joined = joined.unionByName(facts.filter(F.col(key).isNull()), allowMissingColumns=True)
     return joined
+
+
+def attach(facts: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``facts.join(table, key)`` where ``facts`` may be small, or hold some keys many times.
+
+    Facts that fit a broadcast travel to the table, which then is not shuffled. Beyond that only the
+    table's rows that are asked for are joined, with hot keys apart.
+    """
+    facts = materialize(facts, "facts")
+    if fits_broadcast(facts):
+        return table.join(F.broadcast(facts), key)
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_facts"))
+    asked = materialize(table.join(counts, key), "asked-rows")
+    return lookup_join(facts, asked, key, weight="_facts").drop("_facts")

@@ -4,12 +4,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import doubles, hash_uniform, vector_width
+from textweft.lookup import attach, lookup_join
+from textweft.operators.axes import Axes, along_axes, fit_axes
 from textweft.ordered import number_rows
 
 
@@ -127,12 +128,12 @@ def best_epochs(epochs: DataFrame) -> DataFrame:
 
 def label_lookup(rows: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Attach labels by text or id; rows without a label are dropped."""
-    return rows.join(labels, key)
+    return lookup_join(rows, labels, key)
 
 
 def neighbour_labels(neighbours: DataFrame, predictions: DataFrame) -> DataFrame:
     """Join ``neighbours(query_id, id, score, rank)`` with predicted and actual classes."""
-    return neighbours.join(predictions.select("id", "prediction", "label"), "id")
+    return attach(neighbours, predictions.select("id", "prediction", "label"), "id")
 
 
 def shuffle_rows(rows: DataFrame, keys: Sequence[str], seed: int = 1, name: str = "position") -> DataFrame:
@@ -154,22 +155,14 @@ def split_rows(rows: DataFrame, key: str, train: float = 0.8, validation: float
 # ---------------------------------------------------------------- window codes
 
 
-def compress_fit(windows: DataFrame, k: int = 100) -> PipelineModel:
+def compress_fit(windows: DataFrame, k: int = 100) -> Axes:
     """Fit a linear code of ``windows(win_id, x)``: the main axes of the centred vectors."""
-    rows = windows.withColumn("raw", array_to_vector(doubles(F.col("x"))))
-    centre = StandardScaler(withMean=True, withStd=False, inputCol="raw", outputCol="centred")
-    return Pipeline(stages=[centre, PCA(k=k, inputCol="centred", outputCol="code")]).fit(rows)
+    return fit_axes(windows.select(doubles(F.col("x")).alias("x")), k)
 
 
-def compress_windows(model: PipelineModel, windows: DataFrame) -> DataFrame:
+def compress_windows(model: Axes, windows: DataFrame) -> DataFrame:
     """``(win_id, code)`` and the squared reconstruction error of each window."""
-    scored = model.transform(windows.withColumn("raw", array_to_vector(doubles(F.col("x")))))
-    code, centred = vector_to_array("code"), vector_to_array("centred")
-
-    def square_sum(a):
-        return F.aggregate(a, F.lit(0.0), lambda total, x: total + x * x)
-
-    return scored.select("win_id", code.alias("code"), (square_sum(centred) - square_sum(code)).alias("squared_error"))
+    return along_axes(windows.select("win_id", doubles(F.col("x")).alias("x")), model, "win_id")
 
 
 def reconstruction_error(compressed: DataFrame, width: int) -> DataFrame:

@@ -13,7 +13,7 @@ from textweft.functions.vectors import (
     random_vector,
     vector_width,
 )
-from textweft.lookup import fits_broadcast, lookup_join
+from textweft.lookup import attach, fits_broadcast, lookup_join
 from textweft.operators.similarity import best_k, nearest
 from textweft.operators.vocabulary import map_oov, restrict_vocabulary
 from textweft.scratch import materialize
@@ -121,13 +121,13 @@ def most_similar(questions: DataFrame, vectors: DataFrame, topn: int = 10, item:
     inputs = inputs.withColumn("_value", F.transform(value, lambda x: x * F.col("weight")))
     inputs = materialize(inputs.select("question_id", "_id", "_value"), "question-inputs")
     mean = mean_vector(F.col("_value"), width=vector_width(vectors))
-    means = inputs.groupBy("question_id").agg(mean.alias("vec"))
-    widest = inputs.groupBy("question_id").agg(F.count("_id").alias("n")).agg(F.max("n")).first()[0] or 0
+    means = inputs.groupBy("question_id").agg(mean.alias("vec"), F.count("_id").cast("int").alias("more"))
     index = keyed.select(F.col("id").alias("doc_id"), "vec")
-    found = nearest(index, means.withColumnRenamed("question_id", "query_id"), topn + widest)
+    # a question gets as many rows more as it names items, which are left out again
+    found = nearest(index, means.withColumnRenamed("question_id", "query_id"), topn)
     used = inputs.select(F.col("question_id").alias("query_id"), F.col("_id").alias("doc_id")).dropna()
     left = best_k(found.drop("rank").join(used, ["query_id", "doc_id"], "left_anti"), topn)
-    named = left.join(keyed.select(F.col("id").alias("doc_id"), item), "doc_id")
+    named = attach(left, keyed.select(F.col("id").alias("doc_id"), item), "doc_id")
     return named.select(
         F.col("query_id").alias("question_id"), item, F.col("doc_id").alias("id"), "score", "rank"
     )
@@ -141,7 +141,7 @@ def search_vector(queries: DataFrame, vectors: DataFrame, topn: int = 10) -> Dat
     index = vectors.select(F.col("id").alias("doc_id"), "vec")
     found = nearest(index, queries, topn)
     names = vectors.select(F.col("id").alias("doc_id"), "word")
-    return found.join(names, "doc_id").select("query_id", "word", "score", "rank")
+    return attach(found, names, "doc_id").select("query_id", "word", "score", "rank")
 
 
 def analogy_accuracy(questions: DataFrame, vectors: DataFrame, restrict_vocab: int | None = 30_000) -> DataFrame:

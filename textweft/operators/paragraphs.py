@@ -3,8 +3,9 @@
 A model is one table ``weights(key, vec)``: words, inner nodes of a binary code tree
 over the words, and paragraphs. An epoch cuts the corpus into blocks of bounded size;
 each block is joined with just the weights it uses, trains on them, and returns the
-rows it changed, which are averaged by how often they were changed. No vocabulary,
-however large, is collected or broadcast whole.
+rows it changed, which are averaged by how often they were changed. Only these are
+written (:mod:`textweft.operators.weight_table`). No vocabulary, however large, is
+collected or broadcast whole.
 """
 
 from collections.abc import Callable
@@ -16,25 +17,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textweft.functions.vectors import l2_normalize, mean_vector, random_vector, vector_width
-from textweft.lookup import lookup_join
+from textweft.lookup import BROADCAST_BYTES, lookup_join
 from textweft.operators.embeddings import most_similar
 from textweft.operators.vocabulary import (
     add_oov,
     add_padding_word,
+    extend_vocabulary,
     number_by_count,
     paragraph_ids,
     paragraph_vocabulary,
     token_counts,
 )
-from textweft.ordered import running_total
+from textweft.operators.weight_table import EpochLog, WeightTable
+from textweft.ordered import number_rows, running_total
 from textweft.scratch import materialize, spread_groups
-from textweft.sources.vectors import PADDING, UNKNOWN
+from textweft.sources.vectors import PADDING, UNKNOWN, UNKNOWN_CAPITAL
 
 MAX_ACTIVATION = 6.0  # fixed value: beyond it a node is taken as learnt
 BLOCK_WORDS = 100_000
 BLOCK_BYTES = 512 * 1024 * 1024  # of the vectors that a block's words and tree nodes can need
 _WORD, _NODE, _PARAGRAPH = 0, 1, 2
 PARAGRAPH_KIND = _PARAGRAPH
+MARKERS = (UNKNOWN, UNKNOWN_CAPITAL, PADDING)
 
 
 @dataclass(frozen=True)
@@ -78,6 +82,7 @@ class ParagraphModel:
     paragraphs: DataFrame  # (para_id, digest, first_doc, copies)
     weights: DataFrame  # (key, vec)
     epochs: list[tuple[int, float, int, float]] = field(default_factory=list)
+    written: list[int] = field(default_factory=list)  # rows of weights that each epoch wrote
 
     def _vectors(self, kind: int, name: str) -> DataFrame:
         rows = self.weights.filter(F.pmod("key", F.lit(4)) == kind)
@@ -234,160 +239,223 @@ def _paths(leaves: np.ndarray, nodes: np.ndarray):
     return rows, bits, real & (len(nodes) > 0), place
 
 
-def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: int, paragraphs_only: bool):
-    kind = right["key"].to_numpy() & 3
-    tables, keys = [], []
-    for k, width in ((_WORD, s.size), (_NODE, s.input_size), (_PARAGRAPH, s.paragraph_size)):
-        rows = right[kind == k].sort_values("key")
-        keys.append(rows["key"].to_numpy())
-        table = np.zeros((len(rows), width))
-        for i, vec in enumerate(rows["vec"]):
-            if vec is not None:
-                table[i] = vec
-        tables.append(table)
-    words, nodes, paragraphs = tables
-    touched = [np.zeros(len(t), dtype=np.int64) for t in tables]
-
-    lengths = left["ids"].str.len().to_numpy()
-    ids = np.searchsorted(keys[_WORD], np.concatenate(left["ids"].to_numpy()) * 4 + _WORD)
-    path, bits, on_path, word_of = _paths(np.concatenate(left["leaves"].to_numpy()), keys[_NODE])
-    owner = np.repeat(np.searchsorted(keys[_PARAGRAPH], left["para_id"].to_numpy() * 4 + _PARAGRAPH), lengths)
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    last = first + np.repeat(lengths, lengths)
-    pad = np.searchsorted(keys[_WORD], pad_key)
-    work = np.zeros_like(paragraphs)
-    length_of = np.ones(len(paragraphs))
-    length_of[owner] = last - first
-    offsets = np.array([o for o in range(-s.window, s.window + 1) if o < 0 or (o > 0 and s.symmetric_window)])
-    rng = np.random.default_rng([s.seed, epoch, len(ids)])
-    with_paragraph = s.mode in ("mean", "concat")
-    error = 0.0
-
-    places = _positions(left, s, epoch)
-    if s.mode == "skipgram" and s.all_pairs:
-        reach = rng.integers(1, s.window + 1, len(places))
-        other = places[:, None] + offsets
-        inside = (np.abs(offsets) <= reach[:, None]) & (other >= first[:, None]) & (other < last[:, None])
-        places, source = np.repeat(places, inside.sum(axis=1)), other[inside]
-    elif s.mode == "skipgram":
-        jump = rng.integers(-s.window, s.window, len(places))
-        other = places + np.where(jump == 0, 1, jump)
-        inside = (other >= first) & (other < last)
-        places, source = places[inside], other[inside]
-    else:
-        source = places
-
-    for lo in range(0, len(places), s.batch):
-        at = places[lo : lo + s.batch]
-        rate = max(s.min_alpha, alpha * (1 - lo / len(places))) if s.decay else alpha
-        word = word_of[at]
-        row, bit, valid = path[word], bits[word], on_path[word]
-        if not valid.any():
-            continue
-
-        if with_paragraph:
-            near = at[:, None] + offsets
-            here = (near >= first[at][:, None]) & (near < last[at][:, None])
-            near_ids = np.where(here, ids[np.clip(near, 0, len(ids) - 1)], pad)
-            context = words[near_ids]
-            flat = context.reshape(len(at), -1) if s.mode == "concat" else context.mean(axis=1)
-            inputs = np.concatenate([paragraphs[owner[at]], flat], axis=1)
+def _matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
+    """The vectors of some rows below each other; missing ones are zeros."""
+    there = rows["vec"].notna().to_numpy()
+    table = np.zeros((len(rows), width))
+    if there.any():
+        table[there] = np.concatenate(rows["vec"].to_numpy()[there]).reshape(-1, width)
+    return table
+
+
+class _Block:
+    """A block of texts with the weights it uses."""
+
+    def __init__(self, left: pd.DataFrame, right: pd.DataFrame, s: Settings, pad_key: int):
+        kind = right["key"].to_numpy() & 3
+        self.tables, self.keys = [], []
+        for k, width in ((_WORD, s.size), (_NODE, s.input_size), (_PARAGRAPH, s.paragraph_size)):
+            rows = right[kind == k].sort_values("key")
+            self.keys.append(rows["key"].to_numpy())
+            self.tables.append(_matrix(rows, width))
+        self.left = left
+        lengths = left["ids"].str.len().to_numpy()
+        self.ids = np.searchsorted(self.keys[_WORD], np.concatenate(left["ids"].to_numpy()) * 4 + _WORD)
+        self.paths = _paths(np.concatenate(left["leaves"].to_numpy()), self.keys[_NODE])
+        paragraph = np.searchsorted(self.keys[_PARAGRAPH], left["para_id"].to_numpy() * 4 + _PARAGRAPH)
+        self.owner = np.repeat(paragraph, lengths)
+        self.first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.last = self.first + np.repeat(lengths, lengths)
+        self.pad = np.searchsorted(self.keys[_WORD], pad_key)
+        self.length_of = np.ones(len(self.tables[_PARAGRAPH]))
+        self.length_of[self.owner] = self.last - self.first
+
+    def train(self, s: Settings, alpha: float, epoch: int, paragraphs_only: bool) -> tuple[float, int, list[np.ndarray]]:
+        """One epoch: the squared error, how many places were predicted, how often each row changed."""
+        words, nodes, paragraphs = self.tables
+        touched = [np.zeros(len(t), dtype=np.int64) for t in self.tables]
+        ids, owner, first, last, pad = self.ids, self.owner, self.first, self.last, self.pad
+        path, bits, on_path, word_of = self.paths
+        work = np.zeros_like(paragraphs)
+        offsets = np.array([o for o in range(-s.window, s.window + 1) if o < 0 or (o > 0 and s.symmetric_window)])
+        rng = np.random.default_rng([s.seed, epoch, len(ids)])
+        with_paragraph = s.mode in ("mean", "concat")
+        error = 0.0
+
+        places = _positions(self.left, s, epoch)
+        if s.mode == "skipgram" and s.all_pairs:
+            reach = rng.integers(1, s.window + 1, len(places))
+            other = places[:, None] + offsets
+            inside = (np.abs(offsets) <= reach[:, None]) & (other >= first[:, None]) & (other < last[:, None])
+            places, source = np.repeat(places, inside.sum(axis=1)), other[inside]
+        elif s.mode == "skipgram":
+            jump = rng.integers(-s.window, s.window, len(places))
+            other = places + np.where(jump == 0, 1, jump)
+            inside = (other >= first) & (other < last)
+            places, source = places[inside], other[inside]
         else:
-            inputs = words[ids[source[lo : lo + s.batch]]]
-
-        weights = nodes[row]
-        activation = np.einsum("bd,bld->bl", inputs, weights)
-        active = valid & (np.abs(activation) < MAX_ACTIVATION)
-        miss = 1 - bit - 1 / (1 + np.exp(-np.clip(activation, -30, 30)))
-        error += float((miss[active] ** 2).sum())
-        step = np.where(active, miss * rate, 0.0)
-        back = np.einsum("bl,bld->bd", step, weights)
-
-        if with_paragraph:
-            _add_rows(work, owner[at], back[:, : s.paragraph_size])
-            touched[_PARAGRAPH] += np.bincount(owner[at], minlength=len(paragraphs))
-        if paragraphs_only:
-            continue
-        used = row[active]
-        which = np.nonzero(active)[0]
-        if len(used):
-            _add_rows(nodes, used, step[active][:, None] * inputs[which])
-        touched[_NODE] += np.bincount(used, minlength=len(nodes))
-        if with_paragraph:
-            back = back[:, s.paragraph_size :]
-            if s.mode == "concat":
-                spread = back.reshape(-1, s.size)
+            source = places
+
+        for lo in range(0, len(places), s.batch):
+            at = places[lo : lo + s.batch]
+            rate = max(s.min_alpha, alpha * (1 - lo / len(places))) if s.decay else alpha
+            word = word_of[at]
+            row, bit, valid = path[word], bits[word], on_path[word]
+            if not valid.any():
+                continue
+
+            if with_paragraph:
+                near = at[:, None] + offsets
+                here = (near >= first[at][:, None]) & (near < last[at][:, None])
+                near_ids = np.where(here, ids[np.clip(near, 0, len(ids) - 1)], pad)
+                context = words[near_ids]
+                flat = context.reshape(len(at), -1) if s.mode == "concat" else context.mean(axis=1)
+                inputs = np.concatenate([paragraphs[owner[at]], flat], axis=1)
             else:
-                spread = np.repeat(back / near_ids.shape[1], near_ids.shape[1], axis=0)
-            changed = near_ids.reshape(-1)
-        else:
-            spread, changed = back, ids[source[lo : lo + s.batch]]
-        _add_rows(words, changed, spread)
-        touched[_WORD] += np.bincount(changed, minlength=len(words))
-
-    paragraphs += work / length_of[:, None] if s.scale_updates else work
-    out = []
-    for k in (_WORD, _NODE, _PARAGRAPH):
-        rows = np.flatnonzero(touched[k])
-        out.append(pd.DataFrame({"key": keys[k][rows], "vec": list(tables[k][rows]), "n": touched[k][rows]}))
-    out.append(pd.DataFrame({"key": [-1], "vec": [[]], "n": [len(places)]}))
+                inputs = words[ids[source[lo : lo + s.batch]]]
+
+            weights = nodes[row]
+            activation = np.einsum("bd,bld->bl", inputs, weights)
+            active = valid & (np.abs(activation) < MAX_ACTIVATION)
+            miss = 1 - bit - 1 / (1 + np.exp(-np.clip(activation, -30, 30)))
+            error += float((miss[active] ** 2).sum())
+            step = np.where(active, miss * rate, 0.0)
+            back = np.einsum("bl,bld->bd", step, weights)
+
+            if with_paragraph:
+                _add_rows(work, owner[at], back[:, : s.paragraph_size])
+                touched[_PARAGRAPH] += np.bincount(owner[at], minlength=len(paragraphs))
+            if paragraphs_only:
+                continue
+            used = row[active]
+            which = np.nonzero(active)[0]
+            if len(used):
+                _add_rows(nodes, used, step[active][:, None] * inputs[which])
+            touched[_NODE] += np.bincount(used, minlength=len(nodes))
+            if with_paragraph:
+                back = back[:, s.paragraph_size :]
+                if s.mode == "concat":
+                    spread = back.reshape(-1, s.size)
+                else:
+                    spread = np.repeat(back / near_ids.shape[1], near_ids.shape[1], axis=0)
+                changed = near_ids.reshape(-1)
+            else:
+                spread, changed = back, ids[source[lo : lo + s.batch]]
+            _add_rows(words, changed, spread)
+            touched[_WORD] += np.bincount(changed, minlength=len(words))
+
+        paragraphs += work / self.length_of[:, None] if s.scale_updates else work
+        return error, len(places), touched
+
+    def rows(self, kind: int, touched: np.ndarray) -> pd.DataFrame:
+        """The changed rows of one kind and how often they were changed."""
+        at = np.flatnonzero(touched)
+        return pd.DataFrame({"key": self.keys[kind][at], "vec": list(self.tables[kind][at]), "n": touched[at]})
+
+
+def _train_block(left, right, s: Settings, alpha: float, epoch: int, pad_key: int, paragraphs_only: bool) -> pd.DataFrame:
+    """The rows that one epoch over a block changes; the row of key -1 holds the error."""
+    block = _Block(left, right, s, pad_key)
+    error, places, touched = block.train(s, alpha, epoch, paragraphs_only)
+    out = [block.rows(kind, touched[kind]) for kind in (_WORD, _NODE, _PARAGRAPH)]
+    out.append(pd.DataFrame({"key": [-1], "vec": [[0.0]], "n": [max(places, 1)]}))
     result = pd.concat(out, ignore_index=True)
     result["error"] = 0.0
     result.loc[len(result) - 1, "error"] = error
     return result
 
 
+def _settle_block(left, right, s: Settings, alphas: list[float], pad_key: int) -> pd.DataFrame:
+    """Train the paragraphs of a block through all epochs, with words and nodes as they are.
+
+    The rows of key -1 hold the error and the batch of each epoch that was run. When the error rises
+    for a batch that cannot grow, the block has settled.
+    """
+    block = _Block(left, right, s, pad_key)
+    log, before = [], np.inf
+    lengths = left["ids"].str.len().to_numpy()
+    for epoch, alpha in enumerate(alphas):
+        if s.random_window:
+            block.left = left.assign(pos=np.random.default_rng([s.seed, epoch, len(block.ids)]).integers(0, lengths))
+        error, places, _ = block.train(s, alpha, epoch, True)
+        log.append((epoch, error, places))
+        if error > before:
+            break
+        before = error
+    log += [(epoch, error, 0) for epoch in range(len(log), len(alphas))]
+    out = block.rows(_PARAGRAPH, np.ones(len(block.keys[_PARAGRAPH]), np.int64))
+    out["epoch"], out["error"] = -1, 0.0
+    said = pd.DataFrame({"key": -1, "vec": [[0.0] for _ in log], "n": [n for *_, n in log], "epoch": [e for e, *_ in log]})
+    said["error"] = [error for _, error, _ in log]
+    return pd.concat([out, said], ignore_index=True)
+
+
 # ---------------------------------------------------------------- training
 
 
 @dataclass
 class _Job:
-    """A corpus laid out for training."""
+    """A corpus laid out for training: ``needed(block, key, uses)``, ``keys`` how many are needed."""
 
     encoded: DataFrame
     needed: DataFrame
     pad_key: int
     blocks: int
+    keys: int
+
+    def small(self, s: Settings, limit: int | None) -> bool:
+        """Whether all weights the corpus needs fit a broadcast; the keys stay the same in all epochs."""
+        width = max(s.size, s.input_size, s.paragraph_size)
+        return self.keys * (48 + 8 * width) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def _lay_out(tokens: DataFrame, vocab: DataFrame, texts: DataFrame, block_words: int, limit: int | None) -> _Job:
     pad_id = vocab.filter(F.col("word") == PADDING).select("id").first()["id"]
     pad_key = int(pad_id) * 4 + _WORD
     encoded, blocks = _encode(tokens, vocab, texts, block_words, limit)
-    return _Job(encoded, materialize(_needed(encoded, pad_key), "needed"), pad_key, blocks)
+    needed = materialize(_needed(encoded, pad_key), "needed")
+    uses = materialize(needed.groupBy("key").agg(F.count(F.lit(1)).alias("uses")), "uses")
+    counted = materialize(lookup_join(needed, uses, "key", weight="uses", limit=limit), "needed-counted")
+    return _Job(encoded, counted, pad_key, blocks, uses.count())
+
+
+def _pulled(job: _Job, weights: DataFrame, s: Settings, limit: int | None) -> DataFrame:
+    """``(block, key, vec)``: the weights of every block, null where a node was never trained."""
+    small = job.small(s, limit)
+    if not small:
+        weights = weights.join(job.needed.select("key", "uses").distinct(), "key")
+    return lookup_join(job.needed.drop("uses"), weights, "key", "left", weight="uses", limit=limit, small=small).select(
+        "block", "key", "vec"
+    )
 
 
 def _epoch(
-    job: _Job, weights: DataFrame, s: Settings, alpha: float, epoch: int, paragraphs_only: bool, limit: int | None
-) -> tuple[DataFrame, float]:
-    """Train once over the corpus; returns the new weights and the summed squared error."""
+    job: _Job, table: WeightTable, s: Settings, alpha: float, epoch: int, limit: int | None, write: Callable[[DataFrame], DataFrame]
+) -> float:
+    """Train once over the corpus, add what changed to the table and return the summed squared error."""
     pad_key = job.pad_key
-    uses = job.needed.groupBy("key").agg(F.count(F.lit(1)).alias("uses"))
-    counted = weights.join(uses, "key")
-    pulled = lookup_join(job.needed, counted, "key", "left", weight="uses", limit=limit).select("block", "key", "vec")
     draw = F.pmod(F.xxhash64(F.lit(s.seed), F.lit(epoch), "doc_id"), F.size("ids")).cast("int")
     texts = job.encoded.withColumn("pos", draw).select("doc_id", "block", "para_id", "ids", "leaves", "pos")
 
     def train(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = left.sort_values("doc_id", ignore_index=True)
-        return _train_block(left, right, s, alpha, epoch, pad_key, paragraphs_only)
+        return _train_block(left, right, s, alpha, epoch, pad_key, False)
 
+    pulled = _pulled(job, table.read(), s, limit)
     changed = (
         spread_groups(texts, job.blocks, "block")
         .groupBy("block")
         .cogroup(spread_groups(pulled, job.blocks, "block").groupBy("block"))
         .applyInPandas(train, "key long, vec array<double>, n long, error double")
     )
-    changed = materialize(changed, "changed")
-    error = changed.agg(F.sum("error")).first()[0] or 0.0
     width = max(s.size, s.input_size, s.paragraph_size)
-    averaged = (
-        changed.filter(F.col("key") >= 0)
-        .groupBy("key")
-        .agg(mean_vector(F.col("vec"), F.col("n").cast("double"), width).alias("_new"))
-    )
-    merged = weights.join(averaged, "key", "full_outer").select("key", F.coalesce("_new", "vec").alias("vec"))
-    return materialize(merged, "weights"), error
+    mean = mean_vector(F.col("vec"), F.col("n").cast("double"), width)
+    # the row of key -1 comes along, so that one pass over the text gives rows and error
+    averaged = changed.groupBy("key").agg(mean.alias("vec"), F.sum("error").alias("error"))
+    averaged = write(averaged)
+    error = averaged.filter(F.col("key") < 0).agg(F.sum("error")).first()[0] or 0.0
+    table.change(averaged.filter(F.col("key") >= 0).select("key", "vec"))
+    return error
 
 
 def _paragraph_texts(tokens: DataFrame) -> DataFrame:
@@ -395,7 +463,8 @@ def _paragraph_texts(tokens: DataFrame) -> DataFrame:
     return paragraph_vocabulary(keyed)
 
 
-def _start(vocab: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+def start_weights(vocab: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """``(key, vec)``: the vectors that words and paragraphs start from."""
     words = vocab.select(
         _key(F.col("id"), _WORD).alias("key"), random_vector(F.col("id"), s.size, s.seed).alias("vec")
     )
@@ -412,27 +481,52 @@ def _schedule(alpha: float, epoch: int, max_iter: int) -> float:
     return alpha * (1 - epoch / (max_iter - 1)) if max_iter > 1 else alpha
 
 
-def _run(
-    model: ParagraphModel,
-    job: _Job,
-    max_iter: int,
-    max_batch: int,
-    paragraphs_only: bool,
-    limit: int | None,
-) -> ParagraphModel:
-    s, errors, grown = model.settings, [], False
+@dataclass
+class _Progress:
+    """What decides the next epoch: errors so far, and whether the batch has just grown."""
+
+    batch: int
+    errors: list[float] = field(default_factory=list)
+    grown: bool = False
+    ended: bool = False
+
+    def after(self, error: float, max_batch: int) -> None:
+        worse = bool(self.errors) and error > self.errors[-1] and not self.grown
+        self.errors.append(error)
+        self.grown = False
+        if worse and self.batch >= max_batch:
+            self.ended = True
+        elif worse:
+            self.batch, self.grown = min(max_batch, self.batch + 50), True
+
+
+def _run(model: ParagraphModel, job: _Job, max_iter: int, max_batch: int, limit: int | None, log: EpochLog | None) -> ParagraphModel:
+    s, progress = model.settings, _Progress(model.settings.batch)
+    needed = materialize(job.needed.select("key").distinct(), "needed-keys")
+    started = model.weights.join(needed, "key", "left_semi")
+    table = WeightTable.of(materialize(started, "weights") if log is None else log.start(started))
+    rest = model.weights.join(needed, "key", "left_anti")  # never read or written while training
     for epoch in range(max_iter):
         alpha = _schedule(s.alpha, epoch, max_iter)
-        model.weights, error = _epoch(job, model.weights, s, alpha, epoch, paragraphs_only, limit)
-        model.epochs.append((epoch, float(alpha), s.batch, float(error)))
-        worse = bool(errors) and error > errors[-1] and not grown
-        errors.append(error)
-        grown = False
-        if worse:
-            if s.batch >= max_batch:
-                break
-            s = replace(s, batch=min(max_batch, s.batch + 50))
-            grown = True
+        batch = progress.batch
+        done = log.finished(epoch) if log is not None else None
+        if done is not None:
+            changed, error = done
+            table.change(changed)
+        else:
+
+            def write(rows: DataFrame, epoch: int = epoch) -> DataFrame:
+                return materialize(rows, "changed") if log is None else log.changed(epoch, rows)
+
+            error = _epoch(job, table, replace(s, batch=batch), alpha, epoch, limit, write)
+            if log is not None:
+                log.finish(epoch, error)
+        model.epochs.append((epoch, float(alpha), batch, float(error)))
+        progress.after(error, max_batch)
+        if progress.ended:
+            break
+    model.written = table.written
+    model.weights = materialize(rest.unionByName(table.read()), "weights")
     return model
 
 
@@ -444,21 +538,85 @@ def pvdm_fit(
     max_batch: int = 500,
     start: ParagraphModel | None = None,
     limit: int | None = None,
+    folder: str | None = None,
 ) -> ParagraphModel:
     """Train on ``tokens(doc_id, words)``; every document is a paragraph.
 
     The rate falls linearly over the epochs. When the error rises the batch grows by 50,
     up to ``max_batch``, where training stops. ``start`` goes on from a pre-trained model.
+    With a ``folder`` that outlives the driver each epoch is kept there; a call with the same
+    arguments goes on after the last one that was finished.
     """
     tokens = tokens.filter(F.size("words") > 0)
+    log = None if folder is None else EpochLog(tokens.sparkSession, folder, f"{settings} {min_count} {max_iter} {max_batch}")
     if start is None:
         vocab, texts = training_vocabulary(tokens, min_count), _paragraph_texts(tokens)
-        weights = materialize(_start(vocab, texts, settings), "weights")
+        weights = materialize(start_weights(vocab, texts, settings), "weights")
         model = ParagraphModel(settings, vocab, texts, weights)
     else:
         model = ParagraphModel(settings, start.vocab, start.paragraphs, start.weights)
     job = _lay_out(tokens, model.vocab, model.paragraphs, settings.block_words, limit)
-    return _run(model, job, max_iter, max_batch, False, limit)
+    return _run(model, job, max_iter, max_batch, limit, log)
+
+
+def extend_model(model: ParagraphModel, tokens: DataFrame, min_count: int = 5) -> ParagraphModel:
+    """A model made ready for more text: ``pvdm_fit(tokens, start=…)`` then goes on with it.
+
+    Counts are added up; new words of ``min_count`` or more get the next ids and start anew, and
+    new texts become paragraphs. The code tree is laid out anew by the summed counts. A node
+    of it starts from the old nodes that parted the same words at the same level, by how
+    often those words occur, and against the sign where their codes differ; where no count
+    changes the order of words the tree is the old one. Old word and paragraph vectors stay.
+    """
+    tokens = tokens.filter(F.size("words") > 0)
+    s, old = model.settings, model.vocab.select("word", "id", "cf", "leaf")
+    counts = materialize(token_counts(tokens), "new-counts")
+    met = counts.join(old.select("word"), "word", "left_anti")
+    rare = met.filter(F.col("n") < min_count).count()
+    grown = extend_vocabulary(old.select("word", "id", "cf"), tokens, min_count)
+    cf = F.when(F.col("word") == UNKNOWN, F.col("cf") + rare).otherwise(F.col("cf"))
+    vocab = materialize(code_table(materialize(grown.withColumn("cf", cf), "grown-words")), "training-vocabulary")
+    texts = _more_paragraphs(model.paragraphs, tokens)
+    kind = F.pmod("key", F.lit(4))
+    kept = model.weights.filter(kind != _NODE)
+    fresh = start_weights(vocab, texts, s).join(kept.select("key"), "key", "left_anti")
+    nodes = _merged_nodes(old, vocab, model.weights.filter(kind == _NODE), s.input_size)
+    weights = kept.unionByName(fresh).unionByName(nodes)
+    return ParagraphModel(s, vocab, texts, materialize(weights, "weights"), list(model.epochs))
+
+
+def _more_paragraphs(known: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Known paragraphs with the copies found anew, and new ones under the next ids."""
+    found = _paragraph_texts(tokens).select("digest", "first_doc", "copies", "para_id")
+    first = (known.agg(F.max("para_id")).first()[0] + 1) if not known.isEmpty() else 0
+    again = found.select("digest", F.col("copies").alias("more"))
+    seen = known.join(again, "digest", "left").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
+    new = found.join(known.select("digest"), "digest", "left_anti")
+    numbered = number_rows(new.drop("para_id"), ["first_doc"], name="para_id", start=first, label="new-paragraphs")
+    columns = ["para_id", "digest", "first_doc", "copies"]
+    return materialize(seen.select(*columns).unionByName(numbered.select(*columns)), "paragraphs")
+
+
+def _merged_nodes(old: DataFrame, new: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``(key, vec)`` of the nodes of a new tree, from those that words passed in the old one."""
+    was = old.select("id", F.col("leaf").alias("old_leaf"), F.col("cf").alias("n"))
+    both = was.join(new.select("id", "leaf"), "id").filter((F.col("leaf") > 1) & (F.col("old_leaf") > 1))
+    depth = F.least(F.length(F.bin("leaf")), F.length(F.bin("old_leaf"))) - 1
+    levels = both.select("n", "leaf", "old_leaf", F.explode(F.sequence(F.lit(0), depth - 1)).alias("level"))
+
+    def above(leaf: str, extra: int) -> Column:
+        return F.call_function("shiftright", F.col(leaf), F.length(F.bin(leaf)) - 1 - F.col("level") - extra)
+
+    sign = F.when(above("leaf", 1).bitwiseAND(F.lit(1)) == above("old_leaf", 1).bitwiseAND(F.lit(1)), 1).otherwise(-1)
+    passed = levels.select(above("leaf", 0).alias("node"), above("old_leaf", 0).alias("from"), sign.alias("sign"), "n")
+    # words are summed up before any vector moves
+    shares = passed.groupBy("node", "from").agg(F.sum(F.col("sign") * F.col("n")).alias("share"), F.sum("n").alias("n"))
+    vectors = nodes.select(F.shiftright("key", 2).alias("from"), "vec")
+    met = lookup_join(shares, vectors, "from")
+    # every share counts in the weight, those against the sign with the vector turned round
+    vec = F.transform("vec", lambda x: x * F.col("share") / F.col("n"))
+    moved = met.select(_key(F.col("node"), _NODE).alias("key"), vec.alias("vec"), F.col("n").cast("double").alias("n"))
+    return moved.groupBy("key").agg(mean_vector(F.col("vec"), F.col("n"), width).alias("vec"))
 
 
 def pretrain(
@@ -525,14 +683,38 @@ def expand_to_windows(model: ParagraphModel, settings: Settings) -> ParagraphMod
 def pvdm_infer(
     model: ParagraphModel, tokens: DataFrame, max_iter: int = 5, limit: int | None = None
 ) -> ParagraphModel:
-    """Vectors of new paragraphs; words and tree stay as they are."""
+    """Vectors of new paragraphs; words and tree stay as they are.
+
+    No two paragraphs share what is trained, so a block pulls its words and nodes once and trains
+    through all epochs in one visit; of copies of a text one is read. A block ends when its error
+    rises. The epochs' errors are sums over blocks, the last one of a block that had ended.
+    """
     tokens = tokens.filter(F.size("words") > 0)
-    texts = _paragraph_texts(tokens)
+    texts, s = _paragraph_texts(tokens), model.settings
     learnt = model.weights.filter(F.pmod("key", F.lit(4)) != _PARAGRAPH)
-    weights = materialize(learnt.unionByName(start_paragraphs(texts, model.settings)), "weights")
-    fresh = ParagraphModel(model.settings, model.vocab, texts, weights)
-    job = _lay_out(tokens, model.vocab, texts, model.settings.block_words, limit)
-    return _run(fresh, job, max_iter, model.settings.batch, True, limit)
+    started = materialize(start_paragraphs(texts, s), "started")
+    firsts = tokens.join(texts.select(F.col("first_doc").alias("doc_id")), "doc_id", "left_semi")
+    job = _lay_out(firsts, model.vocab, texts, s.block_words, limit)
+    alphas, pad_key = [_schedule(s.alpha, epoch, max_iter) for epoch in range(max_iter)], job.pad_key
+    rows = job.encoded.withColumn("pos", F.lit(0)).select("doc_id", "block", "para_id", "ids", "leaves", "pos")
+
+    def settle(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _settle_block(left.sort_values("doc_id", ignore_index=True), right, s, alphas, pad_key)
+
+    pulled = _pulled(job, learnt.unionByName(started), s, limit)
+    found = (
+        spread_groups(rows, job.blocks, "block")
+        .groupBy("block")
+        .cogroup(spread_groups(pulled, job.blocks, "block").groupBy("block"))
+        .applyInPandas(settle, "key long, vec array<double>, n long, epoch int, error double")
+    )
+    found = materialize(found, "inferred")
+    trained = found.filter(F.col("key") >= 0).select("key", "vec")
+    fresh = ParagraphModel(s, model.vocab, texts, materialize(learnt.unionByName(trained), "weights"))
+    sums = found.filter(F.col("key") < 0).groupBy("epoch").agg(F.sum("error").alias("error")).collect()
+    by_epoch = {r["epoch"]: r["error"] for r in sums}
+    fresh.epochs = [(e, float(alphas[e]), s.batch, float(by_epoch[e])) for e in sorted(by_epoch)]
+    return fresh
 
 
 # ---------------------------------------------------------------- inputs and neighbours

@@ -2,9 +2,9 @@
 
 Reports that hold every (query, document) score go over the documents once for each
 block of queries that fits a broadcast. Top-k searches take two tables of any size: few
-queries travel to the unmoved documents, many are cut into blocks like the documents, each
-pair of blocks is one group, and a group hands on only its best ``k`` per query. Only
-positive scores are hits of a sparse search, whichever way it takes.
+queries travel to the unmoved documents, many visit only blocks that can hold a better hit
+(:mod:`textweft.operators.pruned_join` for sparse vectors, :mod:`textweft.operators.pruned_nearest`
+for dense ones). Only positive scores are hits of a sparse search, whichever way it takes.
 
 Scores are rounded to ``DIGITS`` before ranking, so that equal vectors tie and
 the smaller id comes first whatever the order of summation was.
@@ -21,14 +21,13 @@ from pyspark.sql import functions as F
 
 from textweft.functions.vectors import dot, l2_normalize
 from textweft.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
+from textweft.operators.pruned_join import DIGITS, similarity_join
+from textweft.operators.pruned_nearest import TILE_ROWS, best_rows, nearest_by_clusters, top_rows, wanted_clusters
 from textweft.ordered import number_rows
-from textweft.scratch import materialize, spread_groups
+from textweft.scratch import materialize
 
-DIGITS = 6
-BLOCK_ROWS = 1024
 BLOCK_BYTES = 32 * 1024 * 1024
 TRAVEL_BYTES = 2 * 1024 * 1024
-_DENSE_PAIRS = 4096  # terms joining more pairs than this are multiplied as dense columns
 
 
 def sparse_cosine(
@@ -67,9 +66,16 @@ def _sparse_report(index: DataFrame, docs: DataFrame, queries: DataFrame) -> Dat
     )
 
 
-def positive_scores(index: DataFrame, queries: DataFrame, key: str = "id") -> DataFrame:
-    """``(query_id, doc_id, score)`` of pairs with a score above 0 once rounded; ``queries`` is small."""
-    return scores_of_common_terms(index, queries, key).filter(F.col("score") > 0)
+def positive_scores(index: DataFrame, queries: DataFrame, key: str = "id", small: bool = False, limit: int | None = None) -> DataFrame:
+    """``(query_id, doc_id, score)`` of pairs with a score above 0 once rounded.
+
+    Queries that do not fit a broadcast are worked off in blocks; ``small`` says that they were measured.
+    """
+
+    def report(part: DataFrame) -> DataFrame:
+        return scores_of_common_terms(index, part, key).filter(F.col("score") > 0)
+
+    return report(queries) if small else _by_query_blocks(queries, limit, report)
 
 
 def scores_of_common_terms(index: DataFrame, queries: DataFrame, key: str = "id") -> DataFrame:
@@ -152,147 +158,35 @@ def _full_rank(scores: DataFrame, item: str, query: str) -> DataFrame:
     )
 
 
-def _rounded(scores: np.ndarray) -> np.ndarray:
-    """Half up, away from zero, as the SQL function rounds."""
-    scale = 10.0**DIGITS
-    return np.sign(scores) * np.floor(np.abs(scores) * scale + 0.5) / scale
-
-
-def _top_rows(scores: np.ndarray, query_ids, item_ids, k: int, skip_same: bool, positive: bool) -> pd.DataFrame:
-    """The best ``k`` columns of each row; ``item_ids`` rise, so ties go to the smaller id."""
-    scores = _rounded(scores)
-    if positive:
-        scores[scores <= 0] = -np.inf
-    if skip_same:
-        scores[query_ids[:, None] == item_ids[None, :]] = -np.inf
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    found = np.take_along_axis(scores, order, axis=1)
-    row, rank = np.nonzero(np.isfinite(found))
-    return pd.DataFrame(
-        {
-            "query_id": query_ids[row],
-            "doc_id": item_ids[order[row, rank]],
-            "score": found[row, rank] + 0.0,
-        }
-    )
-
-
-def _dense_scores(queries: pd.DataFrame, items: pd.DataFrame) -> np.ndarray:
-    return np.stack(queries["vec"]) @ np.stack(items["vec"]).T
-
-
-def _sparse_scores(queries: pd.DataFrame, items: pd.DataFrame) -> np.ndarray:
-    """Products of two blocks of sparse rows, term by term."""
-
-    def cells(block: pd.DataFrame):
-        lengths = block["ids"].str.len().to_numpy()
-        rows = np.repeat(np.arange(len(block)), lengths)
-        return rows, np.concatenate(block["ids"].to_numpy()), np.concatenate(block["ws"].to_numpy())
-
-    def by_term(rows, ids, ws, common):
-        place = np.searchsorted(common, ids)
-        place[place == len(common)] = 0
-        keep = common[place] == ids
-        order = np.argsort(place[keep], kind="stable")
-        place, rows, ws = place[keep][order], rows[keep][order], ws[keep][order]
-        count = np.bincount(place, minlength=len(common))
-        return place, rows, ws, count, np.concatenate([[0], np.cumsum(count)[:-1]])
-
-    q_rows, q_ids, q_ws = cells(queries)
-    i_rows, i_ids, i_ws = cells(items)
-    m, n = len(queries), len(items)
-    scores = np.zeros((m, n))
-    common = np.intersect1d(q_ids, i_ids)
-    if not len(common):
-        return scores
-    q_term, q_rows, q_ws, q_count, _ = by_term(q_rows, q_ids, q_ws, common)
-    i_term, i_rows, i_ws, i_count, i_start = by_term(i_rows, i_ids, i_ws, common)
-    pairs = q_count * i_count
-
-    dense_terms = np.flatnonzero(pairs > _DENSE_PAIRS)
-    for chunk in np.array_split(dense_terms, max(1, math.ceil(len(dense_terms) / 1024))):
-        a, b = np.zeros((m, len(chunk))), np.zeros((n, len(chunk)))
-        for matrix, term, row, w in ((a, q_term, q_rows, q_ws), (b, i_term, i_rows, i_ws)):
-            column = np.searchsorted(chunk, term)
-            column[column == len(chunk)] = 0
-            here = chunk[column] == term if len(chunk) else np.zeros(len(term), bool)
-            matrix[row[here], column[here]] = w[here]
-        scores += a @ b.T
-
-    sparse = np.flatnonzero(pairs[q_term] <= _DENSE_PAIRS)
-    work = np.cumsum(i_count[q_term[sparse]])
-    steps = np.searchsorted(work, np.arange(4_000_000, work[-1] if len(work) else 0, 4_000_000))
-    flat = scores.reshape(-1)
-    for part in np.split(sparse, steps):
-        reps = i_count[q_term[part]]
-        left = np.repeat(part, reps)
-        skip = np.repeat(np.cumsum(reps) - reps, reps)
-        right = i_start[q_term[left]] + np.arange(len(left)) - skip
-        cell = q_rows[left] * n + i_rows[right]
-        flat += np.bincount(cell, q_ws[left] * i_ws[right], minlength=m * n)
-    return scores
-
-
-def _blocks(rows: int, size: int) -> int:
-    per_block = max(1, min(BLOCK_ROWS, BLOCK_BYTES * rows // max(size, 1)))
-    return max(1, math.ceil(rows / per_block))
-
-
 def _measure(df: DataFrame, width: Column) -> tuple[int, int]:
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")).first()
     return row["rows"], row["bytes"] or 0
 
 
-def _block_top_k(queries, items, score, k, query_blocks, item_blocks, skip_same, positive) -> DataFrame:
-    def best(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []}).astype(
-                {"query_id": "int64", "doc_id": "int64", "score": "float64"}
-            )
-        right = right.sort_values("doc_id", ignore_index=True)
-        scores = score(left, right)
-        return _top_rows(
-            scores, left["query_id"].to_numpy(), right["doc_id"].to_numpy(), k, skip_same, positive
-        )
-
-    def copies(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-    left = left.withColumn("ib", copies(item_blocks))
-    right = items.withColumn("ib", F.pmod(F.xxhash64("doc_id"), F.lit(item_blocks)).cast("int"))
-    right = right.withColumn("qb", copies(query_blocks))
-    pairs = query_blocks * item_blocks
-    left, right = (spread_groups(side, pairs, "qb", "ib") for side in (left, right))
-    found = (
-        left.groupBy("qb", "ib")
-        .cogroup(right.groupBy("qb", "ib"))
-        .applyInPandas(best, "query_id long, doc_id long, score double")
-    )
-    return best_k(found, k)
-
-
 def _travelling_top_k(asked: pd.DataFrame, items: DataFrame, k: int, skip_same: bool) -> DataFrame:
-    """Few queries visit the items where they lie; every task keeps the best ``k`` of each."""
-    query_ids = asked["query_id"].to_numpy()
+    """Few queries visit the items where they lie; every task keeps the best ones of each."""
+    query_ids, vectors = asked["query_id"].to_numpy(), np.stack(asked["vec"])
+    more = asked["more"].to_numpy()
+    own = pd.Series(k + more, index=query_ids)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
         for frame in frames:
-            if frame.empty:
-                continue
             frame = frame.sort_values("doc_id", ignore_index=True)
-            scores = _dense_scores(asked, frame)
-            found = _top_rows(scores, query_ids, frame["doc_id"].to_numpy(), k, skip_same, False)
-            if best is not None:
-                found = pd.concat([best, found], ignore_index=True)
-                found = found.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-                found = found.groupby("query_id", sort=False).head(k)
-            best = found
+            for at in range(0, len(frame), TILE_ROWS):
+                part = frame.iloc[at : at + TILE_ROWS]
+                scores = vectors @ np.stack(part["vec"]).T
+                found = top_rows(scores, query_ids, part["doc_id"].to_numpy(), k + more, skip_same)
+                if best is not None:
+                    found = pd.concat([best, found], ignore_index=True)
+                    found = found.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
+                    place = found.groupby("query_id", sort=False).cumcount()
+                    found = found[place.to_numpy() < own[found["query_id"]].to_numpy()]
+                best = found
         if best is not None:
-            yield best
+            yield best.assign(more=(own[best["query_id"]].to_numpy() - k).astype(np.int32))
 
-    return best_k(items.mapInPandas(run, "query_id long, doc_id long, score double"), k)
+    return best_rows(items.mapInPandas(run, "query_id long, doc_id long, score double, more int"), k)
 
 
 def nearest(
@@ -300,56 +194,24 @@ def nearest(
 ) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: the ``k`` most similar vectors of each query.
 
-    ``index(doc_id, vec)``, ``queries(query_id, vec)``; zero vectors are left out. Queries
-    of at most ``limit`` bytes travel to the index, which then is not shuffled.
+    ``index(doc_id, vec)``, ``queries(query_id, vec[, more])``; zero vectors are left out. A query with ``more``
+    gets that many rows beyond ``k``. Queries of at most ``limit`` bytes travel to the index, which
+    then is not shuffled; more of them take :mod:`textweft.operators.pruned_nearest`.
     """
     _check_space(index, queries)
     items = index.select("doc_id", l2_normalize(F.col("vec")).alias("vec")).dropna()
-    asked = materialize(queries.select("query_id", l2_normalize(F.col("vec")).alias("vec")).dropna(), "asked")
+    more = F.col("more").cast("int") if "more" in queries.columns else F.lit(0)
+    asked = queries.select("query_id", l2_normalize(F.col("vec")).alias("vec"), more.alias("more")).dropna()
+    asked = materialize(asked, "asked")
     n_asked, asked_bytes = _measure(asked, F.size("vec") * 8)
+    if not n_asked:
+        return best_rows(asked.sparkSession.createDataFrame([], "query_id long, doc_id long, score double, more int"), k)
     if asked_bytes <= limit:
-        few = asked.toPandas() if n_asked else None
-        if few is not None and len(few):
-            return _travelling_top_k(few, items, k, skip_same)
+        return _travelling_top_k(asked.toPandas(), items, k, skip_same)
+    items = materialize(items, "items")
     n_items, item_bytes = _measure(items, F.size("vec") * 8)
-    return _block_top_k(
-        asked,
-        items,
-        _dense_scores,
-        k,
-        _blocks(n_asked, asked_bytes),
-        _blocks(n_items, item_bytes),
-        skip_same,
-        positive=False,
-    )
-
-
-def _as_rows(weights: DataFrame, row: str) -> DataFrame:
-    """One row per document with its ids and weights as two aligned arrays."""
-    cells = F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "w"))
-    return weights.groupBy(row).agg(cells.alias("cells")).select(
-        row, F.col("cells.id").alias("ids"), F.col("cells.w").alias("ws")
-    )
-
-
-def similarity_join(index: DataFrame, queries: DataFrame, k: int, skip_same: bool = False) -> DataFrame:
-    """``(query_id, doc_id, score, rank)``: the ``k`` documents most similar to each query.
-
-    ``index(doc_id, id, w)`` and ``queries(query_id, id, w)`` hold unit vectors. No
-    term is left out, however frequent: common terms become dense columns inside a
-    pair of blocks, and pairs of documents never leave it. Only positive scores count.
-    """
-    items = materialize(_as_rows(index, "doc_id"), "items")
-    asked = materialize(_as_rows(queries, "query_id"), "queries")
-    n_items, item_bytes = _measure(items, F.size("ids") * 16)
-    n_asked, asked_bytes = _measure(asked, F.size("ids") * 16)
-    return _block_top_k(
-        asked,
-        items,
-        _sparse_scores,
-        k,
-        _blocks(n_asked, asked_bytes),
-        _blocks(n_items, item_bytes),
-        skip_same,
-        positive=True,
-    )
+    if not n_items:
+        return best_rows(asked.sparkSession.createDataFrame([], "query_id long, doc_id long, score double, more int"), k)
+    block_rows = max(1, BLOCK_BYTES * n_items // max(item_bytes, 1))
+    clusters = wanted_clusters(n_items, item_bytes, BLOCK_BYTES)
+    return nearest_by_clusters(items, asked, n_items, k, skip_same, clusters, block_rows)

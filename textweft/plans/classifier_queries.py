@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import mean_vector
-from textweft.operators import classify, paragraphs, pooling
+from textweft.functions.vectors import dot, l2_normalize, mean_vector
+from textweft.operators import attention, classify, paragraphs, pooling
 from textweft.operators.bags import doc2bow
-from textweft.operators.similarity import nearest
+from textweft.operators.similarity import best_k, dense_cosine, nearest
 from textweft.operators.vocabulary import paragraph_ids
 from textweft.ordered import number_rows
 from textweft.plans import sql as q
@@ -198,31 +198,95 @@ _WITH_WORDS = f"""WITH {q.WORDS}, rows AS (
 
 
 @query(f"""{_WITH_WORDS}
-SELECT label::VARCHAR AS class, count(*) AS support, true AS in_range FROM rows GROUP BY label
-UNION ALL SELECT 'avg / total', count(*), true FROM rows""")
+SELECT label::VARCHAR AS class, count(*) AS support, true AS in_range, true AS agrees FROM rows GROUP BY label
+UNION ALL SELECT 'avg / total', count(*), true, true FROM rows""")
 def paragraph_report(spark, sf):
-    """From paragraph vectors to a classifier to its report, over the labelled documents."""
+    """From paragraph vectors to a classifier to its report, over the labelled documents.
+
+    The report agrees with counts of hits made here from the same predictions, class by class.
+    """
     rows = _paragraph_rows(spark, sf)
     model = classify.train_classifier(rows, 2, max_iter=50, regularization=1e-3)
-    report = classify.classification_report(classify.predict(model, rows))
+    predicted = materialize(classify.predict(model, rows).select("label", "prediction"), "predicted")
+    report = classify.classification_report(predicted)
+    classes = [r["label"] for r in predicted.select("label").distinct().collect()]
+    n = predicted.count()
+    counts = predicted.agg(*[
+        F.count_if((F.col("label").isin(a)) & (F.col("prediction").isin(b))).alias(f"{i}_{j}")
+        for i, a in enumerate([[c] for c in classes] + [classes]) for j, b in enumerate([[c] for c in classes] + [list(range(64))])
+    ]).first()
+    every, want = len(classes), []
+    for i, c in enumerate(classes):
+        hits, support, said = counts[f"{i}_{i}"], counts[f"{i}_{every}"], counts[f"{every}_{i}"]
+        want.append((str(c), hits / said if said else 0.0, hits / support, 2 * hits / (support + said), support))
+    mean = [sum(w[k] * w[4] for w in want) / n for k in (1, 2, 3)]
+    wanted = spark.createDataFrame([w[:4] for w in want] + [("avg / total", *mean)], "class string, p double, r double, f double")
     inside = [F.col(m).between(0, 1) for m in ("precision", "recall", "f1")]
-    return report.select("class", "support", (inside[0] & inside[1] & inside[2]).alias("in_range"))
+    same = [F.abs(F.col(a) - F.col(b)) < 1e-9 for a, b in (("precision", "p"), ("recall", "r"), ("f1", "f"))]
+    return report.join(F.broadcast(wanted), "class", "left").select(
+        "class", "support", (inside[0] & inside[1] & inside[2]).alias("in_range"), (same[0] & same[1] & same[2]).alias("agrees")
+    )
 
 
 @query(f"""{_WITH_WORDS}
-SELECT doc_id AS query_id, 5::BIGINT AS n, true AS falling, label FROM rows""")
+SELECT doc_id AS query_id, 5::BIGINT AS n, true AS falling, true AS nearest, label FROM rows""")
 def paragraph_neighbours(spark, sf):
-    """The five labelled documents with the nearest paragraph vectors, each with its class."""
+    """The five labelled documents with the nearest paragraph vectors, each with its class.
+
+    Each score is that of the two vectors; of every fiftieth document a full report shows that no
+    other document is nearer.
+    """
     rows = _paragraph_rows(spark, sf)
     found = nearest(rows.select("doc_id", "vec"), rows.select(F.col("doc_id").alias("query_id"), "vec"), 5, skip_same=True)
+    found = materialize(found, "nearest")
     model = classify.train_classifier(rows, 2, max_iter=50, regularization=1e-3)
     guesses = classify.predict(model, rows).withColumnRenamed("doc_id", "id")
     labelled = classify.neighbour_labels(found.withColumnRenamed("doc_id", "id"), guesses)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "score", "label")))
-    seen = labelled.groupBy("query_id").agg(ordered.alias("o"))
+    unit = rows.select("doc_id", l2_normalize(F.col("vec")).alias("unit"))
+    scored = labelled.join(unit.withColumnsRenamed({"doc_id": "query_id", "unit": "u"}), "query_id")
+    scored = scored.join(unit.withColumnsRenamed({"doc_id": "id", "unit": "v"}), "id")
+    scored = scored.withColumn("right", F.abs(dot(F.col("u"), F.col("v")) - F.col("score")) < 2e-6)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "score", "right")))
+    seen = scored.groupBy("query_id").agg(ordered.alias("o"))
     falling = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.get("o.score", i - 1) >= F.get("o.score", i))
+    few = rows.filter(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "vec")
+    report = dense_cosine(rows.select("doc_id", "vec"), few).filter(F.col("doc_id") != F.col("query_id"))
+    best = best_k(report, 5).groupBy("query_id").agg(F.min("score").alias("fifth"))
     own = rows.select(F.col("doc_id").alias("query_id"), "label")
-    return seen.select("query_id", F.size("o").cast("long").alias("n"), falling.alias("falling")).join(own, "query_id")
+    right = F.forall("o", lambda x: x["right"]) & F.coalesce(F.abs(F.get("o.score", F.lit(4)) - F.col("fifth")) < 2e-6, F.lit(True))
+    seen = seen.join(best, "query_id", "left")
+    shown = seen.select("query_id", F.size("o").cast("long").alias("n"), falling.alias("falling"), right.alias("nearest"))
+    return shown.join(own, "query_id")
+
+
+@query(f"""{_LABELLED}
+SELECT 4::BIGINT AS n_epochs, sum(n)::BIGINT AS n, true AS falls, true AS kept_best, true AS follows_rate, true AS parts FROM shares""")
+def train_attention(spark, sf):
+    """Hops that learn which words of a labelled document to weigh, by epochs with a held-out part.
+
+    The held-out loss ends below that of the weights it started from, the kept epoch is the one that
+    :func:`classify.select_best` marks last in the log, rates are those it gives, and hops that are made to part
+    overlap less than at first.
+    """
+    bow, vectors = _bag(spark, sf)
+    labels = t.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    rows = attention.attention_rows(pooling.embed_bag(bow, vectors), labels)
+    rows = materialize(classify.split_rows(rows, "doc_id", 0.8, 0.2), "attention-rows")
+    train, held = rows.filter("part = 'train'"), rows.filter("part <> 'train'")
+    s = attention.AttentionSettings(width=WIDTH, hops=HOPS, units=UNITS, rate=0.01, penalty=0.1)
+    given = attention.losses(held, s, attention.start_parameters(s))
+    model = attention.train_attention(train, held, s, epochs=4)
+    after = attention.losses(held, s, model.parameters)
+    log = classify.select_best(model.epoch_table(spark), rate=s.rate, decay=s.decay)
+    best = log.filter("best_loss").agg(F.max_by("loss", "epoch")).scalar()
+    return log.agg(
+        F.count(F.lit(1)).alias("n_epochs"),
+        F.max(F.lit(rows.count())).alias("n"),
+        F.max(F.lit(after[0] < given[0])).alias("falls"),
+        (F.max(F.abs(best - F.lit(after[0]))) < 1e-9).alias("kept_best"),
+        (F.max(F.abs(F.col("rate") - F.col("used_rate"))) < 1e-12).alias("follows_rate"),
+        (F.max_by("penalty", "epoch") < F.lit(given[2])).alias("parts"),
+    )
 
 
 # ---------------------------------------------------------------- judging

@@ -4,8 +4,9 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from textweft.functions.vectors import random_vector
-from textweft.operators import classify, embeddings, paragraphs, vocabulary, windows
+from textweft.functions.vectors import dot, l2_normalize, random_vector
+from textweft.lookup import lookup_join
+from textweft.operators import axes, classify, embeddings, paragraphs, vocabulary, windows
 from textweft.ordered import number_rows
 from textweft.plans import sql as q
 from textweft.plans import tables as t
@@ -30,13 +31,27 @@ def _finite(vec="vec"):
 
 @query(f"WITH {q.VOCAB} SELECT word, 32::BIGINT AS width, true AS finite, true AS trained FROM vocab")
 def word2vec_fit(spark, sf):
-    """Skip-gram over all pairs: a vector for every word, hardly one of them where it started."""
-    model = paragraphs.word2vec_fit(t.document_words(spark, sf, True), size=32, seed=1)
-    started = model.vocab.select("word", random_vector(F.col("id"), 32, 1).alias("first"))
-    known = t.vocabulary(spark, sf).select("word").join(model.word_vectors(), "word", "left").join(started, "word")
-    moved = known.agg(F.avg((F.col("vec") != F.col("first")).cast("double"))).scalar()
+    """Skip-gram over all pairs: a vector for every word.
+
+    It is trained if words that stand next to each other have vectors that point the same way more than
+    words drawn by the place of others do, by a tenth at least, which vectors that only moved would not.
+    """
+    tokens = t.document_words(spark, sf, True)
+    model = paragraphs.word2vec_fit(tokens, size=32, seed=1)
+    known = materialize(t.vocabulary(spark, sf).select("word").join(model.word_vectors(), "word", "left"), "known")
+    n = known.count()
+    rows = t.encoded_documents(spark, sf, t.vocabulary(spark, sf))
+    places = F.explode(F.transform(F.sequence(F.lit(0), F.size("ids") - 2), lambda i: F.struct(F.get("ids", i).alias("a"), F.get("ids", i + 1).alias("b"))))
+    pairs = rows.filter(F.size("ids") > 1).select(places.alias("p")).select("p.*").dropna().groupBy("a", "b").count()
+    unit = known.select("word", "cf", l2_normalize(F.col("vec")).alias("unit"))
+    vectors = t.vocabulary(spark, sf).select("word", F.col("id").alias("own")).join(unit, "word")
+    left = vectors.select(F.col("own").alias("a"), F.col("unit").alias("u"), "cf")
+    right = vectors.select(F.col("own").alias("b"), F.col("unit").alias("v"))
+    shifted = vectors.select(F.pmod(F.col("own") + F.lit(n // 3), F.lit(n)).alias("b"), F.col("unit").alias("w"))
+    met = lookup_join(lookup_join(lookup_join(pairs, left, "a", weight="cf"), right, "b"), shifted, "b")
+    closer = met.agg((F.sum((dot(F.col("u"), F.col("v")) - dot(F.col("u"), F.col("w"))) * F.col("count")) / F.sum("count")).alias("c")).scalar()
     width = F.size("vec").cast("long")
-    return known.select("word", width.alias("width"), _finite().alias("finite"), (moved > 0.99).alias("trained"))
+    return known.select("word", width.alias("width"), _finite().alias("finite"), (closer > 0.1).alias("trained"))
 
 
 @query(f"""WITH {q.VOCAB}, enc AS (SELECT doc_id, pos, id FROM tok JOIN vocab USING (word))
@@ -334,11 +349,54 @@ def pvdm_fit_scaled(spark, sf):
     return _fitted(spark, sf, paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(scale_updates=True), max_iter=2))
 
 
-@query(_FITTED.replace("true AS learns", "2::BIGINT AS n_epochs"))
+@query(_FITTED.replace("true AS learns", "4::BIGINT AS n_epochs, true AS falls"))
 def pvdm_fit_random_window(spark, sf):
     """One random window of each paragraph per epoch, which is the feature here."""
-    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(random_window=True), max_iter=2)
-    return _fitted(spark, sf, model).drop("learns").withColumn("n_epochs", F.lit(len(model.epochs)).cast("long"))
+    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _changed(random_window=True), max_iter=4)
+    found = _fitted(spark, sf, model).drop("learns")
+    return found.withColumns({"n_epochs": F.lit(len(model.epochs)).cast("long"), "falls": _falls(model)})
+
+
+@query(f"""WITH {q.VOCAB}, turns AS (
+  SELECT {q.content_words("text")} AS words FROM conversations
+), more AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM turns) GROUP BY word
+), texts AS (
+  SELECT array_to_string(words, ' ') AS text FROM words WHERE len(words) > 0
+  UNION SELECT array_to_string(words, ' ') FROM turns WHERE len(words) > 0
+)
+SELECT (SELECT count(*) FROM vocab) AS n_old, (SELECT count(*) FROM more WHERE n >= 5 AND word NOT IN (SELECT word FROM vocab)) AS n_new,
+       (SELECT sum(cf) FROM vocab)::BIGINT + (SELECT coalesce(sum(n), 0) FROM more WHERE n >= 5 OR word IN (SELECT word FROM vocab))::BIGINT AS n_places,
+       (SELECT count(*) FROM texts) AS n_paragraphs, true AS ids_stay, true AS vectors_stay, true AS falls, true AS ahead""")
+def grow_model(spark, sf):
+    """A model of the documents that takes up the conversations: new words, new paragraphs, and more training.
+
+    Old words start from their vectors and the tree from the old one, so the first epoch is ahead of
+    one that starts from nothing.
+    """
+    model = paragraphs.pvdm_fit(t.document_words(spark, sf, True), _SMALL, max_iter=2)
+    turns = materialize(_turns(spark, sf), "turns")
+    grown = paragraphs.extend_model(model, turns)
+    went_on = paragraphs.pvdm_fit(turns, _SMALL, max_iter=2, start=grown)
+    fresh = replace(grown, weights=paragraphs.start_weights(grown.vocab, grown.paragraphs, _SMALL), epochs=[])
+    anew = paragraphs.pvdm_fit(turns, _SMALL, max_iter=1, start=fresh)
+    errors, first = [e for *_, e in went_on.epochs][-2:], anew.epochs[0][3]
+    known = t.vocabulary(spark, sf).select("word", F.lit(1).alias("known"))
+    words = grown.vocab.filter(~F.col("word").isin(paragraphs.MARKERS)).join(known, "word", "left")
+    before, after = model.vocab.select("word", "id"), grown.vocab.select("word", "id")
+    moved = before.exceptAll(after).count()
+    vectors = [m.word_vectors().select("word", "vec") for m in (model, grown)]
+    lost = vectors[0].exceptAll(vectors[1]).count()
+    return words.agg(
+        F.count("known").alias("n_old"),
+        F.count_if(F.col("known").isNull()).alias("n_new"),
+        F.sum("cf").alias("n_places"),
+        F.max(F.lit(grown.paragraphs.count())).alias("n_paragraphs"),
+        F.max(F.lit(moved == 0)).alias("ids_stay"),
+        F.max(F.lit(lost == 0)).alias("vectors_stay"),
+        F.max(F.lit(errors[1] < errors[0])).alias("falls"),
+        F.max(F.lit(errors[0] < first)).alias("ahead"),
+    )
 
 
 def _turns(spark, sf):
@@ -571,21 +629,24 @@ def flatten_window(spark, sf):
 
 
 @query(f"""WITH {_STREAM}
-SELECT count(*) // 10 AS n, 8::BIGINT AS code_width, true AS bounded, true AS better FROM stream""")
+SELECT count(*) // 50 AS n, 100::BIGINT AS code_width, true AS bounded, true AS better, true AS settled FROM stream""")
 def compress_windows(spark, sf):
-    """Ten-word windows of 640 numbers to codes of eight, with the error of going back.
+    """Windows of fifty words, 3,200 numbers, to codes of a hundred, with the error of going back.
 
-    The error lies between zero and that of the mean alone, which the code must beat.
+    The error lies between zero and that of the mean alone, which the code must beat; the axes solve
+    their equation, which one more pass over the windows shows.
     """
     vectors = t.word_vectors(spark, sf, t.dictionary(spark, sf))
-    found = windows.vectorize_windows(windows.fixed_windows(_stream(spark, sf), 10), vectors)
+    found = windows.vectorize_windows(windows.fixed_windows(_stream(spark, sf), 50), vectors)
     rows = materialize(found.select("win_id", "x"), "windows")
-    codes = materialize(classify.compress_windows(classify.compress_fit(rows, 8), rows), "codes")
-    mse = classify.reconstruction_error(codes, 640).scalar()
+    model = classify.compress_fit(rows, 100)
+    codes = materialize(classify.compress_windows(model, rows), "codes")
+    mse = classify.reconstruction_error(codes, 3200).scalar()
     size = F.aggregate("code", F.lit(0.0), lambda a, v: a + v * v)
     return codes.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.size("code")).cast("long").alias("code_width"),
         (F.min("squared_error") > -1e-6).alias("bounded"),
-        (mse * 640 < F.avg(F.col("squared_error") + size)).alias("better"),
+        (mse * 3200 < 0.9 * F.avg(F.col("squared_error") + size)).alias("better"),
+        F.max(F.lit(axes.residual(rows, model) < 2e-3)).alias("settled"),
     )

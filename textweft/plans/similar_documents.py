@@ -31,7 +31,7 @@ def most_similar_documents(documents: DataFrame, queries: DataFrame, k: int = 5)
     asked = asked.withColumnRenamed("doc_id", "query_id")
     weights = tfidf_transform(term_counts(documents), model, "word")
     if fits_broadcast(asked):
-        return best_k(positive_scores(weights, asked, "word"), k)
+        return best_k(positive_scores(weights, asked, "word", small=True), k)
     ids = number_rows(model, ["word"], label="word-ids").select("word", "id", "df")
     return similarity_join(
         lookup_join(weights, ids, "word", weight="df"), lookup_join(asked, ids, "word", weight="df"), k

@@ -308,20 +308,39 @@ def lsi_transform(spark, sf):
     return placed.select("doc_id", F.posexplode("vec").alias("topic", "x")).withColumn("x", F.round("x", 6))
 
 
-def _listed(top, value):
-    """Per topic how many different words are listed, and whether their strength falls by rank."""
+def _listed(top, value, every):
+    """Per topic how many different words are listed, whether their strength falls by rank, whether
+    it is that of the word in the model, and whether no word left out is stronger.
+
+    ``every(topic, word, x)`` holds the strength of all words, from the model's own table.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("rank", F.round(F.abs(value), 9).alias("x"))))
     listed = top.groupBy("topic").agg(F.count_distinct("word").alias("n_words"), ordered.alias("o"))
     falling = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.get("o.x", i - 1) >= F.get("o.x", i))
-    return listed.select(F.col("topic").cast("long").alias("topic"), "n_words", falling.alias("falling"))
+    said = top.select("topic", "word", F.abs(value).alias("said"))
+    marked = every.join(F.broadcast(said), ["topic", "word"], "left")
+    compared = marked.groupBy("topic").agg(
+        F.max(F.abs(F.col("x") - F.col("said"))).alias("apart"),
+        F.min(F.when(F.col("said").isNotNull(), F.col("x"))).alias("least"),
+        F.max(F.when(F.col("said").isNull(), F.col("x"))).alias("beyond"),
+    )
+    both = listed.join(compared, "topic")
+    return both.select(
+        F.col("topic").cast("long").alias("topic"),
+        "n_words",
+        falling.alias("falling"),
+        (F.col("apart") < 1e-12).alias("same"),
+        (F.col("least") >= F.col("beyond") - 1e-9).alias("strongest"),
+    )
 
 
-@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling FROM range(0, 2) r(t)")
+@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling, true AS same, true AS strongest FROM range(0, 2) r(t)")
 def lsi_topics(spark, sf):
     """The ten strongest words of two topics, by falling strength."""
     vocab = t.dictionary(spark, sf)
     model = topics.lsi_fit(t.weights(spark, sf, vocab), 2)
-    return _listed(topics.lsi_topics(model.topic_term, vocab, 2, 10), F.col("v"))
+    every = model.topic_term.join(vocab.select("id", "word"), "id").select("topic", "word", F.abs("v").alias("x"))
+    return _listed(topics.lsi_topics(model.topic_term, vocab, 2, 10), F.col("v"), every)
 
 
 @query(f"""WITH {q.QWEIGHTS}
@@ -334,7 +353,7 @@ def similar_by_topics(spark, sf):
     """
     vocab = t.dictionary(spark, sf)
     weights = materialize(t.weights(spark, sf, vocab), "weights")
-    model = topics.lsi_fit(weights, 4, tolerance=1e-3)
+    model = topics.lsi_fit(weights, 4)
     index = materialize(topics.lsi_transform(weights, model.topic_term), "index")
     asked = t.query_weights(spark, sf, vocab).withColumnRenamed("query_id", "doc_id")
     asked = materialize(topics.lsi_transform(asked, model.topic_term).withColumnRenamed("doc_id", "query_id"), "asked")
@@ -354,12 +373,23 @@ def _lda(spark, sf):
 
 
 @query(f"""WITH {q.WEIGHTS}
-SELECT count(DISTINCT id) AS n_terms, 5::BIGINT AS n_topics, round(sum(w), 3) AS mass, true AS positive FROM weights""")
+SELECT count(DISTINCT id) AS n_terms, 5::BIGINT AS n_topics, round(sum(w), 3) AS mass, true AS positive, true AS learns FROM weights""")
 def lda_fit(spark, sf):
-    """Topics over all terms: what a pass gives to them is what the documents weigh."""
-    _, _, model = _lda(spark, sf)
+    """Topics over all terms: what a pass gives to them is what the documents weigh.
+
+    The topics learn: mixed as each document asks, they make its words likelier than the shares of
+    all words do, which topics drawn at random do not.
+    """
+    _, weights, model = _lda(spark, sf)
     total = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v)
+    shares = F.zip_with("vec", F.array(*[F.lit(x) for x in model.totals]), lambda a, b: a / b)
+    phi = model.topic_term.select("id", shares.alias("phi"), (total / sum(model.totals)).alias("plain"))
+    mixed = topics.lda_transform(model, weights).withColumnRenamed("vec", "theta")
+    rows = weights.join(phi, "id").join(mixed, "doc_id")
+    likely = F.aggregate(F.zip_with("phi", "theta", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    gain = rows.agg(F.sum(F.col("w") * (F.log(likely) - F.log("plain")))).scalar()
     return model.topic_term.agg(
+        F.max(gain > 0).alias("learns"),
         F.count(F.lit(1)).alias("n_terms"),
         F.max(F.size("vec")).cast("long").alias("n_topics"),
         F.round(F.sum(total - 1.0), 3).alias("mass"),  # without the prior, a fifth for each topic
@@ -379,10 +409,13 @@ def lda_transform(spark, sf):
     )
 
 
-@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling FROM range(0, 5) r(t)")
+@query("SELECT t AS topic, 10::BIGINT AS n_words, true AS falling, true AS same, true AS strongest FROM range(0, 5) r(t)")
 def lda_topics(spark, sf):
     vocab, _, model = _lda(spark, sf)
-    return _listed(topics.lda_topics(model, vocab, 5, 10), F.col("weight"))
+    total = F.get(F.array(*[F.lit(x) for x in model.totals]), F.col("topic"))
+    every = model.topic_term.select("id", F.posexplode("vec").alias("topic", "x")).join(vocab.select("id", "word"), "id")
+    every = every.select("topic", "word", (F.col("x") / total).alias("x"))
+    return _listed(topics.lda_topics(model, vocab, 5, 10), F.col("weight"), every)
 
 
 @query("""SELECT vec_id AS doc_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings""")

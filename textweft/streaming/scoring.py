@@ -23,7 +23,7 @@ def stream_score(
         weights = tfidf_transform(doc2bow(batch, model), model)
         queries = materialize(weights.withColumnRenamed("doc_id", "query_id"), "arrived")
         if fits_broadcast(queries):
-            found = best_k(positive_scores(index, queries), k)
+            found = best_k(positive_scores(index, queries, small=True), k)
         else:
             found = similarity_join(index, queries, k)
         found.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
