@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from textweft.operators import paragraphs as p
+from textweft.operators.weight_table import WeightTable
+from textweft.scratch import materialize
 from textweft.sources import snapshots
 
 SENTENCES = [
@@ -183,3 +185,125 @@ def test_a_saved_model_infers_like_the_first(spark, tmp_path):
     fresh = spark.createDataFrame([(9, "b c a".split())], "doc_id long, words array<string>")
     first, again = (p.pvdm_infer(m, fresh, max_iter=2).paragraph_vectors().first()["vec"] for m in (model, loaded))
     assert first == pytest.approx(again)
+
+
+def test_a_change_writes_what_it_changes(spark):
+    def rows(keys, value):
+        frame = spark.createDataFrame([(k, [float(value)]) for k in keys], "key long, vec array<double>")
+        return materialize(frame, "test")
+
+    table = WeightTable.of(rows(range(100), 0))
+    want = dict.fromkeys(range(100), 0)
+    rng = np.random.default_rng(1)
+    for step in range(1, 14):
+        keys = rng.choice(130, 90 if step == 6 else 5, replace=False).tolist()
+        table.change(rows(keys, step))
+        want |= dict.fromkeys(keys, step)
+        got = [(r["key"], r["vec"][0]) for r in table.read().collect()]
+        assert len(got) == len(want) and dict(got) == want
+    assert sum(part.stored for part in table.parts) <= 2 * len(want)
+    # the table is written whole now and then, not with every change
+    assert sorted(table.written)[:8] == [5] * 8 and sum(table.written) < 5 * 90
+
+
+def test_training_part_of_a_model_leaves_the_rest_alone(spark, tokens):
+    model = p.pvdm_fit(tokens, settings(), min_count=1, max_iter=1)
+    few = spark.createDataFrame([(0, "the cat sat on the mat".split())], "doc_id long, words array<string>")
+    more = p.pvdm_fit(few, settings(), max_iter=3, start=model)
+    before, after = ({r["key"]: r["vec"] for r in m.weights.collect()} for m in (model, more))
+    assert before.keys() == after.keys()
+    changed = sum(before[k] != after[k] for k in before)
+    assert 0 < changed < len(before) and all(n <= changed for n in more.written)
+
+
+def test_vocabulary_grows_and_training_goes_on(spark, tokens):
+    warm = p.pvdm_fit(tokens, settings(), min_count=2, max_iter=3)
+    lines = ["the zebra sat on the mat", "a zebra and a cat ran", "the zebra lay on a log", "the cat sat on the mat"] * 3
+    more = spark.createDataFrame([(100 + i, x.split()) for i, x in enumerate(lines)], "doc_id long, words array<string>")
+    grown = p.extend_model(warm, more, min_count=2)
+    ids, new_ids = ({r["word"]: r["id"] for r in m.vocab.collect()} for m in (warm, grown))
+    assert new_ids.keys() - ids.keys() == {"zebra"} and all(new_ids[w] == i for w, i in ids.items())
+    old, new = ({r["word"]: r["vec"] for r in m.word_vectors().collect()} for m in (warm, grown))
+    assert all(new[w] == v for w, v in old.items()) and len(new["zebra"]) == 8
+    cf = {r["word"]: r["cf"] for r in grown.vocab.collect()}
+    assert cf["zebra"] == 9 and cf["cat"] == {r["word"]: r["cf"] for r in warm.vocab.collect()}["cat"] + 6
+    texts = {r["digest"]: (r["para_id"], r["copies"]) for r in grown.paragraphs.collect()}
+    known = {r["digest"]: (r["para_id"], r["copies"]) for r in warm.paragraphs.collect()}
+    assert len(texts) == len(known) + 3 and len({i for i, _ in texts.values()}) == len(texts)
+    assert sum(n for _, n in texts.values()) == 28 + 12 and all(texts[d][0] == i for d, (i, _) in known.items())
+    went_on = p.pvdm_fit(more, settings(), max_iter=3, start=grown)
+    anew = p.pvdm_fit(more, settings(), max_iter=3, start=p.ParagraphModel(
+        settings(), grown.vocab, grown.paragraphs, p.start_weights(grown.vocab, grown.paragraphs, settings())))
+    errors = [e for *_, e in went_on.epochs]
+    assert errors[-1] < errors[0] < anew.epochs[0][3]
+
+
+def test_a_tree_that_stays_keeps_its_nodes(spark, tokens):
+    model = p.pvdm_fit(tokens, settings(), min_count=2, max_iter=2)
+    nodes = model.weights.filter(F.pmod("key", F.lit(4)) == p._NODE)
+    same = {r["key"]: r["vec"] for r in p._merged_nodes(model.vocab, model.vocab, nodes, 16).collect()}
+    assert all(same[r["key"]] == pytest.approx(r["vec"]) for r in nodes.collect()) and len(same) == nodes.count()
+    # words that swap sides turn their node round
+    old = spark.createDataFrame([(1, 0b10, 4), (2, 0b11, 4)], "id long, leaf long, cf long")
+    new = spark.createDataFrame([(1, 0b11, 4), (2, 0b10, 4)], "id long, leaf long, cf long")
+    root = spark.createDataFrame([(1 * 4 + p._NODE, [1.0, -2.0])], "key long, vec array<double>")
+    assert p._merged_nodes(old, new, root, 2).first()["vec"] == [-1.0, 2.0]
+    # a node that other words now pass is their mean by count
+    new = spark.createDataFrame([(1, 0b10, 4), (2, 0b10, 12)], "id long, leaf long, cf long")
+    old = spark.createDataFrame([(1, 0b10, 4), (2, 0b11, 12)], "id long, leaf long, cf long")
+    assert p._merged_nodes(old, new, root, 2).first()["vec"] == [-0.5, 1.0]
+
+
+def test_a_fit_that_lost_its_driver_goes_on(spark, tokens, tmp_path, monkeypatch):
+    whole = p.pvdm_fit(tokens, settings(random_window=False), min_count=2, max_iter=3)
+    folder, plain, seen = str(tmp_path / "fit"), p._epoch, []
+
+    def lost(job, table, s, alpha, epoch, limit, write):
+        if epoch == 1 and 1 not in seen:
+            seen.append(epoch)
+            write(spark.createDataFrame([(0, [9.0], 0.0)], "key long, vec array<double>, error double"))  # half an epoch
+            raise RuntimeError("driver lost")
+        seen.append(epoch)
+        return plain(job, table, s, alpha, epoch, limit, write)
+
+    monkeypatch.setattr(p, "_epoch", lost)
+    with pytest.raises(RuntimeError):
+        p.pvdm_fit(tokens, settings(), min_count=2, max_iter=3, folder=folder)
+    assert seen == [0, 1]
+    resumed = p.pvdm_fit(tokens, settings(), min_count=2, max_iter=3, folder=folder)
+    assert seen == [0, 1, 1, 2]
+    assert [e for *_, e in resumed.epochs] == pytest.approx([e for *_, e in whole.epochs])
+    a, b = ({r["key"]: r["vec"] for r in m.weights.collect()} for m in (whole, resumed))
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+    again = p.pvdm_fit(tokens, settings(), min_count=2, max_iter=3, folder=folder)
+    assert len(seen) == 4 and again.epochs == resumed.epochs
+    with pytest.raises(ValueError, match="another fit"):
+        p.pvdm_fit(tokens, settings(), min_count=2, max_iter=4, folder=folder)
+
+
+def test_inference_in_one_visit_equals_epoch_by_epoch(spark, tokens, monkeypatch):
+    model = p.pvdm_fit(tokens, settings(), min_count=2, max_iter=2)
+    fresh = spark.createDataFrame([(i, x.split()) for i, x in enumerate(["the cat ran home", "a log", "a log", "dog mat the"])], "doc_id long, words array<string>")
+    reads = []
+    pulled = p._pulled
+    monkeypatch.setattr(p, "_pulled", lambda *a: reads.append(1) or pulled(*a))
+    inferred = p.pvdm_infer(model, fresh, max_iter=4)
+    assert len(reads) == 1 and inferred.paragraph_vectors().count() == 3 and len(inferred.epochs) == 4
+    s, rows = model.settings, {r["key"]: r["vec"] for r in model.weights.collect()}
+    ids = {r["word"]: (r["id"], r["leaf"]) for r in model.vocab.collect()}
+    owner = {r["first_doc"]: r["para_id"] for r in inferred.paragraphs.collect()}
+    start = {r["key"]: r["vec"] for r in p.start_paragraphs(inferred.paragraphs, s).collect()}
+    words = [x for x in fresh.orderBy("doc_id").collect() if x["doc_id"] in owner]
+    coded = [[ids.get(w, ids[p.UNKNOWN]) for w in x["words"]] for x in words]
+    left = pd.DataFrame({"para_id": [owner[x["doc_id"]] for x in words], "ids": [np.array([i for i, _ in c]) for c in coded],
+                         "leaves": [np.array([leaf for _, leaf in c]) for c in coded], "pos": 0})
+    pad = ids[p.PADDING][0] * 4
+    nodes = {leaf >> k: None for c in coded for _, leaf in c for k in range(1, leaf.bit_length())}
+    need = [i * 4 for c in coded for i, _ in c] + [n * 4 + 1 for n in nodes] + [pad]
+    right = pd.DataFrame([(k, rows.get(k)) for k in set(need)] + list(start.items()), columns=["key", "vec"])
+    for epoch in range(4):
+        out = p._train_block(left, right, s, p._schedule(s.alpha, epoch, 4), epoch, pad, True)
+        changed = dict(zip(out["key"], out["vec"]))
+        right["vec"] = [changed.get(k, v) for k, v in zip(right["key"], right["vec"])]
+    got = {r["para_id"]: r["vec"] for r in inferred.paragraph_vectors().collect()}
+    assert all(got[k // 4] == pytest.approx(v) for k, v in zip(right["key"], right["vec"]) if k % 4 == 2)

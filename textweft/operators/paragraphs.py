@@ -243,7 +243,7 @@ def _matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
     """The vectors of some rows below each other; missing ones are zeros."""
     there = rows["vec"].notna().to_numpy()
     table = np.zeros((len(rows), width))
-    if there.any():
+    if width and there.any():
         table[there] = np.concatenate(rows["vec"].to_numpy()[there]).reshape(-1, width)
     return table
 
