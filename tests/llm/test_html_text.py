@@ -1,6 +1,8 @@
 """Main text of pages with known articles."""
 
+import re
 import time
+from html import unescape
 
 import pytest
 
@@ -36,6 +38,51 @@ def test_unmarked_regions():
     assert main_text(page) == ("A long sentence of the story. " * 9 + "Short.")
 
 
+STORY = "<p>" + "A long sentence of the story. " * 30 + "</p>"
+TOLD = ("A long sentence of the story. " * 30).strip()
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "main-content no-sidebar", "wrap with-header", "entry social-post", "page promo"])
+def test_a_name_does_not_drop_what_holds_the_text(name):
+    assert main_text(f"<body>{MENU}<div class='{name}'>{STORY}</div><div class='sidebar'><p>Read this too, it is fine.</p></div>{FOOT}") == TOLD
+    assert main_text(f"<body>{MENU}<div class='{name}'><article>{STORY}</article></div>{FOOT}") == TOLD
+
+
+def test_readers_comments_go():
+    comment = "<article class='comment'><p>" + "I have read this and I must say a thing. " * 8 + "</p></article>"
+    for page in (
+        f"<article>{STORY}</article><section>{comment}{comment}</section>",
+        f"<main>{STORY}<section id='comments'>{comment}</section></main>",
+        f"<div>{STORY}</div><div class='comment-list'><div>{comment * 9}</div></div>",
+        f"<article>{STORY}{comment}</article>",
+    ):
+        assert main_text(f"<body>{MENU}{page}{FOOT}") == TOLD
+
+
+def test_short_blocks_beside_the_story_stay():
+    links = "<div>" + "<a href=/x>Another story</a> " * 6 + "</div>"
+    page = f"<body>{MENU}<div><div>In short.</div><div>{STORY}</div><div>The end.</div>{links}</div>{FOOT}"
+    assert main_text(page) == f"In short. {TOLD} The end."
+
+
+def test_side_boxes_go_even_if_they_are_long():
+    box = "<div class='related'>" + STORY * 3 + "</div>"
+    assert main_text(f"<body><article>{STORY}</article>{box}</body>") == TOLD
+    assert main_text(f"<body><div class='page has-related'>{box}<article>{STORY}</article></div></body>") == TOLD
+
+
+def test_whole_table_against_what_it_was_made_of(spark):
+    """Every given page is a title, a menu, an advert, an article of paragraphs and a footer."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    got = {r["page_id"]: (r["html"], r["text"]) for r in extract_text(pages).collect()}
+    assert len(got) == pages.count()
+    for html, text in got.values():
+        article = re.search(r"<article>(.*?)</article>", html or "", re.S)
+        if article:
+            plain = " ".join(unescape(re.sub(r"</?(?:p|h1|br)[^>]*>", " ", re.sub(r"</?b>", "", article.group(1)))).split())
+            assert text == plain
+
+
 def test_smoothing_keeps_a_constant():
     assert smoothed([2.0] * 9) == pytest.approx([2.0] * 9) and smoothed([]) == []
 

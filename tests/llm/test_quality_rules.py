@@ -6,7 +6,10 @@ import re
 
 import numpy as np
 
-from textweft.llm.quality_rules import COUNTS, MORE, Forest, calibrate, fit_quality, quality_verdicts, rule_counts
+from pyspark.sql import functions as F
+
+from textweft.llm.common import drawn_rows
+from textweft.llm.quality_rules import COUNTS, MORE, Forest, calibrate, fit_judge, fit_quality, quality_verdicts, rule_counts
 
 
 def slow_counts(text):
@@ -74,3 +77,18 @@ def test_calibration_bounds_what_good_rows_lose(spark):
     scored = spark.createDataFrame(rows, "anomaly double, good int")
     assert 0.3 < calibrate(scored, "good", 0.005) <= 0.7 and calibrate(scored, "good", 0.001) > 0.7
     assert len(COUNTS + MORE) == len(rule_counts("a"))
+
+
+def test_a_hot_group_of_copies_takes_its_share_of_the_sample(spark):
+    one = [10, 50, 0, 0, 0, 0, 0, 0, 0]
+    names = [*COUNTS, *MORE]
+    rows = [(i, *(one if i % 3 == 0 else [10 + i % 50, 50 + i, i % 7, 0, 0, 0, 0, 0, 0])[: len(names)], 1) for i in range(6000)]
+    rows += [(1, *one[: len(names)], 1)] * 3000  # one id, many times
+    labelled = spark.createDataFrame(rows, ["doc_id", *names, "good"]).repartition(9)
+    drawn = drawn_rows(labelled, 900, F.xxhash64(F.lit(7), "doc_id"))
+    ids = [r["doc_id"] for r in drawn.select("doc_id").distinct().collect()]
+    assert 450 < len(ids) < 800 and 0.25 < sum(i % 3 == 0 for i in ids) / len(ids) < 0.42
+    judges = [fit_judge(labelled.repartition(n), "good", 900) for n in (1, 5)]
+    counts = np.array([r[1:-1] for r in rows[:200]])
+    assert np.array_equal(judges[0].scores(counts), judges[1].scores(counts))
+    assert drawn_rows(labelled, 10_000, F.xxhash64("doc_id")).count() == 9000
