@@ -86,3 +86,16 @@ def digest(text: str) -> str:
 def words_of(text: str | None) -> list[bytes]:
     """Words as UTF-8: runs without ASCII white space; none for null."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+def drawn_rows(rows: DataFrame, sample: int, draw: F.Column, total: int | None = None) -> DataFrame:
+    """Rows whose ``draw``, a hash, lies below what makes about ``sample`` of them; all if there are no more.
+
+    Nothing is sorted and a task hands on only what is drawn, so that however many tasks there
+    are about ``sample`` rows come out, and seldom more than four standard deviations above it.
+    """
+    total = rows.count() if total is None else total
+    if total <= sample:
+        return rows
+    least = -(1 << 63)
+    return rows.filter(draw <= F.lit(least + int((1 << 64) * (sample / total)) - 1))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textweft.llm.common import map_columns
+from textweft.llm.common import drawn_rows, map_columns
 from textweft.scratch import materialize
 
 MIN_WORDS = 10
@@ -193,11 +193,19 @@ NAMES = [*COUNTS, *MORE]
 
 
 def fit_judge(labelled: DataFrame, label: str, sample: int = SAMPLE, seed: int = 7) -> Judge:
-    """Fit on at most ``sample`` rows of ``labelled`` counts that pass the base rules."""
-    passed = labelled.filter(~base_failed()).select(*NAMES, label)
-    rows = passed.orderBy(F.xxhash64(F.lit(seed), *NAMES), *NAMES, label).limit(sample).collect()
-    counts = np.array([tuple(r)[:-1] for r in rows], dtype=np.int64).reshape(-1, len(NAMES))
-    return Judge(counts, np.array([bool(r[label]) for r in rows], dtype=bool), seed)
+    """Fit on at most ``sample`` rows of ``labelled`` counts that pass the base rules.
+
+    Rows are drawn by ``doc_id``, so that many copies of one text fill no more of the sample than
+    their share of the rows. Of an id that is repeated one row is drawn.
+    """
+    passed = labelled.filter(~base_failed()).select("doc_id", *NAMES, label)
+    drawn = drawn_rows(passed, sample, F.xxhash64(F.lit(seed), "doc_id"))
+    drawn = drawn.groupBy("doc_id").agg(F.min(F.struct(*NAMES, label)).alias("row")).select("row.*").collect()
+    rows = sorted(tuple(r) for r in drawn)  # one order, whatever the partitions were
+    if len(rows) > sample:
+        rows = [rows[i] for i in np.sort(np.random.default_rng(seed).choice(len(rows), sample, replace=False))]
+    counts = np.array([r[:-1] for r in rows], dtype=np.int64).reshape(-1, len(NAMES))
+    return Judge(counts, np.array([bool(r[-1]) for r in rows], dtype=bool), seed)
 
 
 def with_score(counted: DataFrame, judge: Judge, keep: list[str]) -> DataFrame:
@@ -247,7 +255,7 @@ def fit_quality(
     known = known.groupBy(F.col(id).alias("doc_id")).agg(F.max(label).alias("good"))
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     counted = materialize(with_counts(rows, keep=["doc_id"]), "rule-counts")
-    labelled = materialize(counted.join(known, "doc_id").select(*NAMES, "good"), "labelled-counts")
+    labelled = materialize(counted.join(known, "doc_id").select("doc_id", *NAMES, "good"), "labelled-counts")
     judge = fit_judge(labelled, "good", sample)
     return counted, judge, calibrate(with_score(labelled.filter(~base_failed()), judge, ["good"]), "good", lost)
 
