@@ -117,23 +117,22 @@ class Lexicon:
 
     def __init__(self, blocks: list[tuple[str, int, bytes, bytes, bytes]]):
         blocks = sorted(blocks, key=lambda b: (b[0], b[1]))
-        widths, classes, parts, roots = [], [], [], []
+        self.classes = np.zeros(256 * max(1, len(blocks)), np.int32)
+        self.roots = np.zeros(len(blocks), np.int64)
         at = 1024  # an empty row for tokens that left their automaton
-        for *_, packed in blocks:
+        self.cells = np.zeros(at + sum((len(b[4]) - 1024) // 8 for b in blocks), np.uint64)
+        for i, (*_, packed) in enumerate(blocks):
             own = np.frombuffer(packed, np.int32, 256)
-            width = int(own.max()) + 1
-            cells = np.frombuffer(packed, np.uint64, offset=1024).reshape(-1, width).copy()
-            step = cells >> np.uint64(32)
-            passed = cells & np.uint64(0xFFFFFFFF)
-            moved = np.where(step > 0, step * np.uint64(width) + np.uint64(at), np.uint64(0))
-            cells = (moved << np.uint64(32)) | passed
-            classes.append(own)
-            parts.append(cells.ravel())
-            roots.append(at)
-            at += cells.size
-        self.cells = np.concatenate([np.zeros(1024, np.uint64), *parts])
-        self.classes = np.concatenate(classes) if classes else np.zeros(256, np.int32)
-        self.roots = np.array(roots, np.int64)
+            width = np.uint64(int(own.max()) + 1)
+            self.classes[256 * i : 256 * i + 256] = own
+            self.roots[i] = at
+            stored = np.frombuffer(packed, np.uint64, offset=1024)
+            for start in range(0, len(stored), 1 << 16):
+                cells = stored[start : start + (1 << 16)]
+                step = cells >> np.uint64(32)
+                moved = np.where(step > 0, step * width + np.uint64(at), np.uint64(0))
+                self.cells[at + start : at + start + len(cells)] = (moved << np.uint64(32)) | (cells & np.uint64(0xFFFFFFFF))
+            at += len(stored)
         self.starts = np.array([b[1] for b in blocks], np.int64)
         self.ranges: dict[str, tuple[int, np.ndarray, np.ndarray]] = {}
         for lang in dict.fromkeys(b[0] for b in blocks):
