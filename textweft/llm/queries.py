@@ -219,7 +219,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page to archives, read them back and assemble the captures."""
     path = new_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    captures = materialize(assemble(read_archives(spark, path, payloads=False)), "captures")
+    records = materialize(read_archives(spark, path, payloads=False), "records")  # read once, joined three times
+    captures = materialize(assemble(records), "captures")
     return resolve_revisits(captures)
 
 
