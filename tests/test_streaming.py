@@ -55,3 +55,13 @@ def test_streamed_scores_equal_the_batch(spark, titles, tmp_path):
     weights = weighting.tfidf_transform(bags.doc2bow(asked, vocab), model).withColumnRenamed("doc_id", "query_id")
     batch = similarity.best_k(similarity.positive_scores(index, weights), 2)
     assert found == sorted(map(tuple, batch.collect())) and len({r[0] for r in found}) == 2
+
+
+def test_stream_of_a_table_that_is_a_folder(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b a b"), (2, "c b")], "doc_id long, text string")
+    rows.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    arriving = streams.stream_documents(spark, f"{tmp_path}/", "documents.parquet", "doc_id long, text string")
+    counts = f"{tmp_path}/counts"
+    assert streams.streamed_vocabulary(spark, counts).count() == 0
+    streams.stream_extend_vocabulary(arriving, F.split("text", " "), counts, f"{tmp_path}/state").awaitTermination()
+    assert {r.word: r.n for r in streams.streamed_vocabulary(spark, counts).collect()} == {"a": 1, "b": 3, "c": 1}

@@ -1,5 +1,6 @@
 """Word counts kept up to date while documents arrive."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -8,11 +9,14 @@ from textweft.operators.vocabulary import token_counts
 
 
 def stream_documents(spark: SparkSession, folder: str, pattern: str, schema: str, per_trigger: int | None = None) -> DataFrame:
-    """Parquet files arriving in a folder, as an unbounded table; ``per_trigger`` bounds a batch's files."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """Parquet files arriving in a folder, as an unbounded table; ``per_trigger`` bounds a batch's files.
+
+    ``pattern`` names files, or tables that are folders of files themselves.
+    """
+    reader = spark.readStream.schema(schema)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder.rstrip('/')}/{{{pattern}}}")
 
 
 def stream_extend_vocabulary(arriving: DataFrame, words: Column, counts_path: str, checkpoint: str) -> StreamingQuery:
@@ -36,7 +40,13 @@ def stream_extend_vocabulary(arriving: DataFrame, words: Column, counts_path: st
 
 def streamed_vocabulary(spark: SparkSession, counts_path: str, min_count: int = 1) -> DataFrame:
     """``(word, n)`` of everything that has arrived; rare words stay counted, not shown."""
-    counts = spark.read.schema("word string, n long, batch_id long").parquet(counts_path)
+    schema = "word string, n long, batch_id long"
+    try:
+        counts = spark.read.schema(schema).parquet(counts_path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        counts = spark.createDataFrame([], schema)  # nothing has arrived yet
     return counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
