@@ -94,6 +94,15 @@ def test_odd_pages_end(html):
     assert time.process_time() - began < 20
 
 
+def test_names_nest_deeply():
+    """Every line lies in all elements before it; names are weighed once each, not once per line."""
+    began = time.process_time()
+    assert main_text("<div class=ad>x" * 20_000) == ""
+    inner = "<div class=sidebar>" * 3000 + f"<article>{STORY}</article>" + "</div>" * 3000
+    assert main_text(f"<div class=comments>{STORY}</div>{inner}") == TOLD
+    assert time.process_time() - began < 8
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>a</p>", "own"), (1, "u", "<p>a</p>", "own"), (None, None, None, "own"), (2, "u", "", "own")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -88,7 +88,7 @@ class Line:
     tags: int
     region: int
     main: bool
-    named: tuple[int, ...]  # the elements around it that are dropped for their names, unless spared
+    named: int  # the innermost element around it that is dropped for its name, unless spared; -1 for none
     linked: int  # characters of the text that are links
 
 
@@ -96,7 +96,7 @@ class Line:
 class Open:
     tag: str
     dropped: bool = False
-    named: tuple[int, ...] = ()
+    named: int = -1
     region: int = 0
     main: bool = False
 
@@ -112,7 +112,8 @@ class Lines(HTMLParser):
         self.tags = self.links = self.linked = 0
         self.parents = [0]  # the region around each region
         self.never: list[bool] = []  # of each element with a telling name
-        self.around_main: set[int] = set()  # those that hold an article
+        self.above: list[int] = []  # the next such element around each
+        self.around_main: set[int] = set()  # the innermost ones that hold an article
 
     def place(self) -> Open:
         return self.open[-1] if self.open else Open("")
@@ -146,10 +147,11 @@ class Lines(HTMLParser):
                 self.parents.append(region)
                 region, main = len(self.parents) - 1, tag in MAIN and not drops
                 if main:
-                    self.around_main.update(named)
+                    self.around_main.add(named)
             if verdict in (BY_NAME, NEVER_BY_NAME):
                 self.never.append(verdict == NEVER_BY_NAME)
-                named = (*named, len(self.never) - 1)
+                self.above.append(named)
+                named = len(self.never) - 1
             self.open.append(Open(tag, at.dropped or verdict == DROP, named, region, main))
 
     def end_line_kept(self) -> None:
@@ -162,7 +164,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.end_line()
-        elif self.open and self.open[-1].tag == tag and (self.open[-1].dropped or self.open[-1].named != (self.open[-2].named if len(self.open) > 1 else ())):
+        elif self.open and self.open[-1].tag == tag and (self.open[-1].dropped or self.open[-1].named != (self.open[-2].named if len(self.open) > 1 else -1)):
             self.end_line()
         self.tags += 1
         if tag == "a":
@@ -190,23 +192,27 @@ class Lines(HTMLParser):
         outside it, so is one that holds most of the text, unless its name is never content.
         """
         total, outside = 0, 0
-        inside: dict[int, int] = {}
-        in_main: dict[int, int] = {}
+        inside, in_main = [0] * len(self.never), [0] * len(self.never)
         for line in self.lines:
             size = len(line.text)
             total += size
             outside += size if line.main else 0
-            for i in line.named:
-                inside[i] = inside.get(i, 0) + size
-                in_main[i] = in_main.get(i, 0) + (size if line.main else 0)
-        gone = set()
-        for i, never in enumerate(self.never):
+            if line.named >= 0:
+                inside[line.named] += size
+                in_main[line.named] += size if line.main else 0
+        for i in range(len(self.never) - 1, -1, -1):  # an element comes after those around it
+            up = self.above[i]
+            if up >= 0:
+                inside[up] += inside[i]
+                in_main[up] += in_main[i]
             if i in self.around_main:
-                continue
-            most = 2 * inside.get(i, 0) > total and outside <= in_main.get(i, 0)
-            if never or not most:
-                gone.add(i)
-        return [replace(x, text="") if x.text and gone.intersection(x.named) else x for x in self.lines]
+                self.around_main.add(up)
+        gone: list[bool] = []
+        for i, never in enumerate(self.never):
+            most = 2 * inside[i] > total and outside <= in_main[i]
+            goes = i not in self.around_main and (never or not most)
+            gone.append(goes or self.above[i] >= 0 and gone[self.above[i]])
+        return [replace(x, text="") if x.text and x.named >= 0 and gone[x.named] else x for x in self.lines]
 
 
 def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
