@@ -86,6 +86,17 @@ def test_scores_do_not_depend_on_neighbours_or_on_what_is_laid_out_before():
     assert mixer.scores([]).size == 0
 
 
+def test_scores_hold_however_few_units_are_laid_out_at_a_time(monkeypatch):
+    texts = prose(60, 5)
+    mixer, _ = taught(texts, sorted({u for t in texts[:20] for u in units(t)}))
+    want = mixer.scores(texts)
+    for name, few in (("LAID", 7), ("RUN", 30), ("SCORED", 200)):
+        monkeypatch.setattr(mixing, name, few)
+    layout = mixer.layout()
+    assert (mixer.scores(texts, layout) == want).all()
+    assert layout.room["still"].itemsize == 1  # one of STILL gates for every bit of a frequent unit
+
+
 def test_long_texts_are_read_in_pieces(monkeypatch):
     texts = [b" ".join(prose(60)), b"short one"]
     mixer, table = taught(texts)

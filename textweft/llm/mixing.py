@@ -29,7 +29,10 @@ SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 SCALE = 12.0  # a table holds log-odds as bytes, this much to one
 PIECE = 1 << 19  # bytes of texts that are laid out together
-GROUP = 30_000  # units whose bits are laid out together
+SCORED = 1 << 17  # bytes of texts that are scored together
+GROUP = 30_000  # units of a long text whose bits are laid out together
+RUN = 8_000  # units of several texts whose bits are scored together
+LAID = 8_000  # distinct units laid out at a time
 STEP = 512  # bits between two updates
 RATE, OWN_RATE = 0.02, 0.004
 DEPTHS, LEVELS = 3, 3
@@ -59,9 +62,11 @@ def units(text: bytes) -> list[bytes]:
     return out
 
 
-def rounds(texts: list[bytes], size: int | None = None) -> Iterator[list[tuple[int, bool, list[bytes]]]]:
-    """Lists of ``(text number, first piece, units)`` of about ``PIECE`` bytes; one text when it is long."""
+def rounds(texts: list[bytes], size: int | None = None, together: int | None = None) -> Iterator[list[tuple[int, bool, list[bytes]]]]:
+    """Lists of ``(text number, first piece, units)`` of about ``PIECE`` bytes, or ``together`` if that is less;
+    one text when it is longer than ``PIECE``."""
     size = PIECE if size is None else size
+    most = size if together is None else min(size, together)
     held, filled = [], 0
     for i, text in enumerate(texts):
         if len(text) > size:
@@ -74,7 +79,7 @@ def rounds(texts: list[bytes], size: int | None = None) -> Iterator[list[tuple[i
                 yield [(i, at == 0, part)]
                 at = cut + 1 if cut >= 0 else None
             continue
-        if held and filled + len(text) > size:
+        if held and filled + len(text) > most:
             yield held
             held, filled = [], 0
         held.append((i, True, units(text)))
@@ -230,23 +235,28 @@ class Layout:
     def __init__(self, lay: Callable[[list[bytes]], Laid], often: list[bytes]):
         self.lay, self.number = lay, {u: i for i, u in enumerate(often)}
         self.room: dict[str, np.ndarray] = {}
-        first = lay(often)
-        self.known = {name: len(getattr(first, name)) for name in first.FIELDS}
-        for name, kind in first.FIELDS.items():
-            self.room[name] = getattr(first, name).astype(kind)
+        self.known = self._put(often, {})
+
+    def _put(self, units: list[bytes], known: dict[str, int]) -> dict[str, int]:
+        """Lay units out a few at a time, behind what is known; returns how much of the room is filled."""
+        filled = dict(known)
+        for low in range(0, max(len(units), 1), LAID):
+            new = self.lay(units[low : low + LAID])
+            for name, kind in new.FIELDS.items():
+                more, at = getattr(new, name), filled.get(name, 0)
+                held, end = self.room.get(name), at + len(more)
+                if held is None or len(held) < end:
+                    self.room[name] = np.empty((end * 5 // 4, *more.shape[1:]), kind)
+                    if held is not None:
+                        self.room[name][:at] = held[:at]
+                self.room[name][at:end] = more
+                filled[name] = end
+        return filled
 
     def with_units(self, fresh: list[bytes]) -> dict[str, np.ndarray]:
         """The arrays of the frequent units and, behind them, of ``fresh`` ones; good until the next call."""
-        new, out = self.lay(fresh), {}
-        for name, kind in new.FIELDS.items():
-            known, more = self.known[name], getattr(new, name)
-            if len(self.room[name]) < known + len(more):
-                grown = np.empty((known + len(more) * 5 // 4, *more.shape[1:]), kind)
-                grown[:known] = self.room[name][:known]
-                self.room[name] = grown
-            self.room[name][known : known + len(more)] = more
-            out[name] = self.room[name][: known + len(more)]
-        return out
+        filled = self._put(fresh, self.known)
+        return {name: held[: filled[name]] for name, held in self.room.items()}
 
 
 class Round:
@@ -267,8 +277,8 @@ class Round:
         self.previous[self.starts] = before
         self.last = whole[self.starts + self.counts - 1]
 
-    def groups(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Units and members of runs of members with about ``GROUP`` units; a long member alone, in runs."""
+    def groups(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Units and members of runs of members with about ``most`` units; a long member alone, by ``GROUP`` units."""
         ends = np.cumsum(self.counts)
         member = 0
         while member < len(ends):
@@ -278,7 +288,7 @@ class Round:
                     yield np.arange(low, min(low + GROUP, int(ends[member]))), np.array([member])
                 member += 1
                 continue
-            upto = max(member + 1, int(np.searchsorted(ends, start + GROUP, "right")))
+            upto = max(member + 1, int(np.searchsorted(ends, start + most, "right")))
             yield np.arange(int(start), int(ends[upto - 1])), np.arange(member, upto)
             member = upto
 
@@ -302,7 +312,7 @@ class OuterCounts:
         for members in rounds(texts):
             r = Round(members, np.zeros(len(members), np.uint32) if members[0][1] else last, self.layout)
             last = r.last
-            for occurring, _ in r.groups():
+            for occurring, _ in r.groups(GROUP):
                 index, previous, _ = r.spread(occurring)
                 slots = _slots(previous ^ r.marked[index])
                 np.add.at(self.table, slots * 2 + r.bit[index], np.uint32(1))
@@ -316,7 +326,7 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 def _level(odds: np.ndarray) -> np.ndarray:
     """How sure a predictor is: never met, somewhat, very."""
-    return (odds != 0).astype(np.int64) + ((odds > 24) | (odds < -24))
+    return (odds != 0).astype(np.uint8) + ((odds > 24) | (odds < -24))
 
 
 class Blocks:
@@ -344,7 +354,7 @@ class Weighed(Laid):
     each level of the outer predictor.
     """
 
-    FIELDS = Laid.FIELDS | {"still": np.int64, "sums": np.float32, "tally": np.float64}
+    FIELDS = Laid.FIELDS | {"still": np.uint8, "sums": np.float32, "tally": np.float64}
 
     def __init__(self, mixer: "Mixer", laid: list[bytes], vocabulary: Callable | None = None):
         super().__init__(mixer.code, laid)
@@ -363,7 +373,7 @@ class Weighed(Laid):
 class Inner(Laid):
     """Units with the log-odds of the inner predictors as they are."""
 
-    FIELDS = Laid.FIELDS | {"still": np.int64, "raw": np.int8}
+    FIELDS = Laid.FIELDS | {"still": np.uint8, "raw": np.int8}
 
     def __init__(self, mixer: "Mixer", laid: list[bytes]):
         super().__init__(mixer.code, laid)
@@ -394,7 +404,7 @@ class Mixer:
         """Log-odds of the inner predictors, and the part of the gate that depends on the unit alone."""
         context = laid.symbols.context
         raw = [self.tables[i][_slots(_marked(context(i)[laid.place], laid.nodes))] for i in range(INNER)]
-        still = np.minimum(laid.depth, DEPTHS - 1) * LEVELS + _level(raw[2])
+        still = np.minimum(laid.depth, DEPTHS - 1).astype(np.uint8) * LEVELS + _level(raw[2])
         return raw, still * 2 + ((raw[1] > 12) | (raw[1] < -12))
 
     def layout(self, vocabulary: Callable | None = None) -> Layout:
@@ -410,7 +420,7 @@ class Mixer:
         for members in rounds(texts):
             r = Round(members, np.zeros(len(members), np.uint32) if members[0][1] else last, layout)
             last = r.last
-            for occurring, _ in r.groups():
+            for occurring, _ in r.groups(GROUP):
                 index, previous, _ = r.spread(occurring)
                 outer = self._outer(previous, r.marked[index])
                 x = np.empty((PREDICTORS + 1, len(index)), np.float32)
@@ -437,7 +447,7 @@ class Mixer:
         ``heard`` is told of every round.
         """
         share = (self.weights[:, INNER] * np.float32(1 / SCALE)).astype(np.float32)
-        for members in rounds(texts):
+        for members in rounds(texts, together=SCORED):
             starts = members[0][1]
             if starts:
                 own, last = np.zeros((len(members), 3), np.float32), np.zeros(len(members), np.uint32)
@@ -445,7 +455,7 @@ class Mixer:
             last, flat = r.last, r.sums.reshape(-1)
             if heard is not None:
                 heard(members, r)
-            for occurring, of in r.groups():
+            for occurring, of in r.groups(RUN):
                 index, previous, n = r.spread(occurring)
                 length = np.array([n.sum()]) if len(of) == 1 else np.add.reduceat(n, np.cumsum(r.counts[of]) - r.counts[of])
                 b = Blocks(length, STEP)
@@ -479,7 +489,7 @@ class Mixer:
         said += np.float32(REACH)
         said *= np.float32((BUCKETS - 1) / (2 * REACH))
         said += np.float32(0.5)
-        return gate * BUCKETS + said.astype(np.int64)
+        return gate.astype(np.int16) * np.int16(BUCKETS) + said.astype(np.int16)
 
     def observe(self, texts: list[bytes], refined: np.ndarray, layout: Layout | None = None) -> None:
         """Add to ``refined`` what was said of each bit and what it was."""
