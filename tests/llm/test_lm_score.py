@@ -209,3 +209,17 @@ def test_empty_table_and_only_held_out_rows(spark):
     got = score_texts(held, fit_language_model(held)).orderBy("doc_id").collect()
     assert [(r["n_tokens"], r["n_known"]) for r in got] == [(3, 0), (1, 0)]
     assert all(math.isfinite(r["base_score"]) and r["score"] < 0 for r in got)
+
+
+def test_counts_are_narrow_until_a_cell_could_overflow():
+    distinct = [u for t in prose(20) for u in units(t)]
+    few, many = np.full(len(distinct), 3, np.int64), np.full(len(distinct), (1 << 31) - 1, np.int64)
+    follows = np.zeros(SYMBOLS * SYMBOLS)
+    count_followers(distinct, few, follows)
+    code, want, counts = Code(follows), np.zeros(2 * mixing.SLOTS, np.uint64), mixing.Counts()
+    for times, kind in ((few, np.uint32), (many, np.uint64)):
+        counts.add(code, distinct, times, 2)
+        count_inner(code, distinct, times.astype(np.uint64), 2, want)
+        assert counts.table.dtype == kind
+        assert (counts.table == want).all()
+    assert want.max() > 1 << 32

@@ -1,5 +1,7 @@
 """Shared steps of the training-data operators."""
 
+import ctypes
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -14,6 +16,7 @@ BLANK = " \t\n\r\v\f"
 _FOLD = bytes(range(65, 91)), bytes(range(97, 123))
 LOWER_ASCII = bytes.maketrans(*_FOLD)
 Rows = Callable[[dict[str, list]], dict[str, list]]
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +29,33 @@ def spread_rows(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _give_back() -> None:
+    """Hand memory that nothing holds any more back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not glibc
+        pass
+
+
+def tidy(run: Batches) -> Batches:
+    """``run`` for ``mapInArrow``, giving back what its task freed.
+
+    Spark keeps Python workers for later tasks, and the C library keeps what they freed for them; in
+    an executor of many workers that adds up. It is given back before a task begins and after it ends.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidied
+
+
 def map_columns(df: DataFrame, reads: list[str], adds: T.StructType, work: Rows, keep: list[str] | None = None) -> DataFrame:
     """Add columns worked out batch by batch in Python.
 
@@ -47,7 +77,7 @@ def map_columns(df: DataFrame, reads: list[str], adds: T.StructType, work: Rows,
                 arrays = [part.column(c) for c in keep] + [pa.array(got[f.name], type=f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(arrays, names=keep + list(adds.names))
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:

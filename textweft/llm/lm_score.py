@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textweft.llm.common import map_columns, slices
+from textweft.llm.common import map_columns, slices, tidy
 from textweft.llm.mixing import (
-    BUCKETS, GATES, INNER, LOWER, PREDICTORS, SLOTS, SYMBOLS, Code, Mixer, OuterCounts, Round, Symbols, count_followers, count_inner,
-    log_odds, units,
+    BUCKETS, GATES, INNER, LOWER, PREDICTORS, SLOTS, SYMBOLS, Code, Counts, Mixer, OuterCounts, Round, Symbols, count_followers, log_odds,
+    units,
 )
 from textweft.scratch import materialize
 
@@ -41,7 +41,7 @@ OFTEN = 60_000  # units laid out once per task
 FAN = 64
 BLOCK = 1 << 16  # slots of a predictor that travel together
 _HELD = 1 << 18  # units a task holds before it hands on their counts
-_LAID = 20_000  # distinct units laid out together
+_LAID = 8_000  # distinct units laid out together
 ADDS = T.StructType(
     [
         T.StructField("n_tokens", T.LongType()),
@@ -82,7 +82,7 @@ def _by_task(texts: DataFrame, schema: str, start: Callable, take: Callable, res
         if any_text:
             yield result(state)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(tidy(run), schema)
 
 
 def _numbers(values: np.ndarray, more: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -111,7 +111,7 @@ def unit_counts(texts: DataFrame) -> DataFrame:
         for weighs, held in counts.items():
             yield rows(held, weighs)
 
-    found = texts.select("text", "weighs").mapInArrow(run, "unit binary, n long, taught long")
+    found = texts.select("text", "weighs").mapInArrow(tidy(run), "unit binary, n long, taught long")
     return found.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("taught").alias("taught"))
 
 
@@ -128,7 +128,7 @@ def _over_units(counted: DataFrame, column: str, schema: str, start: Callable, t
         if state is not None:
             yield result(state)
 
-    return counted.filter(F.col(column) > 0).select("unit", column).mapInArrow(run, schema)
+    return counted.filter(F.col(column) > 0).select("unit", column).mapInArrow(tidy(run), schema)
 
 
 def _code(counted: DataFrame) -> Code:
@@ -216,7 +216,7 @@ def _summed(found: DataFrame, parts: int) -> np.ndarray:
         found = found.withColumn("part", F.pmod("part", F.lit(parts)))
         found = found.groupBy("at", "part").applyInArrow(add, _TABLE)
     table = np.zeros((SLOTS // BLOCK, BLOCK), np.int8)
-    for r in found.mapInArrow(said, "at long, odds binary").collect():
+    for r in found.mapInArrow(tidy(said), "at long, odds binary").collect():
         table[r["at"]] = np.frombuffer(r["odds"], np.int8)
     return table.ravel()
 
@@ -228,10 +228,10 @@ def _tables(counted: DataFrame, texts: DataFrame, code: Code, often: list[bytes]
     parts = counted.rdd.getNumPartitions()
     for which in range(INNER):
 
-        def take(table: np.ndarray, distinct: list[bytes], times: np.ndarray, which: int = which) -> None:
-            count_inner(sent.value[0], distinct, times.astype(np.uint64), which, table)
+        def take(counts: Counts, distinct: list[bytes], times: np.ndarray, which: int = which) -> None:
+            counts.add(sent.value[0], distinct, times, which)
 
-        found = _over_units(counted, "taught", _TABLE, lambda: np.zeros(2 * SLOTS, np.uint64), take, _table_blocks)
+        found = _over_units(counted, "taught", _TABLE, Counts, take, lambda counts: _table_blocks(counts.table))
         tables[which] = _summed(found, parts)
     found = _by_task(texts, _TABLE, lambda: OuterCounts(*sent.value), lambda s, t: s.add(t), lambda s: _table_blocks(s.table))
     tables[INNER] = _summed(found, texts.rdd.getNumPartitions())
@@ -283,7 +283,7 @@ def word_counts(counted: DataFrame) -> DataFrame:
             times = np.repeat(batch.column(1).to_numpy(), [len(w) for w in words])
             yield pa.RecordBatch.from_arrays([pa.array(chain.from_iterable(words), pa.binary()), pa.array(times)], names=["token", "n"])
 
-    return counted.select("unit", "n").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return counted.select("unit", "n").mapInArrow(tidy(run), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def _hashed(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +295,7 @@ def _hashed(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 hashes = Symbols(batch.column(0).to_pylist()).hashes.view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes), batch.column(1)], names=["hash", "n"])
 
-    got = words.select("token", "n").mapInArrow(run, "hash long, n long").toArrow()
+    got = words.select("token", "n").mapInArrow(tidy(run), "hash long, n long").toArrow()
     hashes, n = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
     order = np.argsort(hashes, kind="stable")
     return hashes[order], n[order]

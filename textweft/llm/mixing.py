@@ -216,6 +216,25 @@ def count_inner(code: Code, distinct: list[bytes], times: np.ndarray, which: int
         np.add.at(table, slots * 2 + code.bits[at], np.repeat(times, s.lengths)[place])
 
 
+class Counts:
+    """A table of zeros and ones of an inner predictor: half as large until a cell could pass 32 bits."""
+
+    def __init__(self) -> None:
+        self.table = np.zeros(2 * SLOTS, np.uint32)
+        self.most = 0  # no cell holds more
+
+    def add(self, code: Code, distinct: list[bytes], times: np.ndarray, which: int) -> None:
+        # a symbol has at most SYMBOLS bits, and a unit meets a cell at most once a bit
+        more = sum(n * len(u) for n, u in zip(times.tolist(), distinct)) + int(times.sum())
+        more *= int(code.sizes.max(initial=1))
+        if self.table.dtype == np.uint32 and self.most + more >= 1 << 32:
+            self.most = int(self.table.max())
+            if self.most + more >= 1 << 32:
+                self.table = self.table.astype(np.uint64)
+        self.most += more
+        count_inner(code, distinct, times.astype(self.table.dtype), which, self.table)
+
+
 class Laid:
     """What the outer predictor needs of units: their hashes, and the bits of all of them."""
 
