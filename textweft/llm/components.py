@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textweft.llm.common import tidy
 from textweft.scratch import materialize
 
 
@@ -40,7 +41,7 @@ def local_forest(links: DataFrame) -> DataFrame:
                 yield flush()
         yield flush()
 
-    return links.select("a", "b").mapInArrow(run, "a long, b long")
+    return links.select("a", "b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

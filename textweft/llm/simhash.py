@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textweft.llm.common import LOWER_ASCII, free_name, map_columns
+from textweft.llm.common import LOWER_ASCII, free_name, map_columns, tidy
 from textweft.llm.components import connected_components
 from textweft.scratch import materialize
 
@@ -98,7 +98,7 @@ def _summed(prints: DataFrame, count: Callable[[np.ndarray], np.ndarray]) -> np.
                 total = part.copy() if total is None else total + part
         yield _sum_row(total)
 
-    rows = prints.select("fp").mapInArrow(run, "sums binary").repartition(MERGERS).mapInArrow(merge, "sums binary")
+    rows = prints.select("fp").mapInArrow(tidy(run), "sums binary").repartition(MERGERS).mapInArrow(tidy(merge), "sums binary")
     parts = [np.frombuffer(r["sums"], np.float64) for r in rows.collect()]
     return np.sum(parts, axis=0) if parts else None
 
@@ -260,7 +260,7 @@ def _emit(prints: DataFrame, rows: Callable[[np.ndarray], tuple[np.ndarray, np.n
                 columns = [pa.array(kinds, pa.int32()), pa.array(values, pa.int64()), pa.array(prints[at], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "value", "fp"])
 
-    return prints.select("fp").mapInArrow(run, "part int, value long, fp long")
+    return prints.select("fp").mapInArrow(tidy(run), "part int, value long, fp long")
 
 
 def _flipped_keys(rows: DataFrame, reach: int) -> DataFrame:
