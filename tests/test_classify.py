@@ -99,3 +99,17 @@ def test_window_codes_lose_little_of_a_flat_cloud(spark):
     one = c.compress_windows(c.compress_fit(rows, 1), rows)
     _, s, _ = np.linalg.svd(cloud - cloud.mean(axis=0))
     assert c.reconstruction_error(one, 6).first()["mse"] == pytest.approx(s[1] ** 2 / 600)
+
+
+def test_codes_of_even_spread_beat_the_mean(spark):
+    """Two of forty nearly even axes hold little more than a twentieth; the best two still do better than others."""
+    from textweft.plans.embedding_queries import _beats_mean
+
+    x = np.random.default_rng(1).normal(size=(4000, 40))
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "win_id long, x array<double>")
+    model = c.compress_fit(rows, 2)
+    codes = c.compress_windows(model, rows)
+    mse = c.reconstruction_error(codes, 40).first()["mse"]
+    assert mse * 40 > 0.9 * x.var(axis=0).sum()
+    assert codes.agg(_beats_mean(model, mse, 40)).first()[0]
+    assert not codes.agg(_beats_mean(model, mse * 1.03, 40)).first()[0]
