@@ -307,3 +307,19 @@ def test_inference_in_one_visit_equals_epoch_by_epoch(spark, tokens, monkeypatch
         right["vec"] = [changed.get(k, v) for k, v in zip(right["key"], right["vec"])]
     got = {r["para_id"]: r["vec"] for r in inferred.paragraph_vectors().collect()}
     assert all(got[k // 4] == pytest.approx(v) for k, v in zip(right["key"], right["vec"]) if k % 4 == 2)
+
+
+def test_blocks_ask_once_for_words_and_the_nodes_above_them(spark, tokens, monkeypatch):
+    monkeypatch.setattr(p, "BLOCK_WORDS", 60)
+    vocab, texts = p.training_vocabulary(tokens, 2), p._paragraph_texts(tokens)
+    job = p._lay_out(tokens, vocab, texts, 60, None)
+    known = {r["id"]: r["leaf"] for r in vocab.collect()}
+    pad, want = vocab.filter(F.col("word") == p.PADDING).first()["id"], set()
+    assert "leaves" not in job.encoded.columns  # a leaf travels with its word, not with each occurrence
+    for row in job.encoded.collect():
+        leaves = [known[i] for i in row["ids"]]
+        keys = {i * 4 for i in row["ids"]} | {(leaf >> k) * 4 + 1 for leaf in leaves for k in range(1, leaf.bit_length())}
+        want |= {(row["block"], k) for k in keys | {row["para_id"] * 4 + 2, pad * 4}}
+    got = [(r["block"], r["key"]) for r in job.needed.collect()]
+    assert job.blocks > 1 and len(got) == len(set(got)) and set(got) == want
+    assert all(r["leaf"] == known[r["key"] // 4] for r in job.needed.filter("key % 4 = 0 AND leaf IS NOT NULL").collect())
