@@ -102,3 +102,11 @@ def test_render(titles):
     vocab = v.build_dictionary(titles, min_cf=2)
     text = bags.render_bow(bags.doc2bow(titles, vocab), vocab).filter("doc_id = 3").first()["text"]
     assert text == "human system eps"
+
+
+def test_encoding_regroups_no_occurrences(spark):
+    text = tokens(spark, "b a b a c", "c d", "")
+    vocab = v.insertion_dictionary(text)
+    assert [r["word"] for r in vocab.orderBy("id").collect()][1:] == ["b", "a", "c", "d"]
+    plan = bags.encode_tokens(text, vocab)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
