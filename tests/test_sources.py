@@ -51,6 +51,14 @@ def test_matrix_market_round_trip(spark, titles, tmp_path):
     assert cells == {(d, i, float(n)) for d, row in enumerate(TITLE_BOW) for i, n in row}
 
 
+def test_matrix_market_works_out_its_entries_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda n: seen.add(1) or n, "long")
+    rows = spark.createDataFrame([(d, d + 1, 2) for d in range(5)], "doc_id long, id long, tf long").withColumn("tf", count("tf"))
+    mm.write_mm(rows, str(tmp_path / "mm"))
+    assert seen.value == 5 and mm.read_mm(spark, str(tmp_path / "mm")).count() == 5
+
+
 def test_matrix_market_size_line_may_look_like_an_entry(spark, tmp_path):
     (tmp_path / "m").write_text("%%MatrixMarket matrix coordinate real general\n% note\n1 1 1\n1 1 1\n")
     assert [tuple(r) for r in mm.read_mm(spark, str(tmp_path / "m")).collect()] == [(0, 0, 1.0)]

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textweft.scratch import materialize
 from textweft.sources.lines import read_ordered_lines
 
 BANNER = "%%MatrixMarket matrix coordinate real general"
@@ -15,6 +16,7 @@ def write_mm(entries: DataFrame, path: str, value: str = "tf", row: str = "doc_i
         F.col(column).cast("long").alias("c"),
         F.col(value).cast("double").alias("v"),
     )
+    cells = materialize(cells, "matrix-cells")  # the size, the ranges and the lines are read from one result
     whole = F.col("v") == F.floor("v")
     number = F.when(whole, F.col("v").cast("long").cast("string")).otherwise(F.col("v").cast("string"))
     body = cells.select("r", "c", F.concat_ws(" ", F.col("r") + 1, F.col("c") + 1, number).alias("value"))
@@ -23,7 +25,9 @@ def write_mm(entries: DataFrame, path: str, value: str = "tf", row: str = "doc_i
             " ", F.coalesce(F.max("r") + 1, F.lit(0)), F.coalesce(F.max("c") + 1, F.lit(0)), F.count(F.lit(1))
         ).alias("value")
     ).select(F.lit(-1).cast("long").alias("r"), F.lit(0).cast("long").alias("c"), "value")
-    banner = size.select(F.lit(-2).cast("long").alias("r"), "c", F.lit(BANNER).alias("value"))
+    banner = entries.sparkSession.range(1).select(
+        F.lit(-2).cast("long").alias("r"), F.lit(0).cast("long").alias("c"), F.lit(BANNER).alias("value")
+    )
     lines = banner.unionByName(size).unionByName(body)
     lines.repartitionByRange("r", "c").sortWithinPartitions("r", "c").select("value").write.text(path)
 
